@@ -138,6 +138,11 @@ def _read_twice(table: str, column: str) -> str:
             f"UNION ALL SELECT '{table}', 2, 0, max({column}) FROM {table}")
 
 
+# Of several rows with one key the first by all other columns is kept, nulls first.
+FACT_REST = ("invoice_id store_id product_id region qty revenue cost promotion channel customer_id device "
+             "payment_method txn_date month").split()
+FACT_COLUMNS = ", ".join(["source", "txn_id", *FACT_REST])
+FACT_ORDER = ", ".join(f"{name} NULLS FIRST" for name in FACT_REST)
 PERIOD_VIEWS = ("erp", "bound", "all_days", "days")
 MEASURES = """
     sum(revenue) AS revenue, sum(cost) AS cost, sum(revenue - cost) AS profit, CAST(sum(qty) AS BIGINT) AS units,
@@ -269,13 +274,17 @@ ORACLE: dict[str, str] = {
         SELECT store_id, sum(revenue) AS revenue, avg(revenue) AS avg_revenue, count(*) AS txn_count
         FROM erp WHERE store_id IS NOT NULL AND cost IS NOT NULL GROUP BY store_id""", "erp"),
     "sales_normalized": _with("SELECT * FROM fact", "erp", "pos", "ecom", "fact"),
-    "landing_ingest": _with("SELECT * FROM fact", "erp", "pos", "ecom", "fact"),
+    "landing_ingest": _with(f"""
+        SELECT {FACT_COLUMNS}
+        FROM (SELECT *, row_number() OVER (PARTITION BY source, txn_id ORDER BY {FACT_ORDER}) AS rn FROM fact)
+        WHERE rn = 1""", "erp", "pos", "ecom", "fact"),
     "channel_derivation": _with("""
         SELECT source, channel, count(*) AS row_count FROM fact GROUP BY source, channel
         UNION ALL SELECT 'unmarked', NULL, count(*) FROM erp""", "erp", "pos", "ecom", "fact"),
     "sales_dedup": """
         SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice
-        FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS rn
+        FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                                            ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice) AS rn
               FROM lineitem)
         WHERE rn = 1""",
     "customer_dedup": _with("""

@@ -366,7 +366,7 @@ def channel_derivation(star: Star) -> DataFrame:
 def sales_dedup(star: Star) -> DataFrame:
     lines = star.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                                           "l_extendedprice")
-    return dedup.dedup(lines, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"])
+    return dedup.dedup(lines, ["l_orderkey", "l_linenumber"])
 
 
 @query

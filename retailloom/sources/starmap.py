@@ -6,10 +6,9 @@ order (checked in the tests), so a look-up that is not used changes no row.
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from retailloom.functions.columns import whole
 from retailloom.operators.normalize import union_sources
@@ -37,15 +36,26 @@ def _line_columns():
     }
 
 
+_schemas: dict[tuple[str, str], StructType] = {}
+
+
+def _file_schema(spark: SparkSession, path: str) -> StructType:
+    """The schema in the file's footer, looked up once per application: each look-up is a Spark job."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return _schemas[key]
+
+
 class Star:
     """The retail views over one folder of Parquet tables."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
-    @functools.cache
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        return self.spark.read.schema(_file_schema(self.spark, path)).parquet(path)
 
     def product(self) -> DataFrame:
         return self.table("part").select(

@@ -1,0 +1,49 @@
+"""Every registered query against its SQL, and the look-ups the star views rely on."""
+
+import pytest
+
+import __spark_entry__ as contract
+from tests.compare import connect, difference
+
+FOLDER = "/root/testdata/sf0.001"
+WITHOUT_SQL = {"store_clusters", "cluster_sizes"}
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return connect(FOLDER)
+
+
+def test_every_query_has_sql():
+    assert set(contract.queries()) - set(contract.oracle_sql()) == WITHOUT_SQL
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+def test_query(spark, duck, name):
+    assert difference(contract.queries()[name](spark, FOLDER), duck, contract.oracle_sql()[name]) is None
+
+
+def test_clusters(spark):
+    clusters = contract.queries()["store_clusters"](spark, FOLDER)
+    stores = contract.queries()["store_features"](spark, FOLDER)
+    assert clusters.count() == stores.count()
+    assert {r["cluster"] for r in clusters.collect()} == {0, 1, 2}
+    assert sum(r["store_count"] for r in contract.queries()["cluster_sizes"](spark, FOLDER).collect()) == stores.count()
+
+
+def test_entry(spark):
+    assert contract.entry(spark).columns == ["region", "revenue", "profit"]
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01", "sf0.1"])
+def test_lookups_lose_no_line(folder):
+    con = connect(f"/root/testdata/{folder}")
+    lines, found, ids = con.execute("""
+        SELECT (SELECT count(*) FROM lineitem), count(*),
+               count(DISTINCT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey))
+        FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
+             JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+             JOIN region ON n_regionkey = r_regionkey""").fetchall()[0]
+    assert lines == found
+    assert folder == "sf0.001" or ids == lines  # the smallest set holds one repeated line

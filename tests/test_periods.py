@@ -1,0 +1,121 @@
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from retailloom.operators import ml, reports, rollup
+from retailloom.schemas import ERP
+from tests.conftest import plan, tuples
+
+CLOSED = {
+    "day": [(date(2026, 6, 30), 1240, 610, 2), (date(2026, 7, 1), 500, -250, 2), (date(2026, 7, 6), 450, 150, 1)],
+    "week": [(date(2026, 6, 29), 1740, 360, 4), (date(2026, 7, 6), 450, 150, 1)],
+    "month": [(date(2026, 6, 1), 1240, 610, 2), (date(2026, 7, 1), 950, -100, 3)],
+    "quarter": [(date(2026, 4, 1), 1240, 610, 2)],
+    "year": [],
+}
+
+
+def test_business_date(spark, shop):
+    assert rollup.business_date(shop.sales).first()[0] == date(2026, 8, 3)
+    assert rollup.business_date(shop.sales.where("false")).first()[0] is None
+
+
+@pytest.mark.parametrize("unit", list(CLOSED))
+def test_closed_periods(shop, unit):
+    literal = rollup.closed_periods(shop.sales, unit, date(2026, 8, 3))
+    scalar = rollup.closed_periods(shop.sales, unit, rollup.business_date(shop.sales).scalar())
+    assert tuples(literal) == tuples(scalar) == CLOSED[unit]
+
+
+def test_bound_on_days_equals_bound_on_periods(shop):
+    days = rollup.daily(shop.sales)
+    for unit in ("week", "month", "quarter", "year"):
+        for current in (date(2026, 7, 1), date(2026, 7, 6), date(2026, 8, 3), date(2027, 1, 1)):
+            assert tuples(rollup.roll_up(rollup.closed(days, unit, current), unit)) == \
+                tuples(rollup.closed(rollup.roll_up(days, unit), unit, current))
+
+
+def test_unseen(shop):
+    days = rollup.daily(shop.sales)
+    assert rollup.unseen(days, None).count() == 4
+    assert tuples(rollup.unseen(days, date(2026, 7, 1)).select("period")) == [(date(2026, 7, 6),), (date(2026, 8, 3),)]
+
+
+def test_larger_periods_sum_the_smaller(shop):
+    end = date(2028, 1, 1)
+    total = [sum(r[1] for r in rollup.closed_periods(shop.sales, u, end).collect()) for u in CLOSED]
+    assert total == [2520] * 5
+
+
+def test_day_without_sales_has_no_row(shop):
+    assert date(2026, 7, 2) not in {r["period"] for r in rollup.daily(shop.sales).collect()}
+
+
+def test_late_rows(spark, shop):
+    stored = rollup.closed_periods(shop.sales, "day", date(2026, 8, 3))
+    assert rollup.late_rows(rollup.daily(shop.sales), stored).isEmpty()
+    late = (shop.fact.where("source = 'erp' and txn_id in ('L000000003', 'WEB000000002')")
+            .withColumn("txn_id", F.concat(F.lit("LATE"), "txn_id"))
+            .withColumn("txn_date", F.when(F.col("product_id").startswith("TEC-MA"), F.col("txn_date"))
+                        .otherwise(F.lit(date(2026, 7, 3)))))
+    days = rollup.daily(reports.sales_measures(shop.fact.unionByName(late)))
+    found = rollup.late_rows(days, stored).select("period", "row_count", "stored_row_count")
+    assert tuples(found) == [(date(2026, 7, 1), 3, 2), (date(2026, 7, 3), 1, None)]
+
+
+def test_forecast(shop):
+    series = ml.monthly_series(shop.sales)
+    assert tuples(ml.indexed(series)) == [(2026, 6, 6, 1240), (2026, 7, 7, 950), (2026, 8, 8, 330)]
+    assert tuple(ml.forecast_next(series).first()) == (9, -70)
+    closed = ml.monthly_series(shop.sales, closed_before=date(2026, 8, 3))
+    assert tuple(ml.forecast_next(closed).first()) == (8, 660)
+
+
+def test_forecast_of_one_month_and_none(shop):
+    one = ml.monthly_series(shop.sales.where("month = 6"))
+    assert tuple(ml.forecast_next(one).first()) == (7, 1240)
+    assert ml.forecast_next(ml.monthly_series(shop.sales.where("false"))).isEmpty()
+
+
+def test_forecast_over_a_year_end(spark):
+    rows = [(2025 + (m > 12), (m - 1) % 12 + 1, 100.0 * m, (2025 + (m > 12)) * 12 + (m - 1) % 12 + 1) for m in range(9, 16)]
+    series = spark.createDataFrame(rows, "year int, month int, revenue double, month_index int")
+    assert tuple(ml.forecast_next(series).first()) == (16, 1600)
+
+
+def test_correlation(shop):
+    assert tuple(ml.promo_profit_corr(shop.fact).first()) == ("promotion_vs_profit", 0.6769)
+
+
+def test_correlation_of_repeated_ids_equals_the_join(spark):
+    rows = [("pos", f"T{i % 7}", None, None, i % 2) for i in range(20)]
+    rows += [(ERP, f"T{i % 9}", float(i * i % 11), float(i % 3), None) for i in range(30)]
+    rows += [("pos", "T1", None, None, None), (ERP, "T2", 4.0, None, None), ("pos", None, None, None, 1)]
+    fact = spark.createDataFrame(rows, "source string, txn_id string, revenue double, cost double, promotion int")
+    fact.createOrReplaceTempView("corr_fact")
+    joined = spark.sql("""SELECT round(corr(p.promotion, e.revenue - e.cost), 4) FROM corr_fact p JOIN corr_fact e
+        ON p.txn_id = e.txn_id WHERE p.source = 'pos' AND e.source = 'erp' AND e.cost IS NOT NULL""").first()[0]
+    assert ml.promo_profit_corr(fact).first()["value"] == joined
+    assert "Join" not in plan(ml.promo_profit_corr(fact))
+
+
+def test_correlation_without_spread_is_null(shop):
+    flat = shop.fact.withColumn("promotion", F.when(F.col("source") == "pos", 1))
+    assert ml.promo_profit_corr(flat).first()["value"] is None
+    assert ml.promo_profit_corr(shop.fact.where("false")).first()["value"] is None
+
+
+def test_store_features(shop):
+    for sales in (shop.sales, reports.store_day_cube(shop.sales)):
+        assert tuples(ml.store_features(sales)) == [("California", 1570, 1570 / 3, 3), ("Ohio", 450, 450, 1)]
+
+
+def test_clusters_are_the_nearest_centres(spark):
+    rows = [(f"S{g}{i}", float(1000 * 10**g + i), float(10 * 3**g + i / 10), 50 * (g + 1) + i)
+            for g in range(3) for i in range(8)]
+    features = spark.createDataFrame(rows, "store_id string, revenue double, avg_revenue double, txn_count bigint")
+    clusters = ml.cluster_stores(features)
+    assert {(r["store_id"][1], r["cluster"]) for r in clusters.collect()} == {("0", 0), ("1", 1), ("2", 2)}
+    assert tuples(ml.cluster_sizes(clusters)) == [(0, 8), (1, 8), (2, 8)]
+    assert tuples(ml.cluster_stores(features.repartition(5))) == tuples(clusters)
