@@ -64,20 +64,22 @@ def cluster_stores(features: DataFrame, k: int = 3, seed: int = 42) -> DataFrame
     """K-means on the standardised features, clusters numbered by ascending revenue of their centre.
 
     The features are written once before the iterations, so no pass goes back to the sales. Only the
-    ``k`` centres reach the driver.
+    ``k`` centres reach the driver. Fewer distinct stores than ``k`` make as many clusters as there are.
     """
     inputs = ["revenue", "avg_revenue", "txn_count"]
     stored = materialize(features.where(F.col("avg_revenue").isNotNull()), "store-features")
+    k = min(k, stored.select(*inputs).distinct().limit(k).count())
+    if k < 2:
+        return stored.select("store_id", "revenue", "txn_count", F.lit(0).alias("cluster"))
     model = Pipeline(stages=[
         VectorAssembler(inputCols=inputs, outputCol="raw"),
         StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
         KMeans(k=k, seed=seed, predictionCol="prediction"),
     ]).fit(stored)
     centres = [float(centre[0]) for centre in model.stages[-1].clusterCenters()]
-    rank = {label: place for place, label in enumerate(sorted(range(len(centres)), key=centres.__getitem__))}
-    renumbered = F.create_map(*[F.lit(number) for pair in sorted(rank.items()) for number in pair])
-    return model.transform(stored).select(
-        "store_id", "revenue", "txn_count", renumbered[F.col("prediction")].alias("cluster"))
+    order = sorted(range(len(centres)), key=centres.__getitem__)
+    number = F.array_position(F.array(*[F.lit(label) for label in order]), F.col("prediction")) - 1
+    return model.transform(stored).select("store_id", "revenue", "txn_count", number.cast("int").alias("cluster"))
 
 
 def cluster_sizes(clusters: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from retailloom.schemas import CUSTOMER, FACT, FACT_PARTITIONS, INVENTORY, PERIO
 from retailloom.sinks.stores import Lake
 from retailloom.sinks.tables import append_counted, ensure_table, overwrite_day, replace_table
 from retailloom.sources import files
-from retailloom.streaming.ingest import start_ingest, start_movements
+from retailloom.streaming.ingest import ingest_landed, start_movements
 
 log = logging.getLogger(__name__)
 
@@ -63,7 +63,7 @@ def ingest(spark: SparkSession, cfg: Config) -> dict[str, int]:
     create_database(spark, cfg)
     if files.exists(spark, cfg.landing):
         landing = files.json_lines_stream(spark, cfg.landing, cfg.archive)
-        start_ingest(landing, cfg.table("sales"), f"{cfg.checkpoint}/sales").awaitTermination()
+        ingest_landed(landing, cfg.table("sales"), f"{cfg.checkpoint}/sales")
     replace_table(spark.read.schema(PRODUCT).parquet(cfg.product), cfg.table("dim_product"))
     lake = Lake(cfg.lake)
     if files.exists(spark, cfg.movements):

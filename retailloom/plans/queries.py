@@ -456,7 +456,7 @@ def landing_ingest(star: Star) -> DataFrame:
     def arrive(rows: DataFrame) -> None:
         rows.write.mode("append").json(f"{folder}/in")
         stream = files.json_lines_stream(spark, f"{folder}/in", archive=f"{folder}/done")
-        ingest.start_ingest(stream, table, f"{folder}/checkpoint").awaitTermination()
+        ingest.ingest_landed(stream, table, f"{folder}/checkpoint")
 
     arrive(star.all_sources())
     arrive(star.pos())

@@ -119,3 +119,10 @@ def test_clusters_are_the_nearest_centres(spark):
     assert {(r["store_id"][1], r["cluster"]) for r in clusters.collect()} == {("0", 0), ("1", 1), ("2", 2)}
     assert tuples(ml.cluster_sizes(clusters)) == [(0, 8), (1, 8), (2, 8)]
     assert tuples(ml.cluster_stores(features.repartition(5))) == tuples(clusters)
+
+
+def test_fewer_stores_than_clusters(shop):
+    features = ml.store_features(shop.sales)
+    assert tuples(ml.cluster_stores(features).select("store_id", "cluster")) == [("California", 1), ("Ohio", 0)]
+    assert tuples(ml.cluster_stores(features.limit(1)).select("cluster")) == [(0,)]
+    assert ml.cluster_stores(features.limit(0)).isEmpty()

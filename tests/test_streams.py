@@ -1,0 +1,229 @@
+import json
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from retailloom.operators.inventory import stock_on_hand
+from retailloom.schemas import FACT, FACT_PARTITIONS, LIVE_ALERTS, LIVE_STATS, fields
+from retailloom.sinks.stores import Jdbc, Lake
+from retailloom.sinks.tables import ensure_table
+from retailloom.sources import files
+from retailloom.streaming import ingest, live
+from tests.conftest import tuples
+
+LEDGER = fields("product_id string, stock_qty bigint")
+
+
+def drop(folder, name, *rows):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("".join((r if isinstance(r, str) else json.dumps(r)) + "\n" for r in rows))
+
+
+def sale(number, source="erp", **more):
+    return {"source": source, "txn_id": f"L{number:09d}", "qty": 1, "revenue": 10.0, "txn_date": "2026-07-01", **more}
+
+
+@pytest.fixture
+def run(spark, tmp_path, database):
+    """Ingest whatever lies in the landing folder; returns the fact table."""
+    def once():
+        stream = files.json_lines_stream(spark, str(tmp_path / "in"), str(tmp_path / "done"))
+        ingest.ingest_landed(stream, f"{database}.sales", str(tmp_path / "checkpoint"))
+        return spark.table(f"{database}.sales")
+    return once
+
+
+def test_each_file_once_and_each_sale_once(run, tmp_path):
+    landing = tmp_path / "in"
+    drop(landing, "1.json", sale(1, cost=4.0), sale(1, cost=5.0), sale(1, "pos"), sale(2), "{broken", {"txn_id": "x"})
+    fact = run()
+    assert tuples(fact.select("source", "txn_id", "cost")) == [
+        ("erp", "L000000001", 4.0), ("erp", "L000000002", None), ("pos", "L000000001", None)]
+    assert run().count() == 3
+    drop(landing, "2.json", sale(2, txn_date="2026-09-01"), sale(3), sale(3, "ecommerce"))
+    fact = run()
+    assert fact.count() == 5
+    assert tuples(fact.where("txn_id = 'L000000002'").select("txn_date")) == [(date(2026, 7, 1),)]
+    drop(landing, "3.json", sale(4))
+    assert run().count() == 6
+    assert list((tmp_path / "done").rglob("1.json"))  # moved once a later batch has run
+
+
+def test_empty_landing(run, tmp_path):
+    (tmp_path / "in").mkdir()
+    assert run().count() == 0
+
+
+def test_repeated_batch_adds_nothing(spark, shop, database):
+    table = f"{database}.sales"
+    ensure_table(spark, table, FACT, FACT_PARTITIONS)
+    for _ in range(2):
+        ingest.append_fact(shop.fact, table)
+    assert tuples(spark.table(table).select(FACT.fieldNames())) == tuples(shop.fact)
+    assert {r[0].split("/")[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()} == {
+        "source=erp", "source=pos", "source=ecommerce"}
+
+
+def movements(spark, *rows):
+    return spark.createDataFrame(
+        [tuple(None if v is None else str(v) for v in r) for r in rows],
+        "id string, product_id string, kind string, qty string, cost string, moved_at string")
+
+
+def test_movements_once_and_ledger(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    first = movements(spark, (1, "A", "opening", 10, 1, None), (1, "A", "opening", 10, 1, None), (2, "B", "opening", 5, 1, None))
+    second = movements(spark, (2, "B", "opening", 5, 1, None), (3, "A", "outbound", -4, 1, None), (None, "B", "outbound", -1, 1, None))
+
+    def stock():
+        return tuples(stock_on_hand(lake.read_batches(spark, "stock_ledger", LEDGER).withColumnRenamed("stock_qty", "qty")))
+
+    ingest.append_movements(first, lake, "q", 0)
+    assert stock() == [("A", 10), ("B", 5)]
+    for _ in range(2):
+        ingest.append_movements(second, lake, "q", 1)
+        assert stock() == [("A", 6), ("B", 4)]
+    ingest.append_movements(first, lake, "restarted", 0)
+    assert stock() == [("A", 6), ("B", 4)]
+
+
+def test_topic_to_lake(spark, tmp_path):
+    drop(tmp_path / "topic", "1.json", sale(1), sale(2))
+    messages = spark.readStream.text(str(tmp_path / "topic"))
+    ingest.land_topic(messages, str(tmp_path / "lake"), str(tmp_path / "checkpoint")).awaitTermination()
+    assert files.json_lines(spark, str(tmp_path / "lake")).count() == 2
+
+
+def event(number, revenue, cost, source="erp", **more):
+    return {"source": source, "txn_id": f"T{number}", "store_id": "S", "region": "West", "product_id": "P",
+            "revenue": revenue, "cost": cost, "promotion": 1.0, "txn_date": "2026-07-01", **more}
+
+
+@pytest.fixture
+def topic(spark, tmp_path):
+    return lambda: spark.readStream.text(str(tmp_path / "topic"))
+
+
+def test_live_tables_over_restarts(spark, topic, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+
+    def run():
+        live.start_dashboard(topic(), lake, str(tmp_path / "checkpoint"), availableNow=True).awaitTermination()
+        return (lake.read_batches(spark, "rt_stats", LIVE_STATS), lake.read_batches(spark, "rt_alerts", LIVE_ALERTS))
+
+    drop(tmp_path / "topic", "1.json", event(1, 1200, 600), event(2, 450, 600), event(3, 50, 150), event(4, 7, None),
+         "{broken", event(5, 100.0, 90, source="pos"))
+    stats, alerts = run()
+    assert tuples(stats.select("revenue", "profit", "txn_count")) == [(1800, 360, 4)]
+    assert tuples(alerts.select("txn_id", "profit")) == [("T2", -150)]  # exactly -100 is no alert
+    assert run()[0].count() == 1
+    drop(tmp_path / "topic", "2.json", event(6, 0, 1000))
+    stats, alerts = run()
+    assert stats.count() == 2 and tuples(alerts.select("txn_id")) == [("T2",), ("T6",)]
+    drop(tmp_path / "topic", "3.json", event(7, 1, None))
+    stats, alerts = run()  # a batch without costed sales writes nothing
+    assert stats.count() == 2 and alerts.count() == 2
+
+
+def test_live_batch_equals_batch_result(spark, topic, shop, tmp_path):
+    drop(tmp_path / "topic", "1.json", *[r.asDict() | {"source": "erp", "txn_date": str(r.txn_date)}
+                                         for r in shop.erp.drop("channel", "invoice_id").collect()])
+    lake = Lake(str(tmp_path / "lake"))
+    live.start_dashboard(topic(), lake, str(tmp_path / "checkpoint"), availableNow=True).awaitTermination()
+    assert tuples(lake.read_batches(spark, "rt_stats", LIVE_STATS).select("revenue", "profit", "txn_count")) == [
+        (2520, 540, 6)]
+    assert tuples(lake.read_batches(spark, "rt_alerts", LIVE_ALERTS).select("txn_id")) == [("L000000003",)]
+
+
+def test_repeated_live_batch_replaces_itself(spark, shop, tmp_path):
+    lake = Lake(str(tmp_path))
+    sales = live.with_profit(shop.fact)
+    for _ in range(2):
+        live.write_batch(sales, lake, "q", 0)
+    live.write_batch(sales, lake, "q", 1)
+    live.write_batch(sales.where("false"), lake, "q", 2)
+    assert lake.read_batches(spark, "rt_stats", LIVE_STATS).count() == 2
+    assert lake.read_batches(spark, "rt_alerts", LIVE_ALERTS).count() == 2
+
+
+def test_alert_job_reads_finance_only(spark, topic, tmp_path):
+    drop(tmp_path / "topic", "1.json", event(1, 0, 500), event(2, 0, 500, source="pos"), event(3, 0, 100))
+    live.start_alerts(topic(), str(tmp_path / "checkpoint"), sink="parquet", options={"path": str(tmp_path / "out")},
+                      availableNow=True).awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert tuples(out.select("warning", "txn_id", "profit")) == [("LO NANG", "T1", -500)]
+
+
+def test_console_alerts(topic, tmp_path, capfd):
+    drop(tmp_path / "topic", "1.json", event(1, 0, 500))
+    live.start_alerts(topic(), str(tmp_path / "checkpoint"), availableNow=True).awaitTermination()
+
+
+def test_parsed_numbers(spark):
+    raw = spark.createDataFrame([(json.dumps(event(1, 5, 1, qty=2.0)),)], "value string")
+    row = live.parse_events(raw).first()
+    assert (row["qty"], row["promotion"]) == (2, 1)
+    assert dict(live.parse_events(raw).dtypes)["qty"] == "bigint"
+
+
+class Writer:
+    """Stands in for a DataFrame writer: no database is started for the tests."""
+
+    def __init__(self, calls):
+        self.calls, self.options = calls, {}
+
+    def mode(self, mode):
+        self.options["mode"] = mode
+        return self
+
+    def option(self, key, value):
+        self.options[key] = value
+        return self
+
+    def jdbc(self, url, table, properties):
+        self.calls.append((url, table, self.options, properties))
+
+
+def test_jdbc_replace_options():
+    calls = []
+
+    class Frame:
+        write = Writer(calls)
+
+    Jdbc("jdbc:x", {"user": "u"}, connections=3).replace(Frame(), "report_a")
+    assert calls == [("jdbc:x", "report_a", {"mode": "overwrite", "truncate": True, "numPartitions": 3}, {"user": "u"})]
+
+
+def test_jdbc_batch_writes_only_what_is_missing(spark, monkeypatch):
+    from pyspark.sql import DataFrameReader, DataFrameWriter
+    written, asked = [], []
+    stored = spark.createDataFrame([("q", 4, "T1")], "query_id string, batch_id bigint, txn_id string")
+
+    def read(self, url, table, properties):
+        asked.append(table)
+        return stored
+
+    def write(self, url, table, properties):
+        written.append((table, tuples(self._df)))
+
+    monkeypatch.setattr(DataFrameReader, "jdbc", read)
+    monkeypatch.setattr(DataFrameWriter, "jdbc", write)
+    alerts = spark.createDataFrame([("T1", 1.0), ("T2", 2.0)], "txn_id string, profit double")
+    Jdbc("jdbc:x").append_batch(alerts, "rt_alerts", "q", 4, keys=["txn_id"])
+    assert written == [("rt_alerts", [("T2", 2.0, "q", 4)])]
+    assert "batch_id = 4" in asked[0] and "query_id = 'q'" in asked[0]
+
+
+def test_jdbc_incremental_read_bounds(spark, monkeypatch):
+    from pyspark.sql import DataFrameReader
+    from retailloom.sources.tables import jdbc_rows_after
+    asked = []
+
+    def read(self, url, table, column=None, lowerBound=None, upperBound=None, numPartitions=None, properties=None):
+        asked.append((table, column, lowerBound, upperBound, numPartitions))
+        return spark.createDataFrame([(40,)], "high int")
+
+    monkeypatch.setattr(DataFrameReader, "jdbc", read)
+    jdbc_rows_after(spark, "jdbc:x", "sales", 10, {})
+    assert asked[1] == ("(select * from sales where id > 10 and id <= 40) q", "id", 11, 41, 8)
