@@ -1,9 +1,10 @@
 """The business reports.
 
 Reports read *measures*: rows of the finance source with ``revenue, cost, profit, units, row_count`` and
-``priced_rows``. A measure row stands for ``row_count`` sales, so every report gives the same result on the
-raw fact (``sales_measures``) and on the far smaller pre-aggregates (``store_day_cube``,
-``product_month_cube``), which the batch job builds with one scan each.
+``priced_rows``, or of the online source with ``revenue`` and ``order_count``. A measure row stands for
+``row_count`` (``order_count``) sales, so every report gives the same result on the raw fact
+(``sales_measures``, ``order_measures``) and on the far smaller cubes, which the ingest keeps up to date by
+adding each batch's sums. Reports then never scan the fact.
 """
 
 from __future__ import annotations
@@ -15,11 +16,12 @@ from pyspark.sql import functions as F
 
 from retailloom.functions.columns import low_stock, profit, whole
 from retailloom.operators.normalize import union_sources
-from retailloom.schemas import ECOMMERCE, ERP, OFFLINE
+from retailloom.schemas import ECOMMERCE, ERP, OFFLINE, fields
 
 MEASURES = ("revenue", "cost", "profit", "units", "row_count", "priced_rows")
 STORE_DAY = ("txn_date", "month", "store_id", "region", "channel", "costed")
 PRODUCT_MONTH = ("product_id", "txn_month", "month", "costed")
+ORDERS = ("customer_id", "device", "payment_method")
 
 
 def sales_measures(fact: DataFrame) -> DataFrame:
@@ -34,8 +36,14 @@ def sales_measures(fact: DataFrame) -> DataFrame:
     )
 
 
-def _cube(sales: DataFrame, dimensions: tuple[str, ...]) -> DataFrame:
-    return sales.groupBy(*dimensions).agg(*[F.sum(name).alias(name) for name in MEASURES])
+def order_measures(fact: DataFrame) -> DataFrame:
+    """Online orders of the fact as measures."""
+    return fact.where(F.col("source") == ECOMMERCE).select(
+        *ORDERS, "revenue", F.lit(1).cast("bigint").alias("order_count"))
+
+
+def _cube(rows: DataFrame, dimensions: tuple[str, ...], measures: tuple[str, ...] = MEASURES) -> DataFrame:
+    return rows.groupBy(*dimensions).agg(*[F.sum(name).alias(name) for name in measures])
 
 
 def store_day_cube(sales: DataFrame) -> DataFrame:
@@ -46,6 +54,26 @@ def product_month_cube(sales: DataFrame) -> DataFrame:
     return _cube(sales, PRODUCT_MONTH)
 
 
+def order_cube(orders: DataFrame) -> DataFrame:
+    return _cube(orders, ORDERS, ("revenue", "order_count"))
+
+
+# The cubes the ingest maintains, each from fact rows.
+CUBES = {
+    "cube_store_day": lambda fact: store_day_cube(sales_measures(fact)),
+    "cube_product_month": lambda fact: product_month_cube(sales_measures(fact)),
+    "cube_orders": lambda fact: order_cube(order_measures(fact)),
+}
+_SUMS = "revenue double, cost double, profit double, units bigint, row_count bigint, priced_rows bigint"
+CUBE_SCHEMAS = {
+    "cube_store_day": fields("txn_date date, month int, store_id string, region string, channel string, "
+                             f"costed boolean, {_SUMS}"),
+    "cube_product_month": fields(f"product_id string, txn_month date, month int, costed boolean, {_SUMS}"),
+    "cube_orders": fields("customer_id string, device string, payment_method string, revenue double, "
+                          "order_count bigint"),
+}
+
+
 def _total(name: str) -> Column:
     return whole(F.sum(name)).alias(name)
 
@@ -94,20 +122,16 @@ def channel_pnl(sales: DataFrame) -> DataFrame:
             .agg(F.sum("row_count").alias("row_count"), _total("revenue"), _total("profit")))
 
 
-def _orders(fact: DataFrame) -> DataFrame:
-    return fact.where(F.col("source") == ECOMMERCE)
-
+def device_payment(orders: DataFrame) -> DataFrame:
+    return (orders.groupBy("device", "payment_method")
+            .agg(F.sum("order_count").alias("order_count"), _total("revenue")))
 
-def device_payment(fact: DataFrame) -> DataFrame:
-    return (_orders(fact).groupBy("device", "payment_method")
-            .agg(F.count(F.lit(1)).alias("order_count"), _total("revenue")))
 
-
-def segment_revenue(fact: DataFrame, customer: DataFrame) -> DataFrame:
+def segment_revenue(orders: DataFrame, customer: DataFrame) -> DataFrame:
     """Online orders per customer segment. Orders are summed per customer before the join, so a customer
     with very many orders brings one row to it."""
-    per_customer = (_orders(fact).where(F.col("customer_id").isNotNull()).groupBy("customer_id")
-                    .agg(F.count(F.lit(1)).alias("order_count"), F.sum("revenue").alias("revenue")))
+    per_customer = (orders.where(F.col("customer_id").isNotNull()).groupBy("customer_id")
+                    .agg(F.sum("order_count").alias("order_count"), F.sum("revenue").alias("revenue")))
     return (per_customer.join(customer.select("customer_id", "segment"), "customer_id")
             .groupBy("segment").agg(F.sum("order_count").alias("order_count"), _total("revenue")))
 
@@ -152,7 +176,7 @@ def labelled_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows per table under its label."""
     counts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(label).alias("label"), "row_count")
               for label, df in tables.items()]
-    return union_sources(*counts)
+    return union_sources(*counts).orderBy("label")
 
 
 # How each report is read: a stored table has no order.
@@ -178,6 +202,13 @@ def ordered(df: DataFrame, report: str) -> DataFrame:
     return df.orderBy(*keys)
 
 
+def presented(df: DataFrame, *columns: str) -> DataFrame:
+    """The chosen columns with money as whole numbers, so that none is shown in scientific notation."""
+    kinds = dict(df.dtypes)
+    return df.select(*[F.col(name).try_cast("bigint").alias(name) if kinds[name] == "double" else F.col(name)
+                       for name in columns or df.columns])
+
+
 def previewed(df: DataFrame, report: str, n: int = 20) -> DataFrame:
     """The first ``n`` rows in the report's reading order."""
     return ordered(df, report).limit(n) if report in ORDER else df.limit(n)

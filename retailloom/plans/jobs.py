@@ -1,4 +1,4 @@
-"""The batch run: ingest, cubes, rollup, reports, analysis, publish."""
+"""The batch run: ingest, rollup, reports, analysis, publish."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructType
 from retailloom.operators import ml, planning, reports
 from retailloom.operators.dedup import newest_customers
 from retailloom.operators.inventory import snapshot, stock_on_hand, value_stock
-from retailloom.operators.rollup import LEVELS, PARENT, business_date, closed, daily, roll_up, unseen
+from retailloom.operators.rollup import LEVELS, PARENT, business_date, closed, daily, late_rows, roll_up, unseen
 from retailloom.plans.publish import publish
 from retailloom.schemas import CUSTOMER, FACT, FACT_PARTITIONS, INVENTORY, PERIOD, PRODUCT, SNAPSHOT, WAREHOUSE, fields
 from retailloom.sinks.stores import Lake
@@ -63,40 +63,36 @@ def ingest(spark: SparkSession, cfg: Config) -> dict[str, int]:
     create_database(spark, cfg)
     if files.exists(spark, cfg.landing):
         landing = files.json_lines_stream(spark, cfg.landing, cfg.archive)
-        ingest_landed(landing, cfg.table("sales"), f"{cfg.checkpoint}/sales")
+        ingest_landed(landing, cfg.table("sales"), f"{cfg.checkpoint}/sales", Lake(cfg.lake))
     replace_table(spark.read.schema(PRODUCT).parquet(cfg.product), cfg.table("dim_product"))
     lake = Lake(cfg.lake)
     if files.exists(spark, cfg.movements):
         landing = spark.readStream.schema(MOVEMENT_LANDING).json(cfg.movements)
         start_movements(landing, lake, f"{cfg.checkpoint}/movements").awaitTermination()
-    if files.exists(spark, lake.path("stock_ledger")):
-        balances = lake.read_batches(spark, "stock_ledger", LEDGER)
-        current = value_stock(stock_on_hand(balances.withColumnRenamed("stock_qty", "qty")),
-                              spark.table(cfg.table("dim_product"))).withColumn("source", F.lit(WAREHOUSE))
-        replace_table(current, cfg.table("inventory"))
-        overwrite_day(snapshot(spark.table(cfg.table("inventory")), cfg.snapshot_date),
-                      cfg.table("stock_snapshot"), "snapshot_date", cfg.snapshot_date)
+    balances = lake.read_batches(spark, "stock_ledger", LEDGER)
+    current = value_stock(stock_on_hand(balances.withColumnRenamed("stock_qty", "qty")),
+                          spark.table(cfg.table("dim_product"))).withColumn("source", F.lit(WAREHOUSE))
+    replace_table(current, cfg.table("inventory"))
+    overwrite_day(snapshot(spark.table(cfg.table("inventory")), cfg.snapshot_date),
+                  cfg.table("stock_snapshot"), "snapshot_date", cfg.snapshot_date)
     customers = (files.customer_file(spark, cfg.customers) if files.exists(spark, cfg.customers)
                  else spark.createDataFrame([], CUSTOMER))
     replace_table(newest_customers(customers), cfg.table("dim_customer"))
     return {}
 
 
-def cubes(spark: SparkSession, cfg: Config) -> dict[str, int]:
-    """The pre-aggregates all finance reports read: one scan of the fact each instead of one per report."""
-    sales = reports.sales_measures(spark.table(cfg.table("sales")))
-    replace_table(reports.store_day_cube(sales), cfg.table("cube_store_day"))
-    replace_table(reports.product_month_cube(sales), cfg.table("cube_product_month"))
-    return {}
+def cube(spark: SparkSession, cfg: Config, name: str) -> DataFrame:
+    """The sums of all batches; the reports that read them add them up."""
+    return Lake(cfg.lake).read_batches(spark, name, reports.CUBE_SCHEMAS[name])
 
 
 def rollup(spark: SparkSession, cfg: Config) -> dict[str, int]:
     """Append the newly closed periods of every level; returns how many each got.
 
-    The bounds are read first (one row each) and used as literals: the daily level reads only the days
-    after the last stored one.
+    The bounds are read first (one row each) and used as literals. A day that was stored stays as it is:
+    sales that arrive for it later are found by ``late_days``.
     """
-    sales = reports.sales_measures(spark.table(cfg.table("sales")))
+    sales = cube(spark, cfg, "cube_store_day")
     current = business_date(sales).first()["business_date"]
     added = {}
     if current is None:
@@ -104,42 +100,63 @@ def rollup(spark: SparkSession, cfg: Config) -> dict[str, int]:
     for level in LEVELS:
         table = cfg.table(f"agg_{level}")
         stored = spark.table(table).agg(F.max("period").alias("last")).first()["last"]
-        source = daily(sales) if level == "day" else roll_up(spark.table(cfg.table(f"agg_{PARENT[level]}")), level)
-        added[level] = append_counted(unseen(closed(source, level, current), stored), table)
+        added[level] = append_counted(unseen(closed(_level(spark, cfg, level), level, current), stored), table)
     return added
 
 
+def _level(spark: SparkSession, cfg: Config, level: str) -> DataFrame:
+    if level == "day":
+        return daily(cube(spark, cfg, "cube_store_day"))
+    return roll_up(spark.table(cfg.table(f"agg_{PARENT[level]}")), level)
+
+
+def late_days(spark: SparkSession, cfg: Config) -> DataFrame:
+    """Stored days whose sales have changed since."""
+    return late_rows(daily(cube(spark, cfg, "cube_store_day")), spark.table(cfg.table("agg_day")))
+
+
+def rebuild_periods(spark: SparkSession, cfg: Config) -> None:
+    """All closed periods anew, late sales included."""
+    current = business_date(cube(spark, cfg, "cube_store_day")).first()["business_date"]
+    for level in LEVELS:
+        periods = _level(spark, cfg, level)
+        replace_table(closed(periods, level, current) if current else periods, cfg.table(f"agg_{level}"))
+
+
 def report_tables(spark: SparkSession, cfg: Config) -> dict[str, Callable[[], DataFrame]]:
     """Every report by name."""
     def table(name: str) -> DataFrame:
         return spark.table(cfg.table(name))
 
+    days, products, orders = (cube(spark, cfg, name) for name in reports.CUBES)
     return {
-        "store_month_pnl": lambda: reports.store_month_pnl(table("cube_store_day")),
-        "region_profit": lambda: reports.region_profit(table("cube_store_day")),
-        "top_products_revenue": lambda: reports.top_products_revenue(table("cube_product_month")),
+        "store_month_pnl": lambda: reports.store_month_pnl(days),
+        "region_profit": lambda: reports.region_profit(days),
+        "top_products_revenue": lambda: reports.top_products_revenue(products),
         "low_stock": lambda: reports.low_stock_products(table("inventory")),
-        "top_products_profit": lambda: reports.top_products_profit(table("cube_product_month")),
+        "top_products_profit": lambda: reports.top_products_profit(products),
         "stock_value": lambda: reports.stock_value_list(table("inventory")),
-        "channel_pnl": lambda: reports.channel_pnl(table("cube_store_day")),
-        "device_payment": lambda: reports.device_payment(table("sales")),
-        "segment_revenue": lambda: reports.segment_revenue(table("sales"), table("dim_customer")),
+        "channel_pnl": lambda: reports.channel_pnl(days),
+        "device_payment": lambda: reports.device_payment(orders),
+        "segment_revenue": lambda: reports.segment_revenue(orders, table("dim_customer")),
         "stock_trend": lambda: reports.stock_trend(table("stock_snapshot")),
-        "daily_series": lambda: reports.daily_series(table("cube_store_day")),
+        "daily_series": lambda: reports.daily_series(days),
     }
 
 
 def analysis_tables(spark: SparkSession, cfg: Config) -> dict[str, Callable[[], DataFrame]]:
-    """Forecast, clusters, correlation and plan by name."""
+    """Forecast, clusters, correlation and plan by name. Only the correlation reads the fact: it pairs
+    rows of two sources."""
     def table(name: str) -> DataFrame:
         return spark.table(cfg.table(name))
 
+    days, products = cube(spark, cfg, "cube_store_day"), cube(spark, cfg, "cube_product_month")
     return {
-        "revenue_forecast": lambda: ml.forecast_next(ml.monthly_series(table("cube_store_day"))),
-        "store_clusters": lambda: ml.cluster_stores(ml.store_features(table("cube_store_day"))),
+        "revenue_forecast": lambda: ml.forecast_next(ml.monthly_series(days)),
+        "store_clusters": lambda: ml.cluster_stores(ml.store_features(days)),
         "promo_profit_corr": lambda: ml.promo_profit_corr(table("sales")),
         "replenishment_plan": lambda: planning.replenishment_plan(
-            planning.monthly_demand(table("cube_product_month")), table("dim_product"), table("inventory")),
+            planning.monthly_demand(products), table("dim_product"), table("inventory")),
     }
 
 
@@ -184,7 +201,6 @@ class Step:
 
 STEPS = (
     Step("ingest", ingest, required=True),
-    Step("cubes", cubes, required=True),
     Step("rollup", rollup),
     Step("reports", store_reports),
     Step("analysis", store_analysis),

@@ -154,6 +154,21 @@ REGION_PROFIT = _with("""
 ORACLE: dict[str, str] = {
     "region_profit": REGION_PROFIT,
     "region_profit_from_cube": REGION_PROFIT,
+    "region_profit_presented": _with("""
+        SELECT region, CAST(round(sum(revenue), 0) AS BIGINT) AS revenue,
+               CAST(round(sum(revenue - cost), 0) AS BIGINT) AS profit
+        FROM erp WHERE cost IS NOT NULL GROUP BY region""", "erp"),
+    "ingested_cubes": _with("""
+        SELECT region, round(sum(revenue), 0) AS revenue, round(sum(revenue - cost), 0) AS profit
+        FROM (SELECT DISTINCT ON (txn_id) * FROM erp ORDER BY txn_id, product_id, region, revenue, cost, txn_date)
+        WHERE cost IS NOT NULL GROUP BY region
+        UNION ALL
+        SELECT device, round(sum(revenue), 0), NULL
+        FROM (SELECT DISTINCT ON (txn_id) * FROM ecom ORDER BY txn_id, revenue, device, txn_date)
+        GROUP BY device""", "erp", "ecom"),
+    "order_cube": _with("""
+        SELECT customer_id, device, payment_method, sum(revenue) AS revenue, count(*) AS order_count
+        FROM ecom GROUP BY customer_id, device, payment_method""", "ecom"),
     "store_month_pnl": _with("""
         SELECT store_id, month, round(sum(revenue), 0) AS revenue, round(sum(cost), 0) AS cost,
                round(sum(revenue - cost), 0) AS profit

@@ -55,6 +55,11 @@ def region_profit(star: Star) -> DataFrame:
     return reports.ordered(reports.region_profit(_sales(star, "region", "revenue", "cost")), "region_profit")
 
 
+@query
+def region_profit_presented(star: Star) -> DataFrame:
+    return reports.presented(region_profit(star), "region", "revenue", "profit")
+
+
 @query
 def store_month_pnl(star: Star) -> DataFrame:
     sales = _sales(star, "store_id", "month", "channel", "revenue", "cost")
@@ -122,13 +127,22 @@ def rows_per_channel(star: Star) -> DataFrame:
 @query
 def device_payment(star: Star) -> DataFrame:
     fact = star.ecommerce("source", "device", "payment_method", "revenue")
-    return reports.ordered(reports.device_payment(fact), "device_payment")
+    orders = reports.order_measures(fact.withColumn("customer_id", F.lit(None).cast("string")))
+    return reports.ordered(reports.device_payment(orders), "device_payment")
 
 
 @query
 def segment_revenue(star: Star) -> DataFrame:
     fact = star.ecommerce("source", "customer_id", "revenue")
-    return reports.ordered(reports.segment_revenue(fact, star.customer("customer_id", "segment")), "segment_revenue")
+    orders = reports.order_measures(fact.withColumns(
+        {name: F.lit(None).cast("string") for name in ("device", "payment_method")}))
+    return reports.ordered(reports.segment_revenue(orders, star.customer("customer_id", "segment")), "segment_revenue")
+
+
+@query
+def order_cube(star: Star) -> DataFrame:
+    fact = star.ecommerce("source", "customer_id", "device", "payment_method", "revenue")
+    return reports.order_cube(reports.order_measures(fact))
 
 
 # Periods
@@ -463,6 +477,22 @@ def landing_ingest(star: Star) -> DataFrame:
     return spark.table(table)
 
 
+@query
+def ingested_cubes(star: Star) -> DataFrame:
+    """Finance rows and online orders through the ingest, whose cubes alone feed the reports."""
+    spark = star.spark
+    lake, table = Lake(scratch(spark, "cubes")), f"{_fresh_database(star, 'cubes')}.sales"
+    normalize.union_sources(
+        star.erp("txn_id", "source", "region", "product_id", "revenue", "cost", "txn_date"),
+        star.ecommerce("txn_id", "source", "revenue", "device", "txn_date")).write.json(lake.path("landing"))
+    ingest.ingest_landed(files.json_lines_stream(spark, lake.path("landing")), table, lake.path("checkpoint"), lake)
+    days, _, orders = (lake.read_batches(spark, name, schema) for name, schema in reports.CUBE_SCHEMAS.items())
+    regions = reports.region_profit(days).select("region", "revenue", "profit")
+    devices = reports.device_payment(orders).select(F.col("device").alias("region"), "revenue",
+                                                    F.lit(None).cast("double").alias("profit"))
+    return regions.unionByName(devices)
+
+
 # Live
 
 def _live(star: Star) -> Lake:

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 _TYPES = {
     "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(),
-    "date": T.DateType(), "timestamp": T.TimestampType(),
+    "date": T.DateType(), "timestamp": T.TimestampType(), "boolean": T.BooleanType(),
 }
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from retailloom.sources.files import exists
+
 BATCH = ("query_id", "batch_id")
 
 
@@ -35,9 +37,20 @@ class Lake:
         (_stamped(df, query_id, batch_id).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(*BATCH).parquet(self.path(name)))
 
+    def has_batch(self, spark: SparkSession, name: str, query_id: str, batch_id: int) -> bool:
+        """Whether the batch's partition is there; it appears by one rename, so it is complete."""
+        return exists(spark, f"{self.path(name)}/query_id={query_id}/batch_id={batch_id}")
+
+    def replace_batches(self, df: DataFrame, name: str) -> None:
+        """One partition in place of all."""
+        _stamped(df, "rebuilt", 0).write.mode("overwrite").partitionBy(*BATCH).parquet(self.path(name))
+
     def read_batches(self, spark: SparkSession, name: str, schema: StructType) -> DataFrame:
+        """All batches of a table; no rows while nothing is written."""
         stamped = StructType([f for f in schema if f.name not in BATCH]
                              + [StructField("query_id", StringType()), StructField("batch_id", LongType())])
+        if not exists(spark, self.path(name)):
+            return spark.createDataFrame([], stamped)
         return spark.read.schema(stamped).parquet(self.path(name))
 
 

@@ -62,18 +62,33 @@ def test_whole_run_twice(spark, cfg, shop):
 
 def test_nothing_landed(spark, cfg, tmp_path):
     cfg.landing = str(tmp_path / "nowhere")
-    results = jobs.run(spark, cfg, ["ingest", "cubes", "rollup", "reports"])
+    results = jobs.run(spark, cfg, ["ingest", "rollup", "reports"])
     assert results["rollup"].rows == {} and results["reports"].ok
     assert table(spark, cfg, "report_region_profit").isEmpty()
 
 
+def test_late_sales(spark, cfg, tmp_path):
+    jobs.run(spark, cfg, ["ingest", "rollup"])
+    assert jobs.late_days(spark, cfg).isEmpty()
+    (tmp_path / "landing" / "late.json").write_text(json.dumps({
+        "source": "erp", "txn_id": "L000000099", "qty": 1, "revenue": 70, "cost": 50, "txn_date": "2026-07-03"}))
+    assert jobs.run(spark, cfg, ["ingest", "rollup"])["rollup"].rows["day"] == 0
+    assert tuples(jobs.late_days(spark, cfg).select("period", "revenue", "stored_revenue")) == [
+        (date(2026, 7, 3), 70, None)]
+    jobs.rebuild_periods(spark, cfg)
+    assert jobs.late_days(spark, cfg).isEmpty()
+    assert tuples(table(spark, cfg, "agg_month").select("revenue")) == [(1020.0,), (1240.0,)]
+    assert jobs.run(spark, cfg, ["rollup"])["rollup"].rows == {
+        "day": 0, "week": 0, "month": 0, "quarter": 0, "year": 0}
+
+
 def test_failing_steps(spark, cfg, monkeypatch):
     def broken(*_):
         raise RuntimeError("broken")
 
-    jobs.run(spark, cfg, ["ingest", "cubes", "rollup"])
+    jobs.run(spark, cfg, ["ingest", "rollup"])
     monkeypatch.setattr(jobs, "report_tables", lambda *_: {"bad": broken, "region_profit": lambda: table(
-        spark, cfg, "cube_store_day").groupBy("region").count().selectExpr("region", "1 profit")})
+        spark, cfg, "sales").groupBy("region").count().selectExpr("region", "1 profit")})
     results = jobs.run(spark, cfg, ["reports", "publish"])
     assert not results["reports"].ok and "bad" in results["reports"].error
     assert results["publish"].ok and "report_region_profit" in results["publish"].rows

@@ -50,7 +50,7 @@ def test_unused_lookups_are_not_joined(star):
 def test_no_python_and_no_cross_join(star):
     eager = {"rollup_cascade", "serving_counts", "snapshot_table", "stock_ledger", "store_clusters", "cluster_sizes",
              "landing_ingest", "live_stats", "live_alerts", "labelled_alerts", "alert_total", "latest_alerts",
-             "region_profit_from_cube"}
+             "region_profit_from_cube", "ingested_cubes"}
     for name, build in REGISTRY.items():
         if name in eager:
             continue
@@ -64,3 +64,17 @@ def test_sums_are_partial_before_the_shuffle(star):
         text = plan(REGISTRY[name](star))
         assert text.count("partial_sum") >= 1, name
     assert plan(REGISTRY["monthly_demand"](star)).count("Exchange hashpartitioning") == 1
+
+
+def test_hot_partition_is_written_by_many_tasks(spark, database):
+    from retailloom.sinks.tables import append_partitioned
+    rows = spark.range(0, 400000, 1, 8).selectExpr(
+        "cast(id as string) txn_id", "if(id % 3 = 0, 'hot', concat('s', id % 4)) source", "int(1) month")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200000")
+    try:
+        append_partitioned(rows, f"{database}.sales", ["source", "month"], sort=["txn_id"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    stored = spark.table(f"{database}.sales")
+    assert stored.count() == 400000
+    assert len([f for f in stored.inputFiles() if "source=hot" in f]) > 1

@@ -83,15 +83,33 @@ def test_finance_holds_every_sale_once(shop):
     assert counts["erp"] == counts["pos"] + counts["ecommerce"]
 
 
-def test_online(shop):
-    assert tuples(reports.device_payment(shop.fact)) == [("app", "cod", 1, 450), ("web", "card", 1, 50)]
-    assert tuples(reports.segment_revenue(shop.fact, shop.customer)) == [("Consumer", 1, 50), ("Corporate", 1, 450)]
+def orders(shop, cube=False):
+    rows = reports.order_measures(shop.fact)
+    return reports.order_cube(rows) if cube else rows
+
+
+@BY_RAW_OR_CUBE
+def test_online(shop, cube):
+    rows = orders(shop, cube)
+    assert tuples(reports.device_payment(rows)) == [("app", "cod", 1, 450), ("web", "card", 1, 50)]
+    assert tuples(reports.segment_revenue(rows, shop.customer)) == [("Consumer", 1, 50), ("Corporate", 1, 450)]
+
+
+def test_cube_schemas(shop):
+    for name, build in reports.CUBES.items():
+        found = build(shop.fact)
+        assert [(f.name, f.dataType) for f in found.schema] == [(f.name, f.dataType) for f in reports.CUBE_SCHEMAS[name]]
+
+
+def test_presented(shop):
+    shown = reports.presented(reports.region_profit(shop.sales), "region", "profit")
+    assert shown.dtypes == [("region", "string"), ("profit", "bigint")]
 
 
 def test_segments_drop_unknown_and_repeat_doubled_customers(shop):
     known = shop.customer.where("customer_id = 'CUST0001'")
-    assert tuples(reports.segment_revenue(shop.fact, known)) == [("Consumer", 1, 50)]
-    assert tuples(reports.segment_revenue(shop.fact, known.unionByName(known))) == [("Consumer", 2, 100)]
+    assert tuples(reports.segment_revenue(orders(shop), known)) == [("Consumer", 1, 50)]
+    assert tuples(reports.segment_revenue(orders(shop), known.unionByName(known))) == [("Consumer", 2, 100)]
 
 
 def test_stock_reports(shop):

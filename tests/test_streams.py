@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retailloom.operators.inventory import stock_on_hand
+from retailloom.operators.reports import CUBE_SCHEMAS, CUBES
 from retailloom.schemas import FACT, FACT_PARTITIONS, LIVE_ALERTS, LIVE_STATS, fields
 from retailloom.sinks.stores import Jdbc, Lake
 from retailloom.sinks.tables import ensure_table
@@ -65,6 +66,45 @@ def test_repeated_batch_adds_nothing(spark, shop, database):
         "source=erp", "source=pos", "source=ecommerce"}
 
 
+def test_cubes_follow_the_fact_through_crashes(spark, shop, database, tmp_path, monkeypatch):
+    table, lake = f"{database}.sales", Lake(str(tmp_path))
+    ensure_table(spark, table, FACT, FACT_PARTITIONS)
+    first, second = shop.fact.where("txn_date < '2026-07-02'"), shop.fact
+
+    def equal():
+        for name, build in CUBES.items():
+            sums = [c for c in CUBE_SCHEMAS[name].fieldNames()
+                    if c in ("revenue", "cost", "profit", "units", "row_count", "priced_rows", "order_count")]
+            keys = [c for c in CUBE_SCHEMAS[name].fieldNames() if c not in sums]
+            stored = lake.read_batches(spark, name, CUBE_SCHEMAS[name]).groupBy(*keys).agg(
+                *[F.sum(c).alias(c) for c in sums])
+            assert tuples(stored) == tuples(build(spark.table(table))), name
+
+    ingest.append_fact(first, table, lake, "q", 0)
+    equal()
+    write = ingest.append_partitioned
+    monkeypatch.setattr(ingest, "append_partitioned", lambda *a, **k: 1 / 0)  # the sums are in, the fact is not
+    with pytest.raises(ZeroDivisionError):
+        ingest.append_fact(second, table, lake, "q", 1)
+
+    def half(df, *args, **more):  # a crash in the middle of the commit
+        write(df.where("source = 'erp'"), *args, **more)
+        raise ZeroDivisionError
+
+    monkeypatch.setattr(ingest, "append_partitioned", half)
+    with pytest.raises(ZeroDivisionError):
+        ingest.append_fact(second, table, lake, "q", 1)
+    monkeypatch.setattr(ingest, "append_partitioned", write)
+    for _ in range(2):
+        ingest.append_fact(second, table, lake, "q", 1)
+        assert spark.table(table).count() == 12
+        equal()
+    ingest.rebuild_cubes(spark, table, lake)
+    equal()
+    ingest.append_fact(second, table, lake, "q", 1)
+    equal()
+
+
 def movements(spark, *rows):
     return spark.createDataFrame(
         [tuple(None if v is None else str(v) for v in r) for r in rows],
