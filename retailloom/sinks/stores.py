@@ -43,7 +43,8 @@ class Lake:
 
     def replace_batches(self, df: DataFrame, name: str) -> None:
         """One partition in place of all."""
-        _stamped(df, "rebuilt", 0).write.mode("overwrite").partitionBy(*BATCH).parquet(self.path(name))
+        (_stamped(df, "rebuilt", 0).write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy(*BATCH).parquet(self.path(name)))
 
     def read_batches(self, spark: SparkSession, name: str, schema: StructType) -> DataFrame:
         """All batches of a table; no rows while nothing is written."""

@@ -110,3 +110,18 @@ def test_vietnamese_names(spark):
     alerts = spark.createDataFrame([(1.0,)], "revenue double")
     assert vietnamese(alerts, "rt_alerts")[0].columns == ["revenue"]
     assert vietnamese(alerts, "agg_day")[0].columns == ["doanh_thu"]
+
+
+def test_command_line(spark, cfg, tmp_path, capsys):
+    from retailloom.__main__ import main
+    settings = {name: getattr(cfg, name) for name in
+                ("database", "landing", "movements", "customers", "product", "lake", "checkpoint")}
+    settings |= {"snapshot_date": "2026-08-03", "target": {"lake": str(tmp_path / "serving")}, "in_vietnamese": True}
+    (tmp_path / "settings.json").write_text(json.dumps(settings))
+    path = str(tmp_path / "settings.json")
+    assert main(["batch", path, "ingest", "rollup", "publish"]) == 0
+    assert "rollup ok {'day': 3" in capsys.readouterr().out
+    assert spark.read.parquet(str(tmp_path / "serving" / "agg_ngay")).columns == ["ky", "doanh_thu", "loi_nhuan", "so_dong"]
+    assert main(["late", path]) == 0 and main(["rebuild", path]) == 0
+    assert table(spark, cfg, "agg_month").count() == 2
+    assert main(["reset", path]) == 0
