@@ -65,4 +65,4 @@ def period_start(day: Column, unit: str) -> Column:
 def id_number(column: Column, prefix: str) -> Column:
     """The running number of ids such as INV000000042; null for ids of another shape."""
     return F.when(column.rlike(f"^{prefix}[0-9]+$"),
-                  F.substring(column, len(prefix) + 1, 18).try_cast("bigint"))
+                  F.substr(column, F.lit(len(prefix) + 1)).try_cast("bigint"))

@@ -18,8 +18,13 @@ def to_messages(df: DataFrame, topic: str | None = None, key: str | None = None)
 
 
 def from_messages(messages: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
-    """Columns of the JSON object in ``value``; a malformed message becomes a row of nulls."""
-    return messages.select(F.from_json(F.col(value).cast("string"), schema).alias("m")).select("m.*")
+    """Columns of the JSON object in ``value``; a malformed message becomes a row of nulls.
+
+    The object is unpacked by ``inline``: a filter on its fields stays above it, while one on
+    ``select("m.*")`` would be pushed down together with a second parse of every message.
+    """
+    parsed = F.from_json(F.col(value).cast("string"), schema)
+    return messages.select(F.inline(F.array(parsed)))
 
 
 def split_array(messages: DataFrame, element: StructType, value: str = "value") -> DataFrame:

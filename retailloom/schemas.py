@@ -50,7 +50,7 @@ FACT = fields(
     "payment_method string, txn_date date, source string, month int"
 )
 FACT_PARTITIONS = ("source", "month")
-FACT_KEY = ("source", "txn_id")
+FACT_KEY = ("txn_id", "source")
 
 PRODUCT = fields(
     "product_id string, product_name string, unit_cost double, reorder_level int"

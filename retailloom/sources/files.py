@@ -8,9 +8,19 @@ from pyspark.sql.types import StructType
 from retailloom.schemas import CUSTOMER, LANDING
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def _place(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, place = _place(spark, path)
+    return system.exists(place)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    system, place = _place(spark, path)
+    return system.exists(place) and system.getFileStatus(place).isDirectory()
 
 
 def json_lines(spark: SparkSession, path: str, schema: StructType = LANDING) -> DataFrame:

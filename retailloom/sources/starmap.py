@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 from retailloom.functions.columns import whole
 from retailloom.operators.normalize import union_sources
 from retailloom.schemas import ECOMMERCE, ERP, INBOUND, OFFLINE, ONLINE, OPENING, OUTBOUND, POS
+from retailloom.sources.files import is_folder
 
 # Lines of one message come from at most this many consecutive rows.
 BLOCK = 4096
@@ -176,9 +177,11 @@ class Star:
 
     def messages(self) -> DataFrame:
         """The event stream as JSON text, the way a topic delivers it."""
-        events = (self.spark.readStream.schema(self.table("events").schema)
-                  .option("pathGlobFilter", "events.parquet").parquet(self.folder))
-        return event_messages(events)
+        reader = self.spark.readStream.schema(self.table("events").schema)
+        path = f"{self.folder}/events.parquet"
+        if is_folder(self.spark, path):
+            return event_messages(reader.parquet(path))
+        return event_messages(reader.option("pathGlobFilter", "events.parquet").parquet(self.folder))
 
 
 def event_messages(events: DataFrame) -> DataFrame:
