@@ -18,7 +18,7 @@ from retailloom.operators.rollup import LEVELS, PARENT, business_date, closed, d
 from retailloom.plans.publish import publish
 from retailloom.schemas import CUSTOMER, FACT, FACT_PARTITIONS, INVENTORY, PERIOD, PRODUCT, SNAPSHOT, WAREHOUSE, fields
 from retailloom.sinks.stores import Lake
-from retailloom.sinks.tables import append_counted, ensure_table, overwrite_day, replace_table
+from retailloom.sinks.tables import append_counted, counted, ensure_table, overwrite_day, replace_table
 from retailloom.sources import files
 from retailloom.streaming.ingest import ingest_landed, start_movements
 
@@ -166,10 +166,9 @@ def _store(spark: SparkSession, cfg: Config, tables: dict[str, Callable[[], Data
     for name, build in tables.items():
         stored = cfg.table(f"report_{name}")
         try:
-            replace_table(build(), stored)
+            rows[name] = counted(build(), lambda written, stored=stored: replace_table(written, stored))
             for row in reports.previewed(spark.table(stored), name).collect():
                 log.info("%s %s", name, row.asDict())
-            rows[name] = spark.table(stored).count()
         except Exception as error:
             log.exception("report %s failed", name)
             failed.append(f"{name}: {error}")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from retailloom.functions.names import vietnamese
+from retailloom.sinks.tables import counted
 from retailloom.sources.tables import table_names
 
 PREFIXES = ("report_", "agg_")
@@ -16,12 +17,10 @@ def marts(spark: SparkSession, database: str) -> list[str]:
 
 
 def publish(spark: SparkSession, database: str, target, in_vietnamese: bool = False) -> dict[str, int]:
-    """Refill every mart in ``target`` and return the rows of each. Counts come from the stored Parquet
-    tables' metadata, not from a second run of the reports."""
+    """Refill every mart in ``target`` and return the rows of each."""
     rows = {}
     for table in marts(spark, database):
         df: DataFrame = spark.table(f"{database}.{table}")
         shown, name = vietnamese(df, table) if in_vietnamese else (df, table)
-        target.replace(shown, name)
-        rows[name] = df.count()
+        rows[name] = counted(shown, lambda written, name=name: target.replace(written, name))
     return rows

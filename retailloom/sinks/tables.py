@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -48,14 +48,17 @@ def overwrite_day(df: DataFrame, table: str, column: str, day: date) -> None:
               f"SELECT {rest} FROM {{rows}}", rows=df)
 
 
-def append_counted(df: DataFrame, table: str) -> int:
-    """Append and return the number of rows, counted by the write itself."""
+def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Write, and return the number of rows as counted by the write itself."""
     seen = Observation()
-    (df.observe(seen, F.count(F.lit(1)).alias("rows"))
-     .write.mode("append").format("parquet").saveAsTable(table))
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
     return seen.get["rows"]
 
 
+def append_counted(df: DataFrame, table: str) -> int:
+    return counted(df, lambda rows: rows.write.mode("append").format("parquet").saveAsTable(table))
+
+
 def insert_absent(df: DataFrame, table: str, keys: Sequence[str]) -> None:
     """Add rows with new keys; rows already stored keep their values."""
     spark = df.sparkSession
