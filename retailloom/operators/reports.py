@@ -9,7 +9,6 @@ adding each batch's sums. Reports then never scan the fact.
 
 from __future__ import annotations
 
-from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F

@@ -6,12 +6,12 @@ import uuid
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retailloom.functions.messages import from_messages, split_array, to_messages
 from retailloom.operators import dedup, inventory, ml, normalize, planning, reports, rollup
-from retailloom.schemas import EVENT, FACT, FACT_PARTITIONS, LIVE_ALERTS, LIVE_STATS, PERIOD, SNAPSHOT, fields
+from retailloom.schemas import EVENT, FACT, LIVE_ALERTS, LIVE_STATS, PERIOD, SNAPSHOT, fields
 from retailloom.session import materialize, scratch
 from retailloom.sinks.stores import Lake
 from retailloom.sinks.tables import append_counted, ensure_table, overwrite_day

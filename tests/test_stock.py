@@ -1,7 +1,5 @@
 from datetime import date
 
-import pytest
-
 from retailloom.operators import inventory, normalize, planning
 from retailloom.operators.dedup import absent, dedup, new_only, newest_customers
 from retailloom.operators.reports import product_month_cube
