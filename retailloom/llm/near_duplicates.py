@@ -1,8 +1,9 @@
 """Near-duplicates: b-bit MinHash with band candidates, confirmed on whole shingle sets, as connected components.
 
-Documents of one shingle set are one class from the start. In a band bucket every class is compared with the
-bucket's first one only; what that leaves apart is compared across the components found so far. So a large group of
-copies costs as many comparisons as it has members, and still no link between two components is missed.
+Documents of one shingle set are one class from the start. In a band bucket every class is first compared with one
+centre, another one in each bucket, twice; what that leaves apart is then compared across the components found so
+far. So a group of copies costs about as many comparisons as it has members, and still no link between two
+components is missed.
 """
 
 from __future__ import annotations
@@ -20,9 +21,11 @@ from retailloom.llm.words import slices
 from retailloom.session import materialize
 
 WORDS, PERCENT = 5, 80
-BANDS, ROWS, BITS = 32, 4, 2  # a pair of similarity 0.8 shares no band in 1 of 20 million cases
+BANDS, ROWS = 32, 4  # a pair of similarity 0.8 shares no band in 1 of 20 million cases
 MINIMA = BANDS * ROWS
-SLACK = 0.2  # standard deviations of the estimate: 5
+BINS, BITS = 512, 2  # minima of one permutation, and what is kept of each: 0 if its bin is empty, else 1 to 3
+SLACK = 0.08  # five standard deviations of the estimate, for sets that fill all bins; smaller sets have less
+STARS = 2
 SIGNED = "doc_id long, text_hash long, n_shingles long, digest binary, bands array<long>, bits array<long>"
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -63,7 +66,11 @@ def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
 
 
 def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Of non-empty sets: the hash of each band of minima, and the minima's low bits, 32 to a long."""
+    """Of non-empty sets: the hash of each band of minima, and the packed low bits of the bins' minima.
+
+    Each band minimum has a permutation of its own. The packed minima share one, which is cut into bins by the
+    hash's high bits; as a set is sorted, a bin's minimum is its first entry.
+    """
     rng = np.random.default_rng(20)
     factors = rng.integers(0, 1 << 63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     shifts = rng.integers(0, 1 << 63, MINIMA, dtype=np.uint64)
@@ -76,7 +83,12 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     bands = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (len(sets), BANDS)).copy()
     for i in range(ROWS):
         bands = _mix(bands * _GOLDEN + minima[:, i::ROWS])
-    low = (minima & np.uint64((1 << BITS) - 1)).reshape(len(sets), -1, 64 // BITS)
+    owner = np.repeat(np.arange(len(sets), dtype=np.int64), [len(s) for s in sets])
+    place = owner * BINS + (every >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
+    first = np.concatenate([[True], place[1:] != place[:-1]])
+    low = np.zeros(len(sets) * BINS, dtype=np.uint64)
+    low[place[first]] = _mix(every[first]) % np.uint64((1 << BITS) - 1) + np.uint64(1)
+    low = low.reshape(len(sets), -1, 64 // BITS)
     packed = (low << (np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS))).sum(axis=2, dtype=np.uint64)
     return bands.view(np.int64), packed.view(np.int64)
 
@@ -102,15 +114,17 @@ def _signed(words: int):
 
 
 def _estimate(a: Column, b: Column) -> Column:
-    """The similarity by counting equal entries of two packed signatures, less the chance of equal low bits."""
-    unlike = F.lit(0)
-    for i in range(MINIMA * BITS // 64):
-        differ = a[i].bitwiseXOR(b[i])
-        # One mark for each entry of which either bit differs.
-        marks = differ.bitwiseOR(F.shiftrightunsigned(differ, 1)).bitwiseAND(F.lit(0x5555555555555555))
-        unlike = unlike + F.bit_count(marks)
-    chance = 1 / (1 << BITS)
-    return (1 - unlike / MINIMA - chance) / (1 - chance)
+    """The similarity by bit counts: equal bins among those that either set fills, less the bins that are equal by
+    chance, which are half as many as the unequal ones that both fill."""
+    one = F.lit(0x5555555555555555)  # one mark for each bin
+    either, both, unlike = F.lit(0), F.lit(0), F.lit(0)
+    for i in range(BINS * BITS // 64):
+        x, y = a[i], b[i]
+        in_x, in_y, differ = [v.bitwiseOR(F.shiftrightunsigned(v, 1)).bitwiseAND(one) for v in (x, y, x.bitwiseXOR(y))]
+        either = either + F.bit_count(in_x.bitwiseOR(in_y))
+        both = both + F.bit_count(in_x.bitwiseAND(in_y))
+        unlike = unlike + F.bit_count(in_x.bitwiseAND(in_y).bitwiseAND(differ))
+    return (both - unlike * ((1 << BITS) - 1) / ((1 << BITS) - 2)) / either
 
 
 def _confirmed(words: int, percent: int):
@@ -147,6 +161,51 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, pe
     return materialize(both.mapInPandas(_confirmed(words, percent), "a long, b long").distinct(), "links")
 
 
+def _star_pairs(members: DataFrame, star: int) -> DataFrame:
+    """Every member of a bucket with the bucket's centre, unless they are in one component already.
+
+    The centre has the smallest number after an exclusive or with a hash of the bucket: each bucket that a large
+    group shares takes another one.
+    """
+    turn = F.xxhash64("band", F.lit(star))
+    centres = (members.groupBy("band").agg(F.min(F.col("node").bitwiseXOR(turn)).alias("least"))
+               .select("band", F.col("least").bitwiseXOR(turn).alias("a")))
+    pairs = members.join(centres, "band")
+    if star:
+        of_centre = members.select("band", F.col("node").alias("a"), F.col("component").alias("of_a"))
+        pairs = pairs.join(of_centre, ["band", "a"]).where("component != of_a")
+    return pairs.where("node != a").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+
+
+def _open(members: DataFrame, found: DataFrame, label: str) -> DataFrame:
+    """The members of the buckets that hold more than one component."""
+    placed = members.select("band", "node").join(found, "node", "left").select(
+        "band", "node", F.coalesce("component", "node").alias("component"))
+    mixed = (placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+             .where("low != high").select("band"))
+    return materialize(placed.join(mixed, "band").select("band", "node", "component"), label)
+
+
+def _cross_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a bucket from different components whose estimate allows a link, in the first band they share.
+
+    One side is without the bucket's largest component, within which nothing is left to compare.
+    """
+    sizes = members.groupBy("band", "component").agg(F.count("*").alias("n"))
+    largest = (sizes.groupBy("band").agg(F.max(F.struct("n", "component")).alias("most"))
+               .select("band", F.col("most.component").alias("largest")))
+    known = classes.select("node", "n_shingles", "bits", "bands")
+    rest = materialize(members.join(largest, "band").join(known, "node"), "rest")
+    x, y = rest.where("component != largest").alias("x"), rest.alias("y")
+    once = (F.col("y.component") == F.col("y.largest")) | (F.col("x.node") < F.col("y.node"))
+    return x.join(
+        y, (F.col("x.band") == F.col("y.band")) & (F.col("x.component") != F.col("y.component")) & once
+        & (100 * F.least("x.n_shingles", "y.n_shingles") >= percent * F.greatest("x.n_shingles", "y.n_shingles"))
+        & (_estimate(F.col("x.bits"), F.col("y.bits")) >= percent / 100 - SLACK)
+        & (F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.band"))
+    ).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs(doc_id, text)``: doc_id, text_hash, n_shingles, component_id, kept.
 
@@ -167,30 +226,15 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         some.alias("s").join(first.alias("f"), same).select("s.*").dropDuplicates(["digest"])
         .withColumn("node", F.monotonically_increasing_id()), "classes")
     in_bands = classes.select("node", F.explode("bands").alias("band"))
-    shared = materialize(in_bands.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("n"))
-                         .where("n > 1").select("band", "a"), "shared")
-    members = materialize(in_bands.join(shared, "band").select("band", "node", "a"), "members")
-    stars = members.where("node != a").select("a", F.col("node").alias("b")).distinct()
-    links = _links(stars, classes, source, words, percent)
-    found = components(links)
-    # Across the components of a bucket: the members that are not in its first one's component, with all others.
-    placed = (members.join(found, "node", "left")
-              .select("band", "node", "a", F.coalesce("component", "node").alias("component")))
-    of_first = found.select(F.col("node").alias("a"), F.col("component").alias("of_a"))
-    apart = (placed.join(of_first, "a", "left")
-             .where(F.col("component") != F.coalesce("of_a", "a")).select("band", "node", "component"))
-    left = materialize(apart, "apart")
-    open_bands = left.select("band").distinct()
-    sketch = classes.select("node", "n_shingles", "bits")
-    rest = materialize(placed.join(open_bands, "band", "left_semi").select("band", "node", "component")
-                       .join(sketch, "node"), "rest")
-    x, y = left.join(sketch, "node").alias("x"), rest.alias("y")
-    across = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.component") != F.col("y.component"))
-                    & (100 * F.least("x.n_shingles", "y.n_shingles")
-                       >= percent * F.greatest("x.n_shingles", "y.n_shingles"))
-                    & (_estimate(F.col("x.bits"), F.col("y.bits")) >= percent / 100 - SLACK))
-    pairs = across.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    more = _links(pairs, classes, source, words, percent)
+    shared = materialize(in_bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band"), "shared")
+    members = materialize(in_bands.join(shared, "band").select("band", "node", F.col("node").alias("component")), "members")
+    links, found = None, None
+    for star in range(STARS):
+        more = _links(_star_pairs(members, star), classes, source, words, percent)
+        links = more if links is None else links.unionByName(more)
+        found = components(links)
+        members = _open(members, found, f"open-{star}")
+    more = _links(_cross_pairs(members, classes, percent), classes, source, words, percent)
     if not more.isEmpty():
         found = components(links.unionByName(more))
     labelled = classes.select("node", "digest", "doc_id").join(found, "node", "left").withColumn(
