@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import functools
+import sys
+import types
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailloom.session import materialize
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
 # Rows of a labelled sample that a classifier is fitted on, and so the size bound of its broadcast.
 SAMPLE_ROWS = 20_000
 
@@ -34,11 +34,6 @@ def numbered(df: DataFrame, name: str, label: str) -> DataFrame:
     return materialize(df.withColumn(name, F.monotonically_increasing_id()), label)
 
 
-def balanced(df: DataFrame, *keys: str) -> DataFrame:
-    """Shuffle by keys into Spark's own number of shuffle partitions."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
-
-
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_ROWS) -> DataFrame:
     """Texts and labels to learn from: outside the test fold, at most ``rows``, taken in the order of a hash of
     the id, so that the sample is the same in every run and any sample is a fair one.
@@ -53,7 +48,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int = SA
             .join(F.broadcast(materialize(chosen, f"sample-{label}")), "doc_id"))
 
 
-@functools.cache
-def word_breaks() -> str:
-    """The white space that parts words: blank and the five control characters from tab to carriage return."""
-    return "[\\x20\\x09-\\x0D]+"
+def per_process(key, make: Callable):
+    """What ``make`` returns, made once in this process. As functions travel to the workers by value, the globals of
+    this package live for one task there; this outlives it."""
+    kept = sys.modules.setdefault("_retailloom_worker", types.ModuleType("_retailloom_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]

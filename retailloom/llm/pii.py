@@ -154,7 +154,8 @@ def _loose_spans(number: int, text: Column) -> Column:
 
 
 def with_candidates(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``base`` and ``loose`` spans, each sorted by start and kind."""
+    """``docs`` with ``base`` and ``loose`` spans, each sorted by start and kind, and the row's ``place``. To be
+    written before it is used, so that the places stay."""
     text = F.coalesce(F.col("text"), F.lit(""))
     base = [_base_spans(number, text) for number in range(len(KINDS))]
     loose = [_loose_spans(number, text) for number in range(len(KINDS))]
@@ -162,7 +163,20 @@ def with_candidates(docs: DataFrame) -> DataFrame:
     def gathered(parts: list[Column], type_: str) -> Column:
         return F.array_sort(F.concat(*[F.coalesce(p, F.array().cast(type_)) for p in parts]).cast(type_))
 
-    return docs.withColumns({"base": gathered(base, _SPANS), "loose": gathered(loose, _CANDIDATES)})
+    return docs.withColumns({"base": gathered(base, _SPANS), "loose": gathered(loose, _CANDIDATES),
+                             "place": F.monotonically_increasing_id()})
+
+
+def _code(span: Column) -> Column:
+    """A span as one number, by which arrays of spans are compared by hash."""
+    return (span["start"].cast("long") * len(KINDS) + span["kind"]) * (1 << 30) + (span["end"] - span["start"])
+
+
+def _span(code: Column) -> Column:
+    place = F.shiftright(code, 30)
+    start = F.shiftright(place, 2).cast("int")
+    return F.struct(start.alias("start"), (place % len(KINDS)).cast("int").alias("kind"),
+                    (start + code % (1 << 30)).cast("int").alias("end"))
 
 
 @dataclass
@@ -174,17 +188,20 @@ class Selection:
 
 
 def fit(found: DataFrame) -> Selection:
-    """Boosted trees over the cells of all candidates of ``found(base, loose)``.
+    """Boosted trees over the cells of all candidates of ``found(place, base, loose)``.
 
     A candidate is an example for its kind if it is a base span of that kind, and a counter-example if not. All
     candidates count: they are summed by cell and half (a hash of cell and place), so the trees and thresholds see
     at most two rows for each of the 73,728 cells, whatever the size of the corpus. A kind's threshold is the
     lowest score at which the held-out half has ``PRECISION``; a kind that never reaches it adds nothing.
     """
-    one = (found.where(F.size("loose") > 0).select("base", F.explode("loose").alias("c"))
-           .select("c.cell", (F.xxhash64("c.cell", "c.start", "c.end") % 2 == 0).alias("held"),
-                   F.exists("base", lambda b: (b["kind"] == F.col("c.kind")) & (b["start"] == F.col("c.start"))
-                            & (b["end"] == F.col("c.end"))).cast("int").alias("good")))
+    proposed = found.select("place", F.explode("loose").alias("c")).select(
+        "place", _code(F.col("c")).alias("code"), "c.cell", F.lit(0).alias("good"))
+    confirmed = found.select("place", F.explode("base").alias("b")).select(
+        "place", _code(F.col("b")).alias("code"), F.lit(None).cast("int").alias("cell"), F.lit(1).alias("good"))
+    one = (proposed.unionByName(confirmed).groupBy("place", "code")
+           .agg(F.max("cell").alias("cell"), F.max("good").alias("good")).where("cell is not null")
+           .withColumn("held", F.xxhash64("cell", "code") % 2 == 0))
     cells = materialize(one.groupBy("cell", "held").agg(F.sum("good").alias("good"), F.count("*").alias("n"))
                         .coalesce(1), "cells")
     examples = cells.select("*", *[v.alias(k) for k, v in _decoded(F.col("cell")).items()])
@@ -221,7 +238,8 @@ def spans(found: DataFrame, selection: Selection) -> DataFrame:
     """``found`` with ``added`` (chosen candidates clear of the base spans and of each other, leftmost first) and
     ``spans`` (all of them in order)."""
     chosen = F.filter("loose", lambda c: c["cell"].isin(selection.cells) if selection.cells else F.lit(False))
-    clear = F.filter(chosen, lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
+    new = F.transform(F.array_except(F.transform(chosen, _code), F.transform("base", _code)), _span)
+    clear = F.filter(new, lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
     start = F.struct(F.lit(-1).alias("at"), F.array().cast(_SPANS).alias("out"))
     apart = F.aggregate(clear, start, lambda s, c: F.when(c["start"] >= s["at"], F.struct(
         c["end"].alias("at"), F.concat(s["out"], F.array(F.struct(c["start"], c["kind"], c["end"]))).alias("out")))
@@ -254,10 +272,10 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
 def redacted(docs: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by its kind in brackets; overlapping spans as one.
 
-    All columns stay, and ``n_chars``, if there, follows the new text; a column named base, loose, added or spans
-    of the input is replaced. A null text stays null.
+    All columns stay, and ``n_chars``, if there, follows the new text; a column named base, loose, added, spans or place
+    of the input is dropped. A null text stays null.
     """
-    own = docs.drop("base", "loose", "added", "spans")
+    own = docs.drop("base", "loose", "added", "spans", "place")
     found = materialize(with_candidates(own), "candidates")
     marks = F.array(*[F.lit((names or {}).get(kind, f"[{kind}]")) for kind in KINDS])
     marked = spans(found, fit(found))

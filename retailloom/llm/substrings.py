@@ -1,4 +1,4 @@
-"""Repeated text: units (lines, cut at sentence ends) are hashed, the earliest of equal ones stays."""
+"""Repeated text: units (lines, long ones cut at sentence ends) are hashed, the earliest of equal ones stays."""
 
 from __future__ import annotations
 
@@ -14,8 +14,10 @@ from retailloom.llm.common import numbered
 from retailloom.session import materialize
 
 MIN_WORDS = 8
-# A unit ends after a line break, or after a full stop, exclamation or question mark with a blank.
-UNIT = re.compile(r".+?(?:[.!?] |\n|\Z)", re.S)
+# A unit is a line, or as much of it as holds five words and ends in a full stop, exclamation or question mark and a
+# blank. Units tile the text, and fall into step again soon after the start of a shared passage.
+UNIT = re.compile(r"[\x20\x09\x0B-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]+){4}[^\n]*?(?:[.!?] |\n|\Z)"
+                  r"|[^\n]+(?:\n|\Z)|\n")
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 UNITS = "row long, doc_id long, pos int, start int, end int, words int, digest binary"
 
@@ -50,7 +52,7 @@ def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     ``n_chars`` , ``n_units`` and the ``spans`` to remove, as a sorted array of ``struct<start, end>`` in code points
     of the original text.
 
-    Units are lower-cased and their white space is folded before hashing (128 bits). Of equal units the one of
+    Units hold five words at least, but for the ends of lines. They are lower-cased and their white space is folded before hashing (128 bits). Of equal units the one of
     the smallest doc_id, then row, then position stays (null ids last). The others go if the run of neighbouring
     units that all repeat has ``min_words`` words at least: one short sentence that happens to recur is left.
     Empty and null texts have no units. A repeated row loses all its units of enough words. An empty table gives

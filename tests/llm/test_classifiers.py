@@ -1,0 +1,112 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from retailloom.llm import quality, toxicity
+from retailloom.llm.common import table, training_rows
+
+LABELS = "doc_id long, quality int, toxic int, extra string"
+
+
+def held(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 5 == 0
+
+
+def corpus(n=800):
+    rng = random.Random(9)
+    vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(500)]
+    rows = []
+    for i in range(n):
+        words = rng.choices(vocabulary, k=rng.randint(20, 120))
+        bad, toxic = i % 4 == 0, i % 7 == 0
+        if bad:
+            words = [w.upper() + "!!" for w in words]
+        if toxic:
+            words[5:5] = [rng.choice(["vile", "nasty", "awful"]) for _ in range(2)]
+        rows.append((i, " ".join(words), int(not bad), int(toxic)))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def data(spark, documents):
+    rows = corpus()
+    labels = spark.createDataFrame([(i, q, t, "x") for i, _, q, t in rows if i % 3], LABELS)
+    return rows, documents([(i, t) for i, t, _, _ in rows]), labels
+
+
+@pytest.mark.parametrize("module,label,least", [(quality, 2, 0.98), (toxicity, 3, 0.95)])
+def test_held_out_accuracy_and_fold(data, module, label, least):
+    rows, docs, labels = data
+    found = {r["doc_id"]: r for r in module.score(docs, module.fit(docs, labels)).collect()}
+    assert set(found) == {r[0] for r in rows}
+    assert all(found[i]["held_out"] == held(i) for i in found)
+    out = [r for r in rows if held(r[0])]
+    assert np.mean([found[r[0]]["predicted"] == r[label] for r in out]) >= least
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= module.THRESHOLD) for r in found.values())
+
+
+@pytest.mark.parametrize("module,label", [(quality, "quality"), (toxicity, "toxic")])
+def test_labels_of_the_fold_and_other_columns_change_nothing(spark, data, module, label):
+    rows, docs, labels = data
+    turned = spark.createDataFrame([(i, 1 - q if held(i) else q, 1 - t if held(i) else t, "y")
+                                    for i, _, q, t in rows if i % 3], LABELS)
+    one = {r["doc_id"]: r["score"] for r in module.score(docs, module.fit(docs, labels, label)).collect()}
+    other = docs.withColumnRenamed("lang", "source").repartition(5)
+    two = {r["doc_id"]: r["score"] for r in module.score(other, module.fit(other, turned, label)).collect()}
+    assert one == two
+
+
+@pytest.mark.parametrize("module", [quality, toxicity])
+def test_nulls_empties_repeats_and_no_labels(spark, documents, empty, module):
+    docs = documents([(1, None), (2, ""), (3, "   "), (4, "word " * 50_000), (4, "word " * 50_000), (None, "a b")])
+    none = spark.createDataFrame([], LABELS)
+    rows = module.score(docs, module.fit(docs, none)).collect()
+    assert len(rows) == 6 and len({r["score"] for r in rows if r["doc_id"] in (1, 2, 3)}) == 1
+    assert len({r["score"] for r in rows if r["doc_id"] == 4}) == 1
+    assert [r["held_out"] for r in rows if r["doc_id"] is None] == [True]
+    assert module.score(empty, module.fit(empty, none)).collect() == []
+    odd = spark.createDataFrame([(1, None, None, "x"), (None, 1, 1, "x"), (4, 1, 1, "x"), (4, 0, 0, "x")], LABELS)
+    assert len(module.score(docs, module.fit(docs, odd)).collect()) == 6
+
+
+def test_scores_of_one_text_do_not_depend_on_the_batch():
+    rows = corpus(120)
+    texts = [t for _, t, _, _ in rows]
+    model = quality.train(texts, np.array([q for _, _, q, _ in rows], float))
+    assert np.allclose(model.scores(texts), [model.scores([t])[0] for t in texts])
+    other = toxicity.train(texts[::7], texts, 0.15)
+    assert np.allclose(other.scores(texts), [other.scores([t])[0] for t in texts])
+
+
+def test_sample_bound(data):
+    _, docs, labels = data
+    assert training_rows(docs, labels, "quality", 50).count() == 50
+
+
+def test_negative_risk_is_kept_from_falling_below_nought():
+    """Positives alone fit perfectly; the unlabelled ones hold as many of them as the prior says."""
+    rng = random.Random(0)
+    clean = [" ".join(rng.choices("abcdefghij", k=20)) for _ in range(400)]
+    bad = [f"{t} vile" for t in clean[:120]]
+    model = toxicity.train(bad[:60], clean[120:] + bad[60:], 0.18)
+    assert (model.scores(bad[60:]) > 0.5).mean() > 0.9 and (model.scores(clean[120:]) > 0.5).mean() < 0.05
+
+
+def test_without_toxic_keeps_rows_and_columns(data):
+    rows, docs, labels = data
+    model = toxicity.fit(docs, labels)
+    kept = toxicity.without_toxic(docs, model).collect()
+    scored = {r["doc_id"]: r["score"] for r in toxicity.score(docs, model).collect()}
+    assert sorted(r["doc_id"] for r in kept) == sorted(i for i in scored if scored[i] < toxicity.THRESHOLD)
+    assert kept[0]["lang"] == "en"
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.1"])
+def test_given_documents(spark, folder):
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    truth = {r["doc_id"]: r for r in labels.collect() if held(r["doc_id"])}
+    for module, label, least in ((quality, "quality", 0.98), (toxicity, "toxic", 0.96)):
+        found = {r["doc_id"]: r["predicted"] for r in module.score(docs, module.fit(docs, labels)).collect()}
+        assert np.mean([found[i] == r[label] for i, r in truth.items()]) >= least

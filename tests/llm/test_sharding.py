@@ -1,0 +1,58 @@
+import hashlib
+
+from retailloom.llm.sharding import assign_shards
+from tests.conftest import tuples
+
+
+def rows_of(df):
+    return [r.asDict() for r in df.collect()]
+
+
+def expected(sizes, limit):
+    """Split from the top, bit by bit."""
+    hashed = {k: format(int(hashlib.md5(str(k).encode()).hexdigest()[:10], 16), "040b") for k in sizes}
+    out = {}
+
+    def place(keys, prefix):
+        if sum(sizes[k] for k in keys) <= limit or len(keys) == 1:
+            out.update(dict.fromkeys(keys, prefix))
+            return
+        for bit in "01":
+            part = [k for k in keys if hashed[k].startswith(prefix + bit)]
+            if part:
+                place(part, prefix + bit)
+
+    place(list(sizes), "")
+    return out
+
+
+def test_equals_splitting_from_the_top(documents):
+    sizes = {i: 10 + i % 90 for i in range(400)}
+    found = rows_of(assign_shards(documents([(i, "x" * n) for i, n in sizes.items()]), limit=300))
+    assert {r["doc_id"]: r["shard"] for r in found} == expected(sizes, 300)
+    assert all(r["shard_bytes"] <= 300 and r["local_depth"] == len(r["shard"]) for r in found)
+
+
+def test_deep_splits_take_several_passes(documents):
+    sizes = {i: 1 for i in range(3000)}
+    found = rows_of(assign_shards(documents([(i, "x") for i in sizes]), limit=2))
+    assert {r["doc_id"]: r["shard"] for r in found} == expected(sizes, 2)
+    assert max(r["local_depth"] for r in found) > 8
+
+
+def test_a_hot_key_is_split_by_its_rows(documents):
+    found = rows_of(assign_shards(documents([(5, "x" * 10)] * 60 + [(None, "y" * 10)] * 20), limit=100))
+    assert len(found) == 80 and all(r["shard_bytes"] <= 100 for r in found)
+    assert len({r["shard"] for r in found if r["doc_id"] == 5}) >= 6
+
+
+def test_nulls_empty_and_oversize_texts(documents):
+    found = assign_shards(documents([(1, None), (2, ""), (3, "é" * 100), (None, "z")]), limit=50)
+    assert sorted((r["row_bytes"], r["doc_id"] or 0) for r in rows_of(found)) == [(0, 1), (0, 2), (1, 0), (200, 3)]
+    alone = [r for r in rows_of(found) if r["doc_id"] == 3][0]
+    assert (alone["shard_rows"], alone["shard_bytes"]) == (1, 200)
+
+
+def test_one_shard_and_empty_table(documents, empty):
+    assert {r["shard"] for r in rows_of(assign_shards(documents([(1, "a"), (2, "b")])))} == {""}
+    assert tuples(assign_shards(empty)) == []
