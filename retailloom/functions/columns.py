@@ -10,21 +10,9 @@ from retailloom.schemas import ECOMMERCE, OFFLINE, ONLINE, POS
 UNITS = ("day", "week", "month", "quarter", "year")
 
 
-# Doubles below this hold their fraction, so truncation and remainder are exact.
-_EXACT = float(2**52)
-
-
 def whole(amount: Column) -> Column:
-    """Money rounded to whole units, halves away from zero.
-
-    The same values as ``round(amount, 0)``, which converts every double to a decimal and back; this form
-    stays in primitive arithmetic and leaves only huge, infinite and NaN amounts to it.
-    """
-    units = amount.cast("bigint")
-    rest = amount - units
-    step = F.when(rest >= 0.5, 1).when(rest <= -0.5, -1).otherwise(0)
-    return (F.when(F.abs(amount) < _EXACT, (units + step).cast("double"))
-            .otherwise(F.round(amount.cast("double"), 0)))
+    """Money rounded to whole units, halves away from zero."""
+    return F.round(amount.cast("double"), 0)
 
 
 def profit() -> Column:
@@ -51,8 +39,9 @@ def channel(given: Column) -> Column:
 
 
 def whole_number(value: Column, to: str) -> Column:
-    """Text or number to an integer type; 1, 1.0 and "1" agree, anything else is null."""
-    return value.try_cast("double").try_cast(to)
+    """Text or number to an integer type: whole numbers as they are, however long, a fraction such as "1.9" without
+    what follows the point; anything else, and what the type cannot hold, is null."""
+    return F.coalesce(value.try_cast(to), value.try_cast("double").try_cast(to))
 
 
 def period_start(day: Column, unit: str) -> Column:

@@ -89,9 +89,10 @@ def cluster_sizes(clusters: DataFrame) -> DataFrame:
 def promo_profit_corr(fact: DataFrame) -> DataFrame:
     """Pearson correlation of a sale's promotion flag (tills) and its profit (finance), joined on txn_id.
 
-    The join needs no self-join: one aggregation by txn_id gives, for each side, the number, sum and sum
-    of squares of its values, and the moments over all matching pairs follow from those. Repeated ids are
-    combined before the shuffle and never multiply rows. Null when a side does not vary.
+    The join needs no self-join: one aggregation by txn_id gives, for each side, the number, mean and squared
+    deviations of its values, and the moments over all matching pairs follow from those around the pairs' means (two
+    scalars, over the same shuffle). So repeated ids never multiply rows, and no large numbers cancel. Null when a
+    side does not vary.
     """
     x = F.when(F.col("source") == POS, F.col("promotion").cast("double"))
     y = F.when(F.col("source") == ERP, profit())
@@ -99,15 +100,17 @@ def promo_profit_corr(fact: DataFrame) -> DataFrame:
              .select("txn_id", x.alias("x"), y.alias("y"))
              .where(F.col("x").isNotNull() | F.col("y").isNotNull()))
     per_id = sides.groupBy("txn_id").agg(
-        F.count("x").alias("nx"), F.sum("x").alias("sx"), F.sum(F.col("x") * F.col("x")).alias("sxx"),
-        F.count("y").alias("ny"), F.sum("y").alias("sy"), F.sum(F.col("y") * F.col("y")).alias("syy"),
-    ).where((F.col("nx") > 0) & (F.col("ny") > 0))
+        *[expression.alias(f"{name}{side}") for side in ("x", "y") for name, expression in (
+            ("n", F.count(side)), ("mean", F.avg(side)), ("spread", F.var_pop(side) * F.count(side)),
+            ("least", F.min(side)), ("most", F.max(side)))]).where((F.col("nx") > 0) & (F.col("ny") > 0))
+    pairs = F.col("nx").cast("double") * F.col("ny")
+    means = {side: per_id.agg(F.try_divide(F.sum(pairs * F.col(f"mean{side}")), F.sum(pairs))).scalar()
+             for side in ("x", "y")}
+    dx, dy = F.col("meanx") - means["x"], F.col("meany") - means["y"]
     moments = per_id.agg(
-        F.sum((F.col("nx") * F.col("ny")).cast("double")).alias("n"),
-        F.sum(F.col("sx") * F.col("ny")).alias("sx"), F.sum(F.col("sy") * F.col("nx")).alias("sy"),
-        F.sum(F.col("sxx") * F.col("ny")).alias("sxx"), F.sum(F.col("syy") * F.col("nx")).alias("syy"),
-        F.sum(F.col("sx") * F.col("sy")).alias("sxy"))
-    n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
-    spread = (n * F.col("sxx") - sx * sx) * (n * F.col("syy") - sy * sy)
-    correlation = F.try_divide(n * F.col("sxy") - sx * sy, F.sqrt(spread))
+        F.sum(F.col("ny") * (F.col("spreadx") + F.col("nx") * dx * dx)).alias("xx"),
+        F.sum(F.col("nx") * (F.col("spready") + F.col("ny") * dy * dy)).alias("yy"), F.sum(pairs * dx * dy).alias("xy"),
+        (F.min("leastx") < F.max("mostx")).alias("x_varies"), (F.min("leasty") < F.max("mosty")).alias("y_varies"))
+    correlation = F.when(F.col("x_varies") & F.col("y_varies"),
+                         F.try_divide(F.col("xy"), F.sqrt("xx") * F.sqrt("yy")))
     return moments.select(F.lit("promotion_vs_profit").alias("metric"), F.round(correlation, 4).alias("value"))

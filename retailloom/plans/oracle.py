@@ -24,16 +24,18 @@ VIEWS = {
              JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "pos": f"""
         SELECT {TXN} AS txn_id, concat('INV', l_orderkey) AS invoice_id, concat('P', l_partkey) AS product_id,
-               s_name AS store_id, CAST(l_quantity AS INT) AS qty,
+               s_name AS store_id, r_name AS region, CAST(l_quantity AS INT) AS qty,
                round(l_extendedprice * (1 - l_discount), 0) AS revenue,
                CASE WHEN l_discount > 0.05 THEN 1 ELSE 0 END AS promotion, CAST(l_shipdate AS DATE) AS txn_date
-        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+             JOIN region ON n_regionkey = r_regionkey
         WHERE l_linestatus = 'F'""",
     "ecom": f"""
-        SELECT {TXN} AS txn_id, concat('C', o_custkey) AS customer_id, concat('P', l_partkey) AS product_id,
-               CAST(l_quantity AS INT) AS qty, round(l_extendedprice * (1 - l_discount), 0) AS revenue,
+        SELECT {TXN} AS txn_id, concat('C', o_custkey) AS customer_id, r_name AS region,
+               concat('P', l_partkey) AS product_id, CAST(l_quantity AS INT) AS qty, round(l_extendedprice * (1 - l_discount), 0) AS revenue,
                o_orderstatus AS device, o_orderpriority AS payment_method, CAST(l_shipdate AS DATE) AS txn_date
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+             JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
         WHERE l_linestatus = 'O'""",
     "movement": """
         SELECT concat('P', p_partkey) AS product_id, 'opening' AS kind, p_size * 10 AS qty,
@@ -111,11 +113,11 @@ VIEWS = {
                CAST(NULL AS VARCHAR) AS payment_method, txn_date, 'erp' AS source, month
         FROM erp
         UNION ALL
-        SELECT txn_id, invoice_id, store_id, product_id, NULL, qty, revenue, NULL, promotion, 'offline', NULL, NULL,
+        SELECT txn_id, invoice_id, store_id, product_id, region, qty, revenue, NULL, promotion, 'offline', NULL, NULL,
                NULL, txn_date, 'pos', CAST(month(txn_date) AS INT)
         FROM pos
         UNION ALL
-        SELECT txn_id, NULL, NULL, product_id, NULL, qty, revenue, NULL, NULL, 'online', customer_id, device,
+        SELECT txn_id, NULL, NULL, product_id, region, qty, revenue, NULL, NULL, 'online', customer_id, device,
                payment_method, txn_date, 'ecommerce', CAST(month(txn_date) AS INT)
         FROM ecom""",
 }
@@ -138,11 +140,11 @@ def _read_twice(table: str, column: str) -> str:
             f"UNION ALL SELECT '{table}', 2, 0, max({column}) FROM {table}")
 
 
-# Of several rows with one key the first by all other columns is kept, nulls first.
+# Of several rows with one key the first by all other columns is kept, nulls last.
 FACT_REST = ("invoice_id store_id product_id region qty revenue cost promotion channel customer_id device "
              "payment_method txn_date month").split()
 FACT_COLUMNS = ", ".join(["source", "txn_id", *FACT_REST])
-FACT_ORDER = ", ".join(f"{name} NULLS FIRST" for name in FACT_REST)
+FACT_ORDER = ", ".join(f"{name} NULLS LAST" for name in FACT_REST)
 PERIOD_VIEWS = ("erp", "bound", "all_days", "days")
 MEASURES = """
     sum(revenue) AS revenue, sum(cost) AS cost, sum(revenue - cost) AS profit, CAST(sum(qty) AS BIGINT) AS units,
@@ -258,11 +260,11 @@ ORACLE: dict[str, str] = {
         FROM erp e LEFT JOIN product p ON e.product_id = p.product_id""", "product", "erp"),
     "post_financials": _with("""
         SELECT s.*, round(qty * unit_cost, 0) AS cost
-        FROM (SELECT txn_id, invoice_id, store_id, product_id, qty, revenue, txn_date, 'offline' AS channel FROM pos
+        FROM (SELECT txn_id, invoice_id, store_id, region, product_id, qty, revenue, txn_date, 'offline' AS channel
+              FROM pos
               UNION ALL
-              SELECT txn_id, txn_id, NULL, product_id, qty, revenue, txn_date, 'online' FROM ecom) s
-             LEFT JOIN product p ON s.product_id = p.product_id""".replace("s.*", """
-            s.txn_id, s.invoice_id, s.store_id, s.product_id, s.qty, s.revenue, s.txn_date, s.channel"""),
+              SELECT txn_id, txn_id, NULL, region, product_id, qty, revenue, txn_date, 'online' FROM ecom) s
+             LEFT JOIN product p ON s.product_id = p.product_id""",
         "product", "pos", "ecom"),
     "monthly_demand": _with("SELECT * FROM demand", "erp", "demand"),
     "replenishment_plan": _with("""
@@ -311,6 +313,9 @@ ORACLE: dict[str, str] = {
         SELECT txn_id, invoice_id, concat('T', o_custkey) AS store_id, o_orderstatus AS region, product_id, qty,
                revenue, promotion, CAST(o_orderdate AS DATE) AS txn_date, 'pos' AS source, 'offline' AS channel
         FROM pos JOIN orders ON invoice_id = concat('INV', o_orderkey)""", "pos"),
+    "invoice_messages": _with("""
+        SELECT invoice_id, any_value(concat('T', o_custkey)) AS store_id, CAST(count(*) AS INT) AS line_count
+        FROM pos JOIN orders ON invoice_id = concat('INV', o_orderkey) GROUP BY invoice_id""", "pos"),
     "ecommerce_rename": _with("SELECT *, 'ecommerce' AS source FROM ecom", "ecom"),
     "json_round_trip": _with("""
         SELECT 'erp' AS source, txn_id, store_id, region, product_id, revenue, cost,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from retailloom.functions.messages import from_messages, split_array, to_messages
 from retailloom.operators import dedup, inventory, ml, normalize, planning, reports, rollup
-from retailloom.schemas import EVENT, FACT, LIVE_ALERTS, LIVE_STATS, PERIOD, SNAPSHOT, fields
+from retailloom.schemas import EVENT, FACT, LIVE_ALERTS, LIVE_STATS, OFFLINE, PERIOD, SNAPSHOT, fields
 from retailloom.session import materialize, scratch
 from retailloom.sinks.stores import Lake
 from retailloom.sinks.tables import append_counted, ensure_table, overwrite_day
@@ -41,6 +41,19 @@ def _sales(star: Star, *columns: str) -> DataFrame:
     return reports.sales_measures(rows.select("*", *missing))
 
 
+def _store_sums(star: Star, *more: str) -> DataFrame:
+    """Finance measures per store, summed per supplier before any store is looked up: what the joins carry is one
+    row per supplier and task, not the lines."""
+    rows = star.erp("source", "supplier_key", "channel", "revenue", "cost", "qty", *more)
+    by = ["supplier_key", "channel", *more, "costed"]
+    profit = F.col("revenue") - F.col("cost")
+    sums = rows.withColumn("costed", F.col("cost").isNotNull()).groupBy(*by).agg(
+        F.sum("revenue").alias("revenue"), F.sum("cost").alias("cost"), F.sum(profit).alias("profit"),
+        F.count(F.lit(1)).alias("row_count"), F.count("revenue").alias("priced_rows"))
+    return sums.join(star.store(), "supplier_key").withColumn(
+        "store_id", F.when(F.col("channel") == OFFLINE, F.col("store_name")))
+
+
 def _fresh_database(star: Star, label: str) -> str:
     """A database of its own under the shared folder."""
     name = f"retailloom_{label}_{uuid.uuid4().hex}"
@@ -52,7 +65,7 @@ def _fresh_database(star: Star, label: str) -> str:
 
 @query
 def region_profit(star: Star) -> DataFrame:
-    return reports.ordered(reports.region_profit(_sales(star, "region", "revenue", "cost")), "region_profit")
+    return reports.ordered(reports.region_profit(_store_sums(star)), "region_profit")
 
 
 @query
@@ -62,8 +75,7 @@ def region_profit_presented(star: Star) -> DataFrame:
 
 @query
 def store_month_pnl(star: Star) -> DataFrame:
-    sales = _sales(star, "store_id", "month", "channel", "revenue", "cost")
-    return reports.ordered(reports.store_month_pnl(sales), "store_month_pnl")
+    return reports.ordered(reports.store_month_pnl(_store_sums(star, "month")), "store_month_pnl")
 
 
 @query
@@ -303,8 +315,8 @@ def sales_to_movements(star: Star) -> DataFrame:
 
 @query
 def post_financials(star: Star) -> DataFrame:
-    pos = star.pos("txn_id", "invoice_id", "store_id", "product_id", "qty", "revenue", "txn_date")
-    online = star.ecommerce("txn_id", "product_id", "qty", "revenue", "txn_date")
+    pos = star.pos("txn_id", "invoice_id", "store_id", "region", "product_id", "qty", "revenue", "txn_date")
+    online = star.ecommerce("txn_id", "region", "product_id", "qty", "revenue", "txn_date")
     return inventory.post_financials(pos, online, star.product())
 
 
@@ -347,7 +359,7 @@ def revenue_forecast_closed(star: Star) -> DataFrame:
 
 @query
 def store_features(star: Star) -> DataFrame:
-    return ml.store_features(_sales(star, "store_id", "revenue", "cost"))
+    return ml.store_features(_store_sums(star))
 
 
 @query
@@ -397,9 +409,16 @@ def invoice_flatten(star: Star) -> DataFrame:
         "channel")
 
 
+@query
+def invoice_messages(star: Star) -> DataFrame:
+    """Lines per message."""
+    invoices = normalize.parse_invoices(star.invoices())
+    return invoices.select("invoice_id", "store_id", F.size("lines").alias("line_count"))
+
+
 @query
 def ecommerce_rename(star: Star) -> DataFrame:
-    orders = star.ecommerce("txn_id", "customer_id", "product_id", "qty", "revenue", "device", "payment_method",
+    orders = star.ecommerce("txn_id", "customer_id", "region", "product_id", "qty", "revenue", "device", "payment_method",
                             "txn_date").withColumnsRenamed({"txn_id": "order_id", "txn_date": "order_date"})
     return normalize.normalize_ecommerce(orders.withColumn("id", F.lit(0)))
 

@@ -15,8 +15,8 @@ from retailloom.operators.normalize import union_sources
 from retailloom.schemas import ECOMMERCE, ERP, INBOUND, OFFLINE, ONLINE, OPENING, OUTBOUND, POS
 from retailloom.sources.files import is_folder
 
-# Lines of one message come from at most this many consecutive rows.
-BLOCK = 4096
+# A till sends an invoice as one message; one with line numbers beyond this is sent in parts of as many numbers.
+LINES_PER_MESSAGE = 1000
 
 
 def _txn_id():
@@ -75,6 +75,12 @@ class Star:
             rows = self._with_region(rows, "c_nationkey")
         return rows.select(*[known[name].alias(name) for name in columns])
 
+    def store(self) -> DataFrame:
+        """One row per supplier: its key, store and region."""
+        return self._with_region(self.table("supplier"), "s_nationkey").select(
+            F.col("s_suppkey").alias("supplier_key"), F.col("s_name").alias("store_name"),
+            F.col("r_name").alias("region"))
+
     def _with_region(self, rows: DataFrame, nation_key: str) -> DataFrame:
         """Join nation and region one after the other: Spark then sees each table's own file size and
         broadcasts it; the size it would guess for a joined pair is too high for that."""
@@ -102,6 +108,7 @@ class Star:
         columns = columns or ("txn_id", "invoice_id", "product_id", "store_id", "region", "qty", "revenue",
                               "cost", "channel", "txn_date", "month", "source")
         known = _line_columns() | {
+            "supplier_key": F.col("l_suppkey"),
             "store_id": F.when(offline, F.col("s_name")) if "store_id" in columns else None,
             "region": F.col("r_name"),
             "cost": whole(F.col("l_quantity") * F.col("p_retailprice")),
@@ -113,7 +120,7 @@ class Star:
 
     def pos(self, *columns: str) -> DataFrame:
         """Till lines: no cost, no channel."""
-        columns = columns or ("txn_id", "invoice_id", "product_id", "store_id", "qty", "revenue",
+        columns = columns or ("txn_id", "invoice_id", "product_id", "store_id", "region", "qty", "revenue",
                               "promotion", "txn_date", "source")
         known = _line_columns() | {
             "store_id": F.col("s_name"),
@@ -125,18 +132,23 @@ class Star:
         return lines.select(*[known[name].alias(name) for name in columns])
 
     def ecommerce(self, *columns: str) -> DataFrame:
-        """Online orders: customer, device and payment, no cost."""
-        columns = columns or ("txn_id", "customer_id", "product_id", "qty", "revenue", "device",
+        """Online orders: customer and their region, device and payment, no cost."""
+        columns = columns or ("txn_id", "customer_id", "region", "product_id", "qty", "revenue", "device",
                               "payment_method", "txn_date", "source")
         known = _line_columns() | {
             "customer_id": F.concat(F.lit("C"), F.col("o_custkey")),
+            "region": F.col("r_name"),
             "device": F.col("o_orderstatus"),
             "payment_method": F.col("o_orderpriority"),
             "source": F.lit(ECOMMERCE),
         }
-        lines = self._lines("O", columns, set())
-        if {"customer_id", "device", "payment_method"} & set(columns):
-            lines = lines.join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        lines = self._lines("O", (), set())
+        if {"customer_id", "region", "device", "payment_method"} & set(columns):
+            orders = self.table("orders")
+            if "region" in columns:
+                home = self._with_region(self.table("customer").select("c_custkey", "c_nationkey"), "c_nationkey")
+                orders = orders.join(home.select("c_custkey", "r_name"), F.col("o_custkey") == F.col("c_custkey"))
+            lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         return lines.select(*[known[name].alias(name) for name in columns])
 
     def all_sources(self) -> DataFrame:
@@ -157,18 +169,15 @@ class Star:
         return opening.unionByName(moved)
 
     def invoices(self) -> DataFrame:
-        """Till lines as JSON invoices with order-level headers, the way the tills send them.
-
-        Lines are gathered per invoice within blocks of ``BLOCK`` consecutive rows, so no group outgrows a
-        block however many lines one invoice has; such an invoice comes as several messages.
-        """
-        block = F.floor(F.monotonically_increasing_id() / F.lit(BLOCK))
-        lines = self.table("lineitem").where(F.col("l_linestatus") == "F").withColumn("block", block)
+        """Till lines as JSON invoices with order-level headers, the way the tills send them: all lines of an
+        invoice in one message, or in one for each ``LINES_PER_MESSAGE`` line numbers."""
+        part = F.floor((F.col("l_linenumber") - 1) / LINES_PER_MESSAGE)
+        lines = self.table("lineitem").where(F.col("l_linestatus") == "F").withColumn("part", part)
         known = _line_columns()
         line = F.struct(_txn_id().alias("txn_id"), known["product_id"].alias("product_id"),
                         known["qty"].alias("qty"), known["revenue"].alias("Doanh_Thu"),
                         F.when(F.col("l_discount") > 0.05, 1).otherwise(0).alias("promotion"))
-        gathered = lines.groupBy("l_orderkey", "block").agg(F.collect_list(line).alias("lines"))
+        gathered = lines.groupBy("l_orderkey", "part").agg(F.collect_list(line).alias("lines"))
         orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
         return gathered.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(F.to_json(F.struct(
             known["invoice_id"].alias("invoice_id"), F.concat(F.lit("T"), F.col("o_custkey")).alias("store_id"),
