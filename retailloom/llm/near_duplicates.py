@@ -1,8 +1,9 @@
 """Near-duplicates: b-bit MinHash with band candidates, confirmed on whole shingle sets, as connected components.
 
 Documents of one shingle set are one class from the start. In a band bucket every class is first compared with one
-centre, another one in each bucket, twice; what that leaves apart is then compared across the components found so
-far. So a group of copies costs about as many comparisons as it has members, and still no link between two
+centre, another one in each bucket: in some of the bands, then in all of them with what is still apart. What that
+leaves is compared across the components found so far, block by block, and only pairs that their packed signatures
+allow come out. So a group of copies costs about as many comparisons as it has members, and still no link between two
 components is missed.
 """
 
@@ -23,9 +24,10 @@ from retailloom.session import materialize
 WORDS, PERCENT = 5, 80
 BANDS, ROWS = 32, 4  # a pair of similarity 0.8 shares no band in 1 of 20 million cases
 MINIMA = BANDS * ROWS
-BINS, BITS = 512, 2  # minima of one permutation, and what is kept of each: 0 if its bin is empty, else 1 to 3
-SLACK = 0.08  # five standard deviations of the estimate, for sets that fill all bins; smaller sets have less
-STARS = 2
+BINS, BITS = 512, 4  # minima of one permutation, and what is kept of each: 0 if its bin is empty, else 1 to 15
+SLACK = 5  # standard deviations by which an estimate may fall short of the threshold
+STAR_BANDS = (8, BANDS)  # bands whose buckets take part in each star round
+BLOCK = 4096  # classes of a bucket that meet in one task, from either side
 SIGNED = "doc_id long, text_hash long, n_shingles long, digest binary, bands array<long>, bits array<long>"
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -113,18 +115,52 @@ def _signed(words: int):
     return signed
 
 
-def _estimate(a: Column, b: Column) -> Column:
-    """The similarity by bit counts: equal bins among those that either set fills, less the bins that are equal by
-    chance, which are half as many as the unequal ones that both fill."""
-    one = F.lit(0x5555555555555555)  # one mark for each bin
-    either, both, unlike = F.lit(0), F.lit(0), F.lit(0)
-    for i in range(BINS * BITS // 64):
-        x, y = a[i], b[i]
-        in_x, in_y, differ = [v.bitwiseOR(F.shiftrightunsigned(v, 1)).bitwiseAND(one) for v in (x, y, x.bitwiseXOR(y))]
-        either = either + F.bit_count(in_x.bitwiseOR(in_y))
-        both = both + F.bit_count(in_x.bitwiseAND(in_y))
-        unlike = unlike + F.bit_count(in_x.bitwiseAND(in_y).bitwiseAND(differ))
-    return (both - unlike * ((1 << BITS) - 1) / ((1 << BITS) - 2)) / either
+def _marks(bits: np.ndarray) -> np.ndarray:
+    """One bit for each entry that is not 0."""
+    for shift in (1, 2):
+        bits = bits | (bits >> np.uint64(shift))
+    return bits & np.uint64(0x1111111111111111)
+
+
+def _counted(bits: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(bits).sum(axis=-1, dtype=np.int64)
+
+
+def estimate(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The similarity by bit counts, and the number of bins that either set fills: of the bins, the share that is
+    equal, less those that are equal by chance, one for each 14 unequal ones that both fill."""
+    in_a, in_b = _marks(a), _marks(b)
+    either, both = _counted(in_a | in_b), _counted(in_a & in_b)
+    unlike = _counted(in_a & in_b & _marks(a ^ b))
+    kinds = (1 << BITS) - 1
+    return (both - unlike * kinds / (kinds - 1)) / np.maximum(either, 1), either
+
+
+def allowed(a: np.ndarray, n_a, b: np.ndarray, n_b, percent: int) -> np.ndarray:
+    """Whether two sets can be similar enough, by their sizes and by the estimate and its spread: bins hide all but
+    their minima, and unequal minima may look equal."""
+    p = percent / 100
+    found, bins = estimate(a, b)
+    union = (n_a + n_b) / (1 + p)
+    hidden = np.clip(1 - bins / union, 0, 1)
+    spread = np.sqrt((1 - p) / np.maximum(bins, 1) * (p * hidden + 1.0 / ((1 << BITS) - 2)))
+    return (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)) & (found >= p - SLACK * spread)
+
+
+def _packed(column: pd.Series) -> np.ndarray:
+    return np.stack(column.to_numpy()).astype(np.int64).view(np.uint64)
+
+
+def _near(percent: int):
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 4096):
+                part = batch.iloc[at:at + 4096]
+                keep = allowed(_packed(part["bits_a"]), part["n_a"].to_numpy(), _packed(part["bits_b"]),
+                               part["n_b"].to_numpy(), percent)
+                yield part.loc[keep, ["a", "b"]]
+
+    return near
 
 
 def _confirmed(words: int, percent: int):
@@ -143,15 +179,17 @@ def _confirmed(words: int, percent: int):
     return confirmed
 
 
-def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs of classes (a, b) whose whole sets are similar enough, checked on the texts."""
+def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int,
+           near: bool = False) -> DataFrame:
+    """The pairs of classes (a, b) whose whole sets are similar enough, checked on the texts; ``near`` if the pairs'
+    signatures have been compared."""
     close = pairs
-    for side in ("a", "b"):
-        close = close.join(classes.select(F.col("node").alias(side), F.col("n_shingles").alias(f"n_{side}"),
-                                          F.col("bits").alias(f"bits_{side}")), side)
-    close = materialize(close.where(
-        (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        & (_estimate(F.col("bits_a"), F.col("bits_b")) >= percent / 100 - SLACK)).select("a", "b"), "close")
+    if not near:
+        for side in ("a", "b"):
+            close = close.join(classes.select(F.col("node").alias(side), F.col("n_shingles").alias(f"n_{side}"),
+                                              F.col("bits").alias(f"bits_{side}")), side)
+        close = close.mapInPandas(_near(percent), "a long, b long")
+    close = materialize(close, "close")
     nodes = close.select(F.col("a").alias("node")).unionByName(close.select(F.col("b").alias("node"))).distinct()
     wanted = nodes.join(classes, "node").select("node", F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
     texts = materialize(docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")))
@@ -161,49 +199,77 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, pe
     return materialize(both.mapInPandas(_confirmed(words, percent), "a long, b long").distinct(), "links")
 
 
+def _largest(members: DataFrame) -> DataFrame:
+    """The component of each bucket with the most members."""
+    sizes = members.groupBy("band", "component").agg(F.count("*").alias("n"))
+    return (sizes.groupBy("band").agg(F.max(F.struct("n", "component")).alias("most"))
+            .select("band", F.col("most.component").alias("largest")))
+
+
 def _star_pairs(members: DataFrame, star: int) -> DataFrame:
     """Every member of a bucket with the bucket's centre, unless they are in one component already.
 
-    The centre has the smallest number after an exclusive or with a hash of the bucket: each bucket that a large
-    group shares takes another one.
+    The centre has the smallest number after an exclusive or with a hash of the bucket, so each bucket that a large
+    group shares takes another one; once there are components, it is from the bucket's largest.
     """
     turn = F.xxhash64("band", F.lit(star))
-    centres = (members.groupBy("band").agg(F.min(F.col("node").bitwiseXOR(turn)).alias("least"))
-               .select("band", F.col("least").bitwiseXOR(turn).alias("a")))
-    pairs = members.join(centres, "band")
     if star:
-        of_centre = members.select("band", F.col("node").alias("a"), F.col("component").alias("of_a"))
-        pairs = pairs.join(of_centre, ["band", "a"]).where("component != of_a")
-    return pairs.where("node != a").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+        members = members.join(_largest(members), "band")
+        some, others = members.where("component = largest"), members.where("component != largest")
+    else:
+        some = others = members
+    centres = (some.groupBy("band").agg(F.min(F.col("node").bitwiseXOR(turn)).alias("least"))
+               .select("band", F.col("least").bitwiseXOR(turn).alias("a")))
+    return others.join(centres, "band").where("node != a").select(
+        F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
 
 
 def _open(members: DataFrame, found: DataFrame, label: str) -> DataFrame:
     """The members of the buckets that hold more than one component."""
-    placed = members.select("band", "node").join(found, "node", "left").select(
-        "band", "node", F.coalesce("component", "node").alias("component"))
+    placed = members.select("band", "turn", "node").join(found, "node", "left").select(
+        "band", "turn", "node", F.coalesce("component", "node").alias("component"))
     mixed = (placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .where("low != high").select("band"))
-    return materialize(placed.join(mixed, "band").select("band", "node", "component"), label)
+    return materialize(placed.join(mixed, "band").select("band", "turn", "node", "component"), label)
+
+
+def _crossed(percent: int):
+    def crossed(key, rows: pd.DataFrame) -> pd.DataFrame:
+        """Of two blocks of a bucket (or one with itself), the pairs of different components that are allowed."""
+        turn, own = int(rows["turn"].iloc[0]), rows["block"].to_numpy()
+        node, component, n = (rows[c].to_numpy() for c in ("node", "component", "n_shingles"))
+        apart = component != rows["largest"].to_numpy()
+        bits, bands = _packed(rows["bits"]), _packed(rows["bands"])
+        first, second = int(key[1]), int(key[2])
+        out = []
+        # Pairs within one block once; across two blocks, from both sides; never two of the largest component.
+        for i in np.nonzero(apart)[0]:
+            other = (component != component[i]) & (~apart | (node > node[i]))
+            if first != second:
+                other &= own != own[i]
+            at = np.nonzero(other)[0]
+            at = at[100 * np.minimum(n[at], n[i]) >= percent * np.maximum(n[at], n[i])]
+            at = at[allowed(bits[at], n[at], bits[i], n[i], percent)]
+            if len(at):
+                at = at[(bands[at] == bands[i]).argmax(axis=1) == turn]  # in the first band they share alone
+                out.append(np.stack([np.minimum(node[at], node[i]), np.maximum(node[at], node[i])], axis=1))
+        return pd.DataFrame(np.concatenate(out) if out else np.empty((0, 2), np.int64), columns=["a", "b"])
+
+    return crossed
 
 
 def _cross_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a bucket from different components whose estimate allows a link, in the first band they share.
+    """All pairs of a bucket from different components whose signatures allow a link.
 
-    One side is without the bucket's largest component, within which nothing is left to compare.
+    A bucket of more than ``BLOCK`` classes is cut into blocks by a hash, and each pair of blocks is a task's work.
     """
-    sizes = members.groupBy("band", "component").agg(F.count("*").alias("n"))
-    largest = (sizes.groupBy("band").agg(F.max(F.struct("n", "component")).alias("most"))
-               .select("band", F.col("most.component").alias("largest")))
+    sizes = members.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     known = classes.select("node", "n_shingles", "bits", "bands")
-    rest = materialize(members.join(largest, "band").join(known, "node"), "rest")
-    x, y = rest.where("component != largest").alias("x"), rest.alias("y")
-    once = (F.col("y.component") == F.col("y.largest")) | (F.col("x.node") < F.col("y.node"))
-    return x.join(
-        y, (F.col("x.band") == F.col("y.band")) & (F.col("x.component") != F.col("y.component")) & once
-        & (100 * F.least("x.n_shingles", "y.n_shingles") >= percent * F.greatest("x.n_shingles", "y.n_shingles"))
-        & (_estimate(F.col("x.bits"), F.col("y.bits")) >= percent / 100 - SLACK)
-        & (F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.band"))
-    ).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    rows = (members.join(_largest(members), "band").join(sizes, "band").join(known, "node")
+            .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))))
+    pairs = rows.withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
+    return pairs.groupBy("band", "first", "second").applyInPandas(_crossed(percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -225,16 +291,17 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     classes = materialize(
         some.alias("s").join(first.alias("f"), same).select("s.*").dropDuplicates(["digest"])
         .withColumn("node", F.monotonically_increasing_id()), "classes")
-    in_bands = classes.select("node", F.explode("bands").alias("band"))
+    in_bands = classes.select("node", F.posexplode("bands").alias("turn", "band"))
     shared = materialize(in_bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band"), "shared")
-    members = materialize(in_bands.join(shared, "band").select("band", "node", F.col("node").alias("component")), "members")
+    members = materialize(in_bands.join(shared, "band").select("band", "turn", "node", F.col("node").alias("component")),
+                          "members")
     links, found = None, None
-    for star in range(STARS):
-        more = _links(_star_pairs(members, star), classes, source, words, percent)
+    for star, bands in enumerate(STAR_BANDS):
+        more = _links(_star_pairs(members.where(F.col("turn") < bands), star), classes, source, words, percent)
         links = more if links is None else links.unionByName(more)
         found = components(links)
         members = _open(members, found, f"open-{star}")
-    more = _links(_cross_pairs(members, classes, percent), classes, source, words, percent)
+    more = _links(_cross_pairs(members, classes, percent), classes, source, words, percent, near=True)
     if not more.isEmpty():
         found = components(links.unionByName(more))
     labelled = classes.select("node", "digest", "doc_id").join(found, "node", "left").withColumn(

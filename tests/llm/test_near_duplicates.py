@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from retailloom.llm import near_duplicates as nd
@@ -102,15 +103,30 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
-def test_estimate_follows_the_similarity(spark):
-    import numpy as np
-    from pyspark.sql import functions as F
-
+def test_estimate_follows_the_similarity():
     rng = np.random.default_rng(0)
-    for shared in (0, 300, 600, 900):
-        pool = rng.integers(0, 1 << 63, 2000, dtype=np.uint64)
-        a, b = np.unique(pool[:1000]), np.unique(pool[1000 - shared:2000 - shared])
-        _, bits = nd.signatures([a, b])
-        row = spark.createDataFrame([(bits[0].tolist(), bits[1].tolist())], "a array<long>, b array<long>")
-        got = row.select(nd._estimate(F.col("a"), F.col("b"))).first()[0]
-        assert abs(got - shared / (2000 - shared)) < 0.08
+    for size in (5, 60, 1000, 20_000):
+        for share in (0, 0.3, 0.8, 0.9, 1):
+            wrong = 0
+            for _ in range(20):
+                pool = rng.integers(0, 1 << 64, 2 * size, dtype=np.uint64)
+                shared = round(size * 2 * share / (1 + share))
+                a, b = np.unique(pool[:size]), np.unique(pool[size - shared:2 * size - shared])
+                _, bits = nd.signatures([a, b])
+                bits = bits.view(np.uint64)
+                true = shared / (2 * size - shared)
+                found, _ = nd.estimate(bits[:1], bits[1:])
+                wrong += abs(found[0] - true) > 0.1 + 1 / size
+                if true >= 0.8:
+                    assert nd.allowed(bits[:1], len(a), bits[1:], len(b), 80)[0]
+            assert wrong == 0
+
+
+def test_blocks_of_a_large_bucket(documents, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK", 16)
+    monkeypatch.setattr(nd, "STAR_BANDS", (0,))
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(100)]
+    texts = {i: " ".join(changed(rng, words, i % 6)) for i in range(120)}
+    found = {r["doc_id"]: r["component_id"] for r in nd.near_duplicates(documents(texts.items())).collect()}
+    assert found == {i: c for i, (_, c) in brute(texts, 5, 80).items()}
