@@ -16,7 +16,8 @@ from retailloom.operators.dedup import newest_customers
 from retailloom.operators.inventory import snapshot, stock_on_hand, value_stock
 from retailloom.operators.rollup import LEVELS, PARENT, business_date, closed, daily, late_rows, roll_up, unseen
 from retailloom.plans.publish import publish
-from retailloom.schemas import CUSTOMER, FACT, FACT_PARTITIONS, INVENTORY, PERIOD, PRODUCT, SNAPSHOT, WAREHOUSE, fields
+from retailloom.schemas import (
+    CUSTOMER, FACT, FACT_PARTITIONS, INVENTORY, MOVEMENT_LANDING, PERIOD, PRODUCT, SNAPSHOT, WAREHOUSE, fields)
 from retailloom.sinks.stores import Lake
 from retailloom.sinks.tables import append_counted, counted, ensure_table, overwrite_day, replace_table
 from retailloom.sources import files
@@ -24,7 +25,6 @@ from retailloom.streaming.ingest import ingest_landed, start_movements
 
 log = logging.getLogger(__name__)
 
-MOVEMENT_LANDING = "id string, product_id string, kind string, qty string, cost string, moved_at string"
 STOCK = StructType(INVENTORY.fields).add("source", StringType())
 LEDGER = fields("product_id string, stock_qty bigint")
 
@@ -44,6 +44,7 @@ class Config:
     archive: str | None = None
     target: object | None = None
     in_vietnamese: bool = False
+    files_per_batch: int = 1000
 
     def table(self, name: str) -> str:
         return f"{self.database}.{name}"
@@ -59,15 +60,16 @@ def create_database(spark: SparkSession, cfg: Config) -> None:
 
 
 def ingest(spark: SparkSession, cfg: Config) -> dict[str, int]:
-    """New landing files into the fact, new movements into the stock ledger, then the small tables."""
+    """New landing files into the fact, new movements into the stock ledger, then the small tables. A backlog is taken
+    in batches of ``files_per_batch`` files. Returns the rows of the fact per source and channel."""
     create_database(spark, cfg)
     if files.exists(spark, cfg.landing):
-        landing = files.json_lines_stream(spark, cfg.landing, cfg.archive)
+        landing = files.json_lines_stream(spark, cfg.landing, cfg.archive, cfg.files_per_batch)
         ingest_landed(landing, cfg.table("sales"), f"{cfg.checkpoint}/sales", Lake(cfg.lake))
     replace_table(spark.read.schema(PRODUCT).parquet(cfg.product), cfg.table("dim_product"))
     lake = Lake(cfg.lake)
     if files.exists(spark, cfg.movements):
-        landing = spark.readStream.schema(MOVEMENT_LANDING).json(cfg.movements)
+        landing = files.json_lines_stream(spark, cfg.movements, None, cfg.files_per_batch, MOVEMENT_LANDING)
         start_movements(landing, lake, f"{cfg.checkpoint}/movements").awaitTermination()
     balances = lake.read_batches(spark, "stock_ledger", LEDGER)
     current = value_stock(stock_on_hand(balances.withColumnRenamed("stock_qty", "qty")),
@@ -75,10 +77,13 @@ def ingest(spark: SparkSession, cfg: Config) -> dict[str, int]:
     replace_table(current, cfg.table("inventory"))
     overwrite_day(snapshot(spark.table(cfg.table("inventory")), cfg.snapshot_date),
                   cfg.table("stock_snapshot"), "snapshot_date", cfg.snapshot_date)
-    customers = (files.customer_file(spark, cfg.customers) if files.exists(spark, cfg.customers)
-                 else spark.createDataFrame([], CUSTOMER))
-    replace_table(newest_customers(customers), cfg.table("dim_customer"))
-    return {}
+    ensure_table(spark, cfg.table("dim_customer"), CUSTOMER)
+    if files.exists(spark, cfg.customers):  # without a new export the stored customers stay
+        newest = newest_customers(files.customer_file(spark, cfg.customers), "arrived").drop("arrived")
+        replace_table(newest, cfg.table("dim_customer"))
+    sales = spark.table(cfg.table("sales"))
+    counts = reports.rows_per_source(sales).collect() + reports.rows_per_channel(sales).collect()
+    return {row[0]: row["row_count"] for row in counts}
 
 
 def cube(spark: SparkSession, cfg: Config, name: str) -> DataFrame:
@@ -236,8 +241,13 @@ def run(spark: SparkSession, cfg: Config, steps: Iterable[str] | None = None) ->
 
 
 def reset(spark: SparkSession, cfg: Config, keep: Iterable[str] = ("dim_product",)) -> None:
-    """Empty the warehouse but for the tables to ``keep``. Start the next run with a new lake and a new
-    checkpoint folder, so that all landing files count as new."""
+    """Empty the warehouse but for the tables to ``keep``, with the cubes, movements, ledger and live tables of its
+    lake and the checkpoints of its streams, so that all landing files count as new. Landing files and the archive
+    stay."""
+    for name in (*reports.CUBES, "movements", "stock_ledger", "rt_stats", "rt_alerts"):
+        files.remove(spark, Lake(cfg.lake).path(name))
+    for name in ("sales", "movements", "dashboard", "alerts"):
+        files.remove(spark, f"{cfg.checkpoint}/{name}")
     if not spark.catalog.databaseExists(cfg.database):
         return
     kept = set(keep)

@@ -39,12 +39,12 @@ VIEWS = {
         WHERE l_linestatus = 'O'""",
     "movement": """
         SELECT concat('P', p_partkey) AS product_id, 'opening' AS kind, p_size * 10 AS qty,
-               CAST(NULL AS DATE) AS moved_on
+               round(p_size * 10 * p_retailprice, 0) AS cost, CAST(NULL AS DATE) AS moved_on
         FROM part
         UNION ALL
         SELECT concat('P', l_partkey), CASE WHEN l_returnflag = 'R' THEN 'inbound' ELSE 'outbound' END,
                CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS INT) ELSE -CAST(l_quantity AS INT) END,
-               CAST(l_shipdate AS DATE)
+               round(l_extendedprice, 0), CAST(l_shipdate AS DATE)
         FROM lineitem""",
     "stock": """
         SELECT product_id, CAST(sum(qty) AS BIGINT) AS stock_qty FROM movement GROUP BY product_id""",
@@ -245,6 +245,10 @@ ORACLE: dict[str, str] = {
                CAST(sum(CASE WHEN stock_qty < reorder_level THEN 1 ELSE 0 END) AS BIGINT) AS low_stock_products
         FROM snapshots GROUP BY snapshot_date ORDER BY snapshot_date""", "product", "movement", "snapshots"),
     "snapshot_table": _with("SELECT * FROM snapshots", "product", "movement", "snapshots"),
+    "movement_kinds": _with("""
+        SELECT kind, count(*) AS row_count, CAST(sum(qty) AS BIGINT) AS qty, sum(cost) AS cost,
+               min(moved_on) AS first_day, max(moved_on) AS last_day
+        FROM movement GROUP BY kind""", "movement"),
     "opening_balances": _with("""
         SELECT product_id, 'opening' AS kind, reorder_level * 2 AS qty,
                round(reorder_level * 2 * unit_cost, 0) AS cost
@@ -305,10 +309,10 @@ ORACLE: dict[str, str] = {
               FROM lineitem)
         WHERE rn = 1""",
     "customer_dedup": _with("""
-        SELECT customer_id, customer_name, segment, region
-        FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY customer_name, segment, region) AS rn
-              FROM (SELECT * FROM retail_customer UNION ALL SELECT * FROM retail_customer))
-        WHERE rn = 1""", "retail_customer"),
+        SELECT customer_id,
+               CASE WHEN n % 2 = 0 AND n % 3 = 0 THEN NULL ELSE customer_name END AS customer_name,
+               CASE WHEN n % 2 = 0 THEN 'CHANGED' ELSE segment END AS segment, region
+        FROM (SELECT *, CAST(substring(customer_id, 2) AS BIGINT) AS n FROM retail_customer)""", "retail_customer"),
     "invoice_flatten": _with("""
         SELECT txn_id, invoice_id, concat('T', o_custkey) AS store_id, o_orderstatus AS region, product_id, qty,
                revenue, promotion, CAST(o_orderdate AS DATE) AS txn_date, 'pos' AS source, 'offline' AS channel

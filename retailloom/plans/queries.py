@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from retailloom.functions.messages import from_messages, split_array, to_messages
 from retailloom.operators import dedup, inventory, ml, normalize, planning, reports, rollup
-from retailloom.schemas import EVENT, FACT, LIVE_ALERTS, LIVE_STATS, OFFLINE, PERIOD, SNAPSHOT, fields
+from retailloom.schemas import (
+    EVENT, FACT, LIVE_ALERTS, LIVE_STATS, MOVEMENT, MOVEMENT_LANDING, OFFLINE, PERIOD, SENT_KIND, SENT_KINDS, SENT_TIME,
+    SNAPSHOT, fields)
 from retailloom.session import materialize, scratch
 from retailloom.sinks.stores import Lake
 from retailloom.sinks.tables import append_counted, ensure_table, overwrite_day
@@ -274,30 +276,50 @@ def stock_trend(star: Star) -> DataFrame:
 
 @query
 def snapshot_table(star: Star) -> DataFrame:
-    """Day partitions written one by one, the last one twice: it replaces itself, the others stay."""
+    """Day partitions from one pass over the movements, the last one once more from the stored rows: it replaces
+    itself, the others stay."""
     table = f"{_fresh_database(star, 'snapshots')}.stock_snapshot"
     ensure_table(star.spark, table, SNAPSHOT, ["snapshot_date"])
+    days = materialize(inventory.snapshots_as_of(star.movement(), star.product(), SNAPSHOT_DATES), "days")
     for day in (*SNAPSHOT_DATES, SNAPSHOT_DATES[-1]):
-        counted = F.col("moved_on").isNull() | (F.col("moved_on") <= F.lit(day))
-        current = inventory.inventory(star.movement().where(counted), star.product())
-        overwrite_day(inventory.snapshot(current, day), table, "snapshot_date", day)
+        overwrite_day(days.where(F.col("snapshot_date") == F.lit(day)), table, "snapshot_date", day)
     return star.spark.table(table)
 
 
 @query
 def stock_ledger(star: Star) -> DataFrame:
     """Movements as JSON files through the movement stream; stock is the sum over its ledger."""
-    lake = Lake(scratch(star.spark, "ledger"))
-    star.movement().select("product_id", "kind", "qty", F.col("moved_on").alias("moved_at")).write.json(
-        lake.path("landing"))
-    landing = star.spark.readStream.schema(
-        "id string, product_id string, kind string, qty string, cost string, moved_at string"
-    ).json(lake.path("landing"))
-    ingest.start_movements(landing, lake, lake.path("checkpoint")).awaitTermination()
-    ledger = lake.read_batches(star.spark, "stock_ledger", fields("product_id string, stock_qty bigint"))
+    ledger = _movement_lake(star).read_batches(star.spark, "stock_ledger", fields("product_id string, stock_qty bigint"))
     return inventory.stock_on_hand(ledger.withColumnRenamed("stock_qty", "qty"))
 
 
+@query
+def movement_kinds(star: Star) -> DataFrame:
+    """What the movement stream has stored, by kind."""
+    stored = _movement_lake(star).read_batches(star.spark, "movements", MOVEMENT)
+    return stored.groupBy("kind").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("qty").alias("qty"), F.sum("cost").alias("cost"),
+        F.min(F.to_date("moved_at")).alias("first_day"), F.max(F.to_date("moved_at")).alias("last_day"))
+
+
+def _movement_lake(star: Star) -> Lake:
+    """All movements as the stock system sends them, id and cost included; then every third is sent again."""
+    lake = Lake(scratch(star.spark, "ledger"))
+
+    def arrive(rows: DataFrame) -> None:
+        rows.write.mode("append").json(lake.path("landing"))
+        landing = files.json_lines_stream(star.spark, lake.path("landing"), schema=MOVEMENT_LANDING)
+        ingest.start_movements(landing, lake, lake.path("checkpoint")).awaitTermination()
+
+    sent = {ours: theirs for theirs, ours in SENT_KINDS.items()}
+    kind = F.create_map(*[F.lit(text) for pair in sent.items() for text in pair])[F.col("kind")]
+    rows = star.movement().select(
+        "id", "product_id", kind.alias(SENT_KIND), "qty", "cost", F.col("moved_on").alias(SENT_TIME))
+    arrive(rows)
+    arrive(rows.where("id % 3 = 0"))
+    return lake
+
+
 @query
 def opening_balances(star: Star) -> DataFrame:
     return inventory.opening_balances(star.product())
@@ -397,8 +419,15 @@ def sales_dedup(star: Star) -> DataFrame:
 
 @query
 def customer_dedup(star: Star) -> DataFrame:
-    once = star.customer()
-    return dedup.newest_customers(once.unionByName(once))
+    """Three exports: the second one changes the segment of every other customer and leaves some names out, the third
+    repeats a part of the first under an older time."""
+    first = star.customer().withColumn("arrived", F.lit(1))
+    number = F.substr("customer_id", F.lit(2)).cast("bigint")
+    second = first.where(number % 2 == 0).withColumns({
+        "segment": F.lit("CHANGED"), "arrived": F.lit(2),
+        "customer_name": F.when(number % 3 != 0, F.col("customer_name"))})
+    third = first.where(number % 5 == 0).withColumns({"region": F.lit("OLD"), "arrived": F.lit(0)})
+    return dedup.newest_customers(first.unionByName(second).unionByName(third), "arrived").drop("arrived")
 
 
 @query

@@ -27,6 +27,14 @@ WAREHOUSE = "kho"
 # Movement kinds.
 OPENING, INBOUND, OUTBOUND = "opening", "inbound", "outbound"
 
+# The names and kinds under which the stock system sends its movements.
+SENT_KIND, SENT_TIME = "loai", "thoi_diem"
+SENT_KINDS = {"nhap_dau": OPENING, "nhap": INBOUND, "xuat": OUTBOUND}
+MOVEMENT_LANDING = T.StructType([
+    T.StructField(name, T.StringType())
+    for name in ("id", "product_id", "kind", SENT_KIND, "qty", "cost", "moved_at", SENT_TIME)
+])
+
 # The two message topics.
 SALES_TOPIC, INVENTORY_TOPIC = "sales-report-clean", "inventory-events"
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from retailloom.schemas import CUSTOMER, LANDING
@@ -23,6 +24,12 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return system.exists(place) and system.getFileStatus(place).isDirectory()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds, if it is there."""
+    system, place = _place(spark, path)
+    system.delete(place, True)
+
+
 def json_lines(spark: SparkSession, path: str, schema: StructType = LANDING) -> DataFrame:
     """JSON Lines under ``path``; no rows when the folder is missing or empty. Other failures raise."""
     if not exists(spark, path):
@@ -31,9 +38,9 @@ def json_lines(spark: SparkSession, path: str, schema: StructType = LANDING) ->
 
 
 def json_lines_stream(spark: SparkSession, path: str, archive: str | None = None,
-                      files_per_batch: int | None = None) -> DataFrame:
+                      files_per_batch: int | None = None, schema: StructType = LANDING) -> DataFrame:
     """Landing files as a stream; consumed files are moved below ``archive`` when one is given."""
-    reader = spark.readStream.schema(LANDING)
+    reader = spark.readStream.schema(schema)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if files_per_batch:
@@ -42,5 +49,6 @@ def json_lines_stream(spark: SparkSession, path: str, archive: str | None = None
 
 
 def customer_file(spark: SparkSession, path: str) -> DataFrame:
-    """The CRM export: one JSON array over many lines."""
-    return spark.read.schema(CUSTOMER).option("multiLine", True).json(path)
+    """The CRM exports, each one JSON array over many lines, with the time each file ``arrived``."""
+    rows = spark.read.schema(CUSTOMER).option("multiLine", True).json(path)
+    return rows.select("*", F.col("_metadata.file_modification_time").alias("arrived"))

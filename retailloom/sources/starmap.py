@@ -24,6 +24,12 @@ def _txn_id():
     return F.concat(F.lit("L"), F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
 
 
+def _line_id(columns: list[str]):
+    """A running number: order, line, and 30 bits of a hash of the whole row, as order and line can occur twice."""
+    place = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * (1 << 30)
+    return place + F.pmod(F.xxhash64(*columns), F.lit(1 << 30))
+
+
 def _line_columns():
     """Columns every selling system takes from a line item."""
     return {
@@ -159,12 +165,17 @@ class Star:
         inbound = F.col("l_returnflag") == "R"
         qty = F.col("l_quantity").cast("int")
         opening = self.table("part").select(
+            # Line movements have positive ids, opening ones negative: together they are unique.
+            (-1 - F.col("p_partkey")).cast("bigint").alias("id"),
             F.concat(F.lit("P"), F.col("p_partkey")).alias("product_id"), F.lit(OPENING).alias("kind"),
-            (F.col("p_size") * 10).alias("qty"), F.lit(None).cast("date").alias("moved_on"))
+            (F.col("p_size") * 10).alias("qty"), whole(F.col("p_size") * 10 * F.col("p_retailprice")).alias("cost"),
+            F.lit(None).cast("date").alias("moved_on"))
         moved = self.table("lineitem").select(
+            _line_id(self.table("lineitem").columns).alias("id"),
             F.concat(F.lit("P"), F.col("l_partkey")).alias("product_id"),
             F.when(inbound, INBOUND).otherwise(OUTBOUND).alias("kind"),
             F.when(inbound, qty).otherwise(-qty).alias("qty"),
+            whole(F.col("l_extendedprice")).alias("cost"),
             F.col("l_shipdate").cast("date").alias("moved_on"))
         return opening.unionByName(moved)
 

@@ -55,11 +55,49 @@ def test_whole_run_twice(spark, cfg, shop):
     assert table(spark, cfg, "stock_snapshot").count() == 8
 
     jobs.reset(spark, cfg)
-    assert [t.name for t in spark.catalog.listTables(cfg.database)] == ["dim_product"]
+    assert [t.name for t in spark.catalog.listTables(cfg.database) if not t.isTemporary] == ["dim_product"]
     jobs.reset(spark, cfg, keep=())
     assert not spark.catalog.databaseExists(cfg.database)
 
 
+def test_reset_starts_anew(spark, cfg):
+    jobs.run(spark, cfg)
+    before = tuples(table(spark, cfg, "report_region_profit"))
+    jobs.reset(spark, cfg)
+    again = jobs.run(spark, cfg)
+    assert all(result.ok for result in again.values())
+    assert again["ingest"].rows["erp"] == 6 and table(spark, cfg, "sales").count() == 12
+    assert tuples(table(spark, cfg, "report_region_profit")) == before
+    assert tuples(table(spark, cfg, "report_low_stock").select("product_id")) == [(CH,)]
+
+
+def test_customers_stay_without_an_export_and_the_newest_row_wins(spark, cfg, tmp_path):
+    import os
+
+    folder = tmp_path / "crm"
+    folder.mkdir()
+    names = ("customer_id", "customer_name", "segment", "region")
+    for name, time, row in (("b.json", 2_000, ("CUST0001", "Zoe", "Home Office", "South")),
+                            ("a.json", 1_000, ("CUST0001", "Ann", "Consumer", "South"))):
+        (folder / name).write_text(json.dumps([dict(zip(names, row))]))
+        os.utime(folder / name, (time, time))
+    cfg.customers = str(folder)
+    jobs.run(spark, cfg, ["ingest"])
+    assert tuples(table(spark, cfg, "dim_customer")) == [("CUST0001", "Zoe", "Home Office", "South")]
+    cfg.customers = str(tmp_path / "nowhere")
+    jobs.run(spark, cfg, ["ingest"])
+    assert table(spark, cfg, "dim_customer").count() == 1
+
+
+def test_one_batch_or_many(spark, cfg, shop, tmp_path):
+    jobs.run(spark, cfg, ["ingest"])
+    expected = [tuples(table(spark, cfg, "sales")), tuples(table(spark, cfg, "inventory"))]
+    jobs.reset(spark, cfg)
+    cfg.files_per_batch = 1
+    jobs.run(spark, cfg, ["ingest"])
+    assert [tuples(table(spark, cfg, "sales")), tuples(table(spark, cfg, "inventory"))] == expected
+
+
 def test_nothing_landed(spark, cfg, tmp_path):
     cfg.landing = str(tmp_path / "nowhere")
     results = jobs.run(spark, cfg, ["ingest", "rollup", "reports"])

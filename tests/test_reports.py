@@ -147,3 +147,46 @@ def test_labelled_counts(shop):
 
 def test_preview(shop):
     assert reports.previewed(reports.region_profit(shop.sales), "region_profit", 1).first()["region"] == "West"
+
+
+def pairs(spark, rows):
+    """(id, promotion, profit) as till and finance rows."""
+    tills = [(i, "pos", p, None, None) for i, p, _ in rows if p is not None]
+    books = [(i, "erp", None, y, 0.0) for i, _, y in rows if y is not None]
+    return spark.createDataFrame(tills + books, "txn_id string, source string, promotion int, revenue double, cost double")
+
+
+def test_correlation_of_large_amounts(spark):
+    from retailloom.operators.ml import promo_profit_corr
+
+    perfect = [(f"L{i}", i % 2, 1e9 + i % 2) for i in range(2000)]
+    assert promo_profit_corr(pairs(spark, perfect)).first()["value"] == 1.0
+    rows = [(f"L{i}", i % 3, 1e9 + (i * 7919 % 13)) for i in range(2000)]
+    both = spark.createDataFrame([(float(p), y) for _, p, y in rows], "p double, y double")
+    assert promo_profit_corr(pairs(spark, rows)).first()["value"] == round(both.selectExpr("corr(p, y) c").first()["c"], 4)
+
+
+def test_correlation_without_spread_or_pairs(spark):
+    from retailloom.operators.ml import promo_profit_corr
+
+    flat = [(f"L{i}", 1, 0.1 * i) for i in range(50)]
+    assert promo_profit_corr(pairs(spark, flat)).first()["value"] is None
+    assert promo_profit_corr(pairs(spark, [(i, i % 2, 1e9 + 0.1) for i in range(7)])).first()["value"] is None
+    assert promo_profit_corr(pairs(spark, [("a", 1, None), ("b", None, 2.0)])).first()["value"] is None
+
+
+def test_correlation_pairs_repeated_ids(spark):
+    from itertools import product
+
+    import numpy as np
+
+    from retailloom.operators.ml import promo_profit_corr
+
+    rows = [("a", 0, 1.0), ("a", 1, 5.0), ("b", 1, 9.0), ("b", 1, 2.0), ("c", 0, 3.0), ("c", None, 7.0)]
+    by = {}
+    for i, p, y in rows:
+        by.setdefault(i, ([], []))[1].append(y)
+        if p is not None:
+            by[i][0].append(p)
+    matched = np.array([pair for x, y in by.values() for pair in product(x, y)])
+    assert promo_profit_corr(pairs(spark, rows)).first()["value"] == round(np.corrcoef(matched.T)[0, 1], 4)

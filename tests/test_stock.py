@@ -133,3 +133,41 @@ def test_new_only_reads_only_the_batch_range(spark, shop, database):
                     if "PartitionFilters" in line and f"= {source})" in line.split("PushedFilters")[0] and "PushedFilters" in line)
         assert "GreaterThanOrEqual(txn_id,L000000001), LessThanOrEqual(txn_id,L000000003)" in scan
         assert "ReadSchema: struct<txn_id:string>" in scan
+
+
+def test_fuller_duplicate_stays(spark):
+    rows = spark.createDataFrame([("T", None, 1), ("T", 4.0, 1), ("U", None, 1)], "id string, cost double, qty int")
+    assert tuples(dedup(rows, ["id"])) == [("T", 4.0, 1), ("U", None, 1)]
+
+
+def test_an_old_id_adds_a_range_of_its_own(spark, shop, database):
+    """A batch of new ids with one old id among them does not read what lies between."""
+    table = f"{database}.sales"
+    shop.fact.write.partitionBy("source", "month").saveAsTable(table)
+    ids = ["L000000003", "L950000001", "L950000007", "WEB000000001"]
+    batch = normalize.to_fact(spark.createDataFrame([(i, "erp") for i in ids], "txn_id string, source string"))
+    text = plan(new_only(batch, spark.table(table)))
+    assert " <= L000000003)" in text and " >= L950000001)" in text and "<= WEB000000001)" in text
+    assert tuples(new_only(batch, spark.table(table)).select("txn_id")) == [("L950000001",), ("L950000007",)]
+
+
+def test_ranges_are_merged_across_the_smallest_gaps():
+    from retailloom.operators.dedup import _merged
+
+    blocks = [("L", n, low, high) for n, low, high in (
+        (0, "a", "b"), (1, "c", "d"), (50, "e", "f"), (52, "g", "h"), (900, "i", "j"))]
+    assert _merged(blocks, 3) == [("a", "d"), ("e", "h"), ("i", "j")]
+    assert _merged(blocks, 1) == [("a", "j")] and len(_merged(blocks, 9)) == 5
+    assert _merged([*blocks, ("W", 1, "y", "z")], 2) == [("a", "j"), ("y", "z")]
+
+
+def test_movements_by_the_names_they_are_sent_under(spark):
+    from retailloom.schemas import MOVEMENT_LANDING
+    from retailloom.streaming.ingest import to_movements
+
+    sent = [("1", "A", None, "nhap_dau", "10", "5.0", None, "2026-07-01 10:00:00"),
+            ("2", "A", None, "xuat", "-3", "1.5", None, "2026-07-02"), ("3", "A", "inbound", None, "2", None, "2026-07-03", None),
+            ("4", "A", None, "nhap", "1", None, None, "bad")]
+    found = to_movements(spark.createDataFrame(sent, MOVEMENT_LANDING)).selectExpr("id", "kind", "qty", "cost", "date(moved_at)")
+    assert tuples(found) == [(1, "opening", 10, 5.0, date(2026, 7, 1)), (2, "outbound", -3, 1.5, date(2026, 7, 2)),
+                             (3, "inbound", 2, None, date(2026, 7, 3)), (4, "inbound", 1, None, None)]
