@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,28 +61,66 @@ def store_features(sales: DataFrame) -> DataFrame:
                  F.sum("row_count").alias("txn_count")))
 
 
+FEATURES = ("revenue", "avg_revenue", "txn_count")
+
+
+def _clustered(features: DataFrame, k: int, seed: int):
+    """The fitted model, and the stores it was fitted on; no model without stores.
+
+    The features are written once before the iterations, in the order of the stores, so that no pass goes back to the
+    sales and the start does not depend on how the input was split.
+    """
+    usable = features.where(F.col("avg_revenue").isNotNull())
+    stored = materialize(usable.repartitionByRange("store_id").sortWithinPartitions("store_id", *FEATURES), "store-features")
+    if stored.isEmpty():
+        return None, stored
+    return Pipeline(stages=[
+        VectorAssembler(inputCols=list(FEATURES), outputCol="raw"),
+        StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
+        KMeans(k=k, seed=seed, predictionCol="prediction"),
+    ]).fit(stored), stored
+
+
 def cluster_stores(features: DataFrame, k: int = 3, seed: int = 42) -> DataFrame:
     """K-means on the standardised features, clusters numbered by ascending revenue of their centre.
 
-    The features are written once before the iterations, so no pass goes back to the sales. Only the
-    ``k`` centres reach the driver. Fewer distinct stores than ``k`` make as many clusters as there are.
+    Only the ``k`` centres reach the driver. Fewer distinct stores than ``k`` make as many clusters as there are.
     """
-    inputs = ["revenue", "avg_revenue", "txn_count"]
-    stored = materialize(features.where(F.col("avg_revenue").isNotNull()), "store-features")
-    k = min(k, stored.select(*inputs).distinct().limit(k).count())
-    if k < 2:
+    model, stored = _clustered(features, k, seed)
+    if model is None:
         return stored.select("store_id", "revenue", "txn_count", F.lit(0).alias("cluster"))
-    model = Pipeline(stages=[
-        VectorAssembler(inputCols=inputs, outputCol="raw"),
-        StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
-        KMeans(k=k, seed=seed, predictionCol="prediction"),
-    ]).fit(stored)
     centres = [float(centre[0]) for centre in model.stages[-1].clusterCenters()]
     order = sorted(range(len(centres)), key=centres.__getitem__)
     number = F.array_position(F.array(*[F.lit(label) for label in order]), F.col("prediction")) - 1
     return model.transform(stored).select("store_id", "revenue", "txn_count", number.cast("int").alias("cluster"))
 
 
+def cluster_check(features: DataFrame, k: int = 3, seed: int = 42) -> DataFrame:
+    """The standardised features of each store, whether its cluster's centre is the nearest one, and whether that
+    centre is the mean of its stores: what makes a clustering one of k-means."""
+    model, stored = _clustered(features, k, seed)
+    names = [f"{name}_z" for name in FEATURES]
+    if model is None:
+        return stored.select("store_id", *[F.col(f).cast("double").alias(n) for f, n in zip(FEATURES, names)],
+                             F.lit(True).alias("nearest"), F.lit(True).alias("centred"))
+    centres = [[float(x) for x in centre] for centre in model.stages[-1].clusterCenters()]
+    scaled = model.transform(stored).select(
+        "store_id", "prediction", *[vector_to_array("features")[i].alias(n) for i, n in enumerate(names)])
+
+    def distance(centre):
+        return sum(((F.col(n) - F.lit(x)) * (F.col(n) - F.lit(x)) for n, x in zip(names, centre)), F.lit(0.0))
+
+    own = F.element_at(F.array(*[distance(c) for c in centres]), F.col("prediction") + 1)
+    nearest = own <= F.least(*[distance(c) for c in centres], F.lit(float("inf"))) + 1e-9
+    means = scaled.groupBy("prediction").agg(*[F.avg(n).alias(f"mean_{n}") for n in names])
+    centre_of = [F.element_at(F.array(*[F.lit(c[i]) for c in centres]), F.col("prediction") + 1) for i in range(len(names))]
+    centred = means.select("prediction", F.greatest(*[
+        F.abs(F.col(f"mean_{n}") - c) for n, c in zip(names, centre_of)]).alias("off"))
+    return scaled.join(centred, "prediction").select(
+        "store_id", *[F.round(n, 6).alias(n) for n in names], nearest.alias("nearest"),
+        (F.col("off") < 1e-6).alias("centred"))
+
+
 def cluster_sizes(clusters: DataFrame) -> DataFrame:
     return clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("store_count"))
 

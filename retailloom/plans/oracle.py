@@ -294,11 +294,24 @@ ORACLE: dict[str, str] = {
     "store_features": _with("""
         SELECT store_id, sum(revenue) AS revenue, avg(revenue) AS avg_revenue, count(*) AS txn_count
         FROM erp WHERE store_id IS NOT NULL AND cost IS NOT NULL GROUP BY store_id""", "erp"),
+    "store_cluster_check": _with("""
+        SELECT store_id, round((revenue - avg(revenue) OVER ()) / stddev_samp(revenue) OVER (), 6) AS revenue_z,
+               round((avg_revenue - avg(avg_revenue) OVER ()) / stddev_samp(avg_revenue) OVER (), 6) AS avg_revenue_z,
+               round((txn_count - avg(txn_count) OVER ()) / stddev_samp(txn_count) OVER (), 6) AS txn_count_z,
+               TRUE AS nearest, TRUE AS centred
+        FROM (SELECT store_id, sum(revenue) AS revenue, avg(revenue) AS avg_revenue, count(*) AS txn_count
+              FROM erp WHERE store_id IS NOT NULL AND cost IS NOT NULL GROUP BY store_id)""", "erp"),
     "sales_normalized": _with("SELECT * FROM fact", "erp", "pos", "ecom", "fact"),
     "landing_ingest": _with(f"""
         SELECT {FACT_COLUMNS}
         FROM (SELECT *, row_number() OVER (PARTITION BY source, txn_id ORDER BY {FACT_ORDER}) AS rn FROM fact)
         WHERE rn = 1""", "erp", "pos", "ecom", "fact"),
+    "intake_to_landing": _with("""
+        SELECT * FROM fact WHERE source <> 'pos'
+        UNION ALL
+        SELECT txn_id, invoice_id, concat('T', o_custkey), product_id, o_orderstatus, qty, revenue, NULL, promotion,
+               'offline', NULL, NULL, NULL, CAST(o_orderdate AS DATE), 'pos', CAST(month(o_orderdate) AS INT)
+        FROM pos JOIN orders ON invoice_id = concat('INV', o_orderkey)""", "erp", "pos", "ecom", "fact"),
     "channel_derivation": _with("""
         SELECT source, channel, count(*) AS row_count FROM fact GROUP BY source, channel
         UNION ALL SELECT 'unmarked', NULL, count(*) FROM erp""", "erp", "pos", "ecom", "fact"),

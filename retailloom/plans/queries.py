@@ -19,7 +19,7 @@ from retailloom.sinks.stores import Lake
 from retailloom.sinks.tables import append_counted, ensure_table, overwrite_day
 from retailloom.sources import files, tables
 from retailloom.sources.starmap import Star
-from retailloom.streaming import ingest, live
+from retailloom.streaming import ingest, intake, live
 
 SNAPSHOT_DATES = (date(1998, 6, 30), date(1999, 12, 31), date(2001, 9, 30))
 RESUME_AFTER = date(1999, 6, 1)
@@ -389,6 +389,12 @@ def store_clusters(star: Star) -> DataFrame:
     return reports.ordered(ml.cluster_stores(store_features(star)), "store_clusters")
 
 
+@query
+def store_cluster_check(star: Star) -> DataFrame:
+    """The features, and that the clustering is one of k-means."""
+    return ml.cluster_check(store_features(star))
+
+
 @query
 def cluster_sizes(star: Star) -> DataFrame:
     return ml.cluster_sizes(ml.cluster_stores(store_features(star)))
@@ -525,6 +531,29 @@ def landing_ingest(star: Star) -> DataFrame:
     return spark.table(table)
 
 
+@query
+def intake_to_landing(star: Star) -> DataFrame:
+    """Invoices as message files, orders and finance rows as tables with running ids, taken to landing files in two
+    turns of which the second finds what is new, and a third that finds nothing."""
+    spark = star.spark
+    place = Lake(scratch(spark, "intake"))
+    star.invoices().write.text(place.path("tills"))
+    orders = star.ecommerce("txn_id", "customer_id", "region", "product_id", "qty", "revenue", "device",
+                            "payment_method", "txn_date").withColumnsRenamed({"txn_id": "order_id", "txn_date": "order_date"})
+    books = star.erp("txn_id", "invoice_id", "store_id", "region", "product_id", "qty", "revenue", "cost", "channel",
+                     "txn_date").withColumnRenamed("channel", "kenh")
+    running = F.monotonically_increasing_id() + 1
+    tables_ = {name: materialize(rows.withColumn("id", running), name)
+               for name, rows in (("ecommerce_orders", orders), ("sales", books))}
+    for turn in range(3):
+        intake.take_invoices(spark, place.path("tills"), place.path("landing"), place.path("checkpoint"))
+        for name, rows in tables_.items():
+            seen = rows.where("id % 1000000 <= 20000") if turn == 0 else rows
+            feed = intake.stored_table(name, lambda seen=seen: seen, intake.NORMALISED[name])
+            intake.take_table(spark, feed, place.path("landing"), place)
+    return normalize.to_fact(files.json_lines(spark, place.path("landing")))
+
+
 @query
 def ingested_cubes(star: Star) -> DataFrame:
     """Finance rows and online orders through the ingest, whose cubes alone feed the reports."""
