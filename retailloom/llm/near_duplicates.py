@@ -233,27 +233,44 @@ def _open(members: DataFrame, found: DataFrame, label: str) -> DataFrame:
     return materialize(placed.join(mixed, "band").select("band", "turn", "node", "component"), label)
 
 
-def _crossed(percent: int):
-    def crossed(key, rows: pd.DataFrame) -> pd.DataFrame:
-        """Of two blocks of a bucket (or one with itself), the pairs of different components that are allowed."""
-        turn, own = int(rows["turn"].iloc[0]), rows["block"].to_numpy()
-        node, component, n = (rows[c].to_numpy() for c in ("node", "component", "n_shingles"))
-        apart = component != rows["largest"].to_numpy()
-        bits, bands = _packed(rows["bits"]), _packed(rows["bands"])
-        first, second = int(key[1]), int(key[2])
-        out = []
+def _cross(rows: pd.DataFrame, ends: np.ndarray, percent: int) -> pd.DataFrame:
+    """Of each run of rows, which is two blocks of a bucket (or one with itself), the pairs of different components
+    that are allowed."""
+    turn, block, node, component, n, first, second = (rows[c].to_numpy() for c in (
+        "turn", "block", "node", "component", "n_shingles", "first", "second"))
+    apart = component != rows["largest"].to_numpy()
+    bits, bands = _packed(rows["bits"]), _packed(rows["bands"])
+    out = [np.empty((0, 2), np.int64)]
+    for start, end in zip(ends[:-1], ends[1:]):
         # Pairs within one block once; across two blocks, from both sides; never two of the largest component.
-        for i in np.nonzero(apart)[0]:
-            other = (component != component[i]) & (~apart | (node > node[i]))
-            if first != second:
-                other &= own != own[i]
-            at = np.nonzero(other)[0]
-            at = at[100 * np.minimum(n[at], n[i]) >= percent * np.maximum(n[at], n[i])]
-            at = at[allowed(bits[at], n[at], bits[i], n[i], percent)]
+        for i in start + np.nonzero(apart[start:end])[0]:
+            run = slice(start, end)
+            other = (component[run] != component[i]) & (~apart[run] | (node[run] > node[i]))
+            other &= 100 * np.minimum(n[run], n[i]) >= percent * np.maximum(n[run], n[i])
+            if first[i] != second[i]:
+                other &= block[run] != block[i]
+            at = start + np.nonzero(other)[0]
+            if len(at):
+                at = at[allowed(bits[at], n[at], bits[i], n[i], percent)]
             if len(at):
-                at = at[(bands[at] == bands[i]).argmax(axis=1) == turn]  # in the first band they share alone
+                at = at[(bands[at] == bands[i]).argmax(axis=1) == turn[i]]  # in the first band they share alone
                 out.append(np.stack([np.minimum(node[at], node[i]), np.maximum(node[at], node[i])], axis=1))
-        return pd.DataFrame(np.concatenate(out) if out else np.empty((0, 2), np.int64), columns=["a", "b"])
+    return pd.DataFrame(np.concatenate(out), columns=["a", "b"])
+
+
+def _crossed(percent: int):
+    def crossed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows come sorted; the last run of a batch waits for the next one, which may go on with it."""
+        rest = None
+        for batch in batches:
+            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            keys = rows[["band", "first", "second"]].to_numpy()
+            starts = np.concatenate([[0], 1 + np.nonzero((keys[1:] != keys[:-1]).any(axis=1))[0]])
+            rest = rows.iloc[starts[-1]:]
+            if len(starts) > 1:
+                yield _cross(rows.iloc[:starts[-1]], starts, percent)
+        if rest is not None and len(rest):
+            yield _cross(rest, np.array([0, len(rest)]), percent)
 
     return crossed
 
@@ -269,7 +286,8 @@ def _cross_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFr
             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))))
     pairs = rows.withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
-    return pairs.groupBy("band", "first", "second").applyInPandas(_crossed(percent), "a long, b long")
+    key = ["band", "first", "second"]
+    return pairs.repartition(*key).sortWithinPartitions(*key).mapInPandas(_crossed(percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
