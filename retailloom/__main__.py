@@ -1,6 +1,6 @@
 """Command line: ``spark-submit`` or ``python -m retailloom <command> settings.json``.
 
-Commands: ``batch [step ...]`` runs the batch (all steps, or the named ones), ``late`` shows stored days
+Commands: ``intake`` takes new invoices, orders, finance rows and movements to landing files, ``batch [step ...]`` runs the batch (all steps, or the named ones), ``late`` shows stored days
 whose sales changed, ``rebuild`` makes all periods and cubes anew, ``reset`` empties the warehouse,
 ``dashboard`` and ``alerts`` run the live jobs.
 """
@@ -14,9 +14,11 @@ import sys
 from datetime import date
 
 from retailloom.plans import jobs
+from retailloom.plans.publish import InVietnamese
 from retailloom.session import session
 from retailloom.sinks.stores import Jdbc, Lake
 from retailloom.sources.kafka import topic_stream
+from retailloom.streaming import intake
 from retailloom.streaming.ingest import rebuild_cubes
 from retailloom.streaming.live import LOSS_THRESHOLD, start_alerts, start_dashboard
 
@@ -40,15 +42,29 @@ def read_settings(path: str) -> tuple[jobs.Config, dict]:
     return jobs.Config(**settings), live
 
 
+def take_all(spark, cfg: jobs.Config, live: dict) -> None:
+    """``live["intake"]`` names the invoices' folder as ``tills``, or the database as ``jdbc`` and ``properties``."""
+    places, marks = live["intake"], Lake(cfg.lake)
+    if "tills" in places:
+        intake.take_invoices(spark, places["tills"], cfg.landing, f"{cfg.checkpoint}/tills", cfg.files_per_batch)
+    if "jdbc" in places:
+        for name, normalise in intake.NORMALISED.items():
+            feed = intake.database_table(spark, name, places["jdbc"], places.get("properties", {}), normalise)
+            intake.take_table(spark, feed, cfg.movements if name == "kho_chuyendong" else cfg.landing, marks)
+
+
 def main(arguments: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="retailloom", description=__doc__)
-    parser.add_argument("command", choices=("batch", "late", "rebuild", "reset", "dashboard", "alerts"))
+    parser.add_argument("command", choices=("intake", "batch", "late", "rebuild", "reset", "dashboard", "alerts"))
     parser.add_argument("settings")
     parser.add_argument("steps", nargs="*")
     given = parser.parse_args(arguments)
     logging.basicConfig(level=logging.INFO)
     cfg, live = read_settings(given.settings)
     spark = session()
+    if given.command == "intake":
+        take_all(spark, cfg, live)
+        return 0
     if given.command == "batch":
         results = jobs.run(spark, cfg, given.steps or None)
         for name, result in results.items():
@@ -65,7 +81,8 @@ def main(arguments: list[str] | None = None) -> int:
         messages = topic_stream(spark, live["servers"])
         threshold = live.get("threshold", LOSS_THRESHOLD)
         if given.command == "dashboard":
-            query = start_dashboard(messages, cfg.target, f"{cfg.checkpoint}/dashboard", threshold)
+            shown = InVietnamese(cfg.target) if cfg.in_vietnamese else cfg.target
+            query = start_dashboard(messages, shown, f"{cfg.checkpoint}/dashboard", threshold)
         else:
             query = start_alerts(messages, f"{cfg.checkpoint}/alerts", threshold)
         query.awaitTermination()

@@ -65,14 +65,17 @@ FEATURES = ("revenue", "avg_revenue", "txn_count")
 
 
 def _clustered(features: DataFrame, k: int, seed: int):
-    """The fitted model, and the stores it was fitted on; no model without stores.
+    """The fitted model, and the stores it was fitted on; no model for fewer than two different stores.
+
+    Spark's k-means breaks off when it has fewer different points than ``k``, so ``k`` is lowered to their number.
 
     The features are written once before the iterations, in the order of the stores, so that no pass goes back to the
     sales and the start does not depend on how the input was split.
     """
     usable = features.where(F.col("avg_revenue").isNotNull())
     stored = materialize(usable.repartitionByRange("store_id").sortWithinPartitions("store_id", *FEATURES), "store-features")
-    if stored.isEmpty():
+    k = min(k, stored.select(*FEATURES).distinct().limit(k).count())
+    if k < 2:
         return None, stored
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(FEATURES), outputCol="raw"),

@@ -3,8 +3,9 @@
 Reports read *measures*: rows of the finance source with ``revenue, cost, profit, units, row_count`` and
 ``priced_rows``, or of the online source with ``revenue`` and ``order_count``. A measure row stands for
 ``row_count`` (``order_count``) sales, so every report gives the same result on the raw fact
-(``sales_measures``, ``order_measures``) and on the far smaller cubes, which the ingest keeps up to date by
-adding each batch's sums. Reports then never scan the fact.
+(``sales_measures``, ``order_measures``) and on the cubes, which the ingest keeps up to date by adding each
+batch's sums. A cube is smaller than the fact where many sales share its dimensions: region x day and
+device x payment always are, store x day and product x month in a shop that sells most things every day.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from retailloom.schemas import ECOMMERCE, ERP, OFFLINE, fields
 
 MEASURES = ("revenue", "cost", "profit", "units", "row_count", "priced_rows")
 STORE_DAY = ("txn_date", "month", "store_id", "region", "channel", "costed")
+REGION_DAY = ("txn_date", "region", "channel", "costed")
+DEVICES = ("device", "payment_method")
 PRODUCT_MONTH = ("product_id", "txn_month", "month", "costed")
 ORDERS = ("customer_id", "device", "payment_method")
 
@@ -49,6 +52,14 @@ def store_day_cube(sales: DataFrame) -> DataFrame:
     return _cube(sales, STORE_DAY)
 
 
+def region_day_cube(sales: DataFrame) -> DataFrame:
+    return _cube(sales, REGION_DAY)
+
+
+def device_cube(orders: DataFrame) -> DataFrame:
+    return _cube(orders, DEVICES, ("revenue", "order_count"))
+
+
 def product_month_cube(sales: DataFrame) -> DataFrame:
     return _cube(sales, PRODUCT_MONTH)
 
@@ -62,12 +73,21 @@ CUBES = {
     "cube_store_day": lambda fact: store_day_cube(sales_measures(fact)),
     "cube_product_month": lambda fact: product_month_cube(sales_measures(fact)),
     "cube_orders": lambda fact: order_cube(order_measures(fact)),
+    "cube_region_day": lambda fact: region_day_cube(sales_measures(fact)),
+    "cube_devices": lambda fact: device_cube(order_measures(fact)),
+}
+# The same sums over several batches of a cube.
+CUBE_SUMS = {
+    "cube_store_day": store_day_cube, "cube_product_month": product_month_cube, "cube_orders": order_cube,
+    "cube_region_day": region_day_cube, "cube_devices": device_cube,
 }
 _SUMS = "revenue double, cost double, profit double, units bigint, row_count bigint, priced_rows bigint"
 CUBE_SCHEMAS = {
     "cube_store_day": fields("txn_date date, month int, store_id string, region string, channel string, "
                              f"costed boolean, {_SUMS}"),
     "cube_product_month": fields(f"product_id string, txn_month date, month int, costed boolean, {_SUMS}"),
+    "cube_region_day": fields(f"txn_date date, region string, channel string, costed boolean, {_SUMS}"),
+    "cube_devices": fields("device string, payment_method string, revenue double, order_count bigint"),
     "cube_orders": fields("customer_id string, device string, payment_method string, revenue double, "
                           "order_count bigint"),
 }

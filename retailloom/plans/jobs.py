@@ -17,7 +17,8 @@ from retailloom.operators.inventory import snapshot, stock_on_hand, value_stock
 from retailloom.operators.rollup import LEVELS, PARENT, business_date, closed, daily, late_rows, roll_up, unseen
 from retailloom.plans.publish import publish
 from retailloom.schemas import (
-    CUSTOMER, FACT, FACT_PARTITIONS, INVENTORY, MOVEMENT_LANDING, PERIOD, PRODUCT, SNAPSHOT, WAREHOUSE, fields)
+    CUSTOMER, FACT, FACT_PARTITIONS, INVENTORY, LIVE_ALERTS, LIVE_STATS, MOVEMENT, MOVEMENT_LANDING, PERIOD, PRODUCT,
+    SNAPSHOT, WAREHOUSE, fields)
 from retailloom.sinks.stores import Lake
 from retailloom.sinks.tables import append_counted, counted, ensure_table, overwrite_day, replace_table
 from retailloom.sources import files
@@ -97,7 +98,7 @@ def rollup(spark: SparkSession, cfg: Config) -> dict[str, int]:
     The bounds are read first (one row each) and used as literals. A day that was stored stays as it is:
     sales that arrive for it later are found by ``late_days``.
     """
-    sales = cube(spark, cfg, "cube_store_day")
+    sales = cube(spark, cfg, "cube_region_day")
     current = business_date(sales).first()["business_date"]
     added = {}
     if current is None:
@@ -111,18 +112,18 @@ def rollup(spark: SparkSession, cfg: Config) -> dict[str, int]:
 
 def _level(spark: SparkSession, cfg: Config, level: str) -> DataFrame:
     if level == "day":
-        return daily(cube(spark, cfg, "cube_store_day"))
+        return daily(cube(spark, cfg, "cube_region_day"))
     return roll_up(spark.table(cfg.table(f"agg_{PARENT[level]}")), level)
 
 
 def late_days(spark: SparkSession, cfg: Config) -> DataFrame:
     """Stored days whose sales have changed since."""
-    return late_rows(daily(cube(spark, cfg, "cube_store_day")), spark.table(cfg.table("agg_day")))
+    return late_rows(daily(cube(spark, cfg, "cube_region_day")), spark.table(cfg.table("agg_day")))
 
 
 def rebuild_periods(spark: SparkSession, cfg: Config) -> None:
     """All closed periods anew, late sales included."""
-    current = business_date(cube(spark, cfg, "cube_store_day")).first()["business_date"]
+    current = business_date(cube(spark, cfg, "cube_region_day")).first()["business_date"]
     for level in LEVELS:
         periods = _level(spark, cfg, level)
         replace_table(closed(periods, level, current) if current else periods, cfg.table(f"agg_{level}"))
@@ -133,19 +134,20 @@ def report_tables(spark: SparkSession, cfg: Config) -> dict[str, Callable[[], Da
     def table(name: str) -> DataFrame:
         return spark.table(cfg.table(name))
 
-    days, products, orders = (cube(spark, cfg, name) for name in reports.CUBES)
+    days, products, orders, regions, devices = (cube(spark, cfg, name) for name in (
+        "cube_store_day", "cube_product_month", "cube_orders", "cube_region_day", "cube_devices"))
     return {
         "store_month_pnl": lambda: reports.store_month_pnl(days),
-        "region_profit": lambda: reports.region_profit(days),
+        "region_profit": lambda: reports.region_profit(regions),
         "top_products_revenue": lambda: reports.top_products_revenue(products),
         "low_stock": lambda: reports.low_stock_products(table("inventory")),
         "top_products_profit": lambda: reports.top_products_profit(products),
         "stock_value": lambda: reports.stock_value_list(table("inventory")),
-        "channel_pnl": lambda: reports.channel_pnl(days),
-        "device_payment": lambda: reports.device_payment(orders),
+        "channel_pnl": lambda: reports.channel_pnl(regions),
+        "device_payment": lambda: reports.device_payment(devices),
         "segment_revenue": lambda: reports.segment_revenue(orders, table("dim_customer")),
         "stock_trend": lambda: reports.stock_trend(table("stock_snapshot")),
-        "daily_series": lambda: reports.daily_series(days),
+        "daily_series": lambda: reports.daily_series(regions),
     }
 
 
@@ -157,7 +159,7 @@ def analysis_tables(spark: SparkSession, cfg: Config) -> dict[str, Callable[[],
 
     days, products = cube(spark, cfg, "cube_store_day"), cube(spark, cfg, "cube_product_month")
     return {
-        "revenue_forecast": lambda: ml.forecast_next(ml.monthly_series(days)),
+        "revenue_forecast": lambda: ml.forecast_next(ml.monthly_series(cube(spark, cfg, "cube_region_day"))),
         "store_clusters": lambda: ml.cluster_stores(ml.store_features(days)),
         "promo_profit_corr": lambda: ml.promo_profit_corr(table("sales")),
         "replenishment_plan": lambda: planning.replenishment_plan(
@@ -186,6 +188,18 @@ def store_reports(spark: SparkSession, cfg: Config) -> dict[str, int]:
     return _store(spark, cfg, report_tables(spark, cfg))
 
 
+def fold(spark: SparkSession, cfg: Config) -> dict[str, int]:
+    """One partition for the batches of each cube, the ledger, the movements and the live tables."""
+    lake = Lake(cfg.lake)
+    for name, sums in reports.CUBE_SUMS.items():
+        lake.fold(spark, name, reports.CUBE_SCHEMAS[name], sums)
+    lake.fold(spark, "stock_ledger", LEDGER, lambda rows: rows.groupBy("product_id").agg(
+        F.sum("stock_qty").alias("stock_qty")))
+    for name, schema in (("movements", MOVEMENT), ("rt_stats", LIVE_STATS), ("rt_alerts", LIVE_ALERTS)):
+        lake.fold(spark, name, schema)
+    return {}
+
+
 def store_analysis(spark: SparkSession, cfg: Config) -> dict[str, int]:
     return _store(spark, cfg, analysis_tables(spark, cfg))
 
@@ -205,6 +219,7 @@ class Step:
 
 STEPS = (
     Step("ingest", ingest, required=True),
+    Step("fold", fold),
     Step("rollup", rollup),
     Step("reports", store_reports),
     Step("analysis", store_analysis),

@@ -160,14 +160,44 @@ ORACLE: dict[str, str] = {
         SELECT region, CAST(round(sum(revenue), 0) AS BIGINT) AS revenue,
                CAST(round(sum(revenue - cost), 0) AS BIGINT) AS profit
         FROM erp WHERE cost IS NOT NULL GROUP BY region""", "erp"),
-    "ingested_cubes": _with("""
-        SELECT region, round(sum(revenue), 0) AS revenue, round(sum(revenue - cost), 0) AS profit
-        FROM (SELECT DISTINCT ON (txn_id) * FROM erp ORDER BY txn_id, product_id, region, revenue, cost, txn_date)
-        WHERE cost IS NOT NULL GROUP BY region
+    "ingested_cubes": _with(f"""
+        , stored AS (
+            SELECT {FACT_COLUMNS}
+            FROM (SELECT *, row_number() OVER (PARTITION BY source, txn_id ORDER BY {FACT_ORDER}) AS rn FROM fact)
+            WHERE rn = 1),
+        books AS (SELECT * FROM stored WHERE source = 'erp'),
+        orders_ AS (SELECT * FROM stored WHERE source = 'ecommerce'),
+        by_product AS (
+            SELECT product_id, round(sum(revenue), 0) AS revenue,
+                   round(sum(revenue - cost) FILTER (WHERE cost IS NOT NULL), 0) AS profit,
+                   count(cost) > 0 AS costed
+            FROM books GROUP BY product_id)
+        SELECT 'region_profit' AS report, coalesce(region, '') AS key, round(sum(revenue), 0) AS revenue,
+               round(sum(revenue - cost), 0) AS profit
+        FROM books WHERE cost IS NOT NULL GROUP BY region
+        UNION ALL
+        SELECT 'store_month_pnl', concat_ws('/', store_id, month), round(sum(revenue), 0),
+               round(sum(revenue - cost), 0)
+        FROM books WHERE channel = 'offline' AND cost IS NOT NULL GROUP BY store_id, month
+        UNION ALL
+        SELECT 'top_products_revenue', product_id, revenue, NULL
+        FROM (SELECT * FROM by_product ORDER BY revenue DESC, product_id LIMIT 10)
+        UNION ALL
+        SELECT 'top_products_profit', product_id, NULL, profit
+        FROM (SELECT * FROM by_product WHERE costed ORDER BY profit DESC, product_id LIMIT 10)
+        UNION ALL
+        SELECT 'channel_pnl', channel, round(sum(revenue), 0), round(sum(revenue - cost), 0)
+        FROM books WHERE channel IS NOT NULL GROUP BY channel
+        UNION ALL
+        SELECT 'device_payment', concat_ws('/', device, payment_method), round(sum(revenue), 0), NULL
+        FROM orders_ GROUP BY device, payment_method
+        UNION ALL
+        SELECT 'segment_revenue', segment, round(sum(revenue), 0), NULL
+        FROM orders_ o JOIN retail_customer k ON o.customer_id = k.customer_id GROUP BY segment
         UNION ALL
-        SELECT device, round(sum(revenue), 0), NULL
-        FROM (SELECT DISTINCT ON (txn_id) * FROM ecom ORDER BY txn_id, revenue, device, txn_date)
-        GROUP BY device""", "erp", "ecom"),
+        SELECT 'daily_series', CAST(txn_date AS VARCHAR), round(sum(revenue), 0), round(sum(revenue - cost), 0)
+        FROM books WHERE txn_date IS NOT NULL GROUP BY txn_date""",
+        "retail_customer", "erp", "pos", "ecom", "fact"),
     "order_cube": _with("""
         SELECT customer_id, device, payment_method, sum(revenue) AS revenue, count(*) AS order_count
         FROM ecom GROUP BY customer_id, device, payment_method""", "ecom"),

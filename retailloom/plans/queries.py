@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -556,18 +557,32 @@ def intake_to_landing(star: Star) -> DataFrame:
 
 @query
 def ingested_cubes(star: Star) -> DataFrame:
-    """Finance rows and online orders through the ingest, whose cubes alone feed the reports."""
+    """All sources through the ingest in two batches, whose cubes, folded, alone feed the eight reports."""
     spark = star.spark
     lake, table = Lake(scratch(spark, "cubes")), f"{_fresh_database(star, 'cubes')}.sales"
-    normalize.union_sources(
-        star.erp("txn_id", "source", "region", "product_id", "revenue", "cost", "txn_date"),
-        star.ecommerce("txn_id", "source", "revenue", "device", "txn_date")).write.json(lake.path("landing"))
-    ingest.ingest_landed(files.json_lines_stream(spark, lake.path("landing")), table, lake.path("checkpoint"), lake)
-    days, _, orders = (lake.read_batches(spark, name, schema) for name, schema in reports.CUBE_SCHEMAS.items())
-    regions = reports.region_profit(days).select("region", "revenue", "profit")
-    devices = reports.device_payment(orders).select(F.col("device").alias("region"), "revenue",
-                                                    F.lit(None).cast("double").alias("profit"))
-    return regions.unionByName(devices)
+    for rows in (star.all_sources(), star.pos()):
+        rows.write.mode("append").json(lake.path("landing"))
+        ingest.ingest_landed(files.json_lines_stream(spark, lake.path("landing")), table, lake.path("checkpoint"), lake)
+    cubes = {}
+    for name, schema in reports.CUBE_SCHEMAS.items():
+        lake.fold(spark, name, schema, reports.CUBE_SUMS[name])
+        cubes[name] = lake.read_batches(spark, name, schema)
+    days, products, orders = cubes["cube_store_day"], cubes["cube_product_month"], cubes["cube_orders"]
+    regions, devices = cubes["cube_region_day"], cubes["cube_devices"]
+    built = {
+        "region_profit": (reports.region_profit(regions), ["region"]),
+        "store_month_pnl": (reports.store_month_pnl(days), ["store_id", "month"]),
+        "top_products_revenue": (reports.top_products_revenue(products), ["product_id"]),
+        "top_products_profit": (reports.top_products_profit(products), ["product_id"]),
+        "channel_pnl": (reports.channel_pnl(regions), ["channel"]),
+        "device_payment": (reports.device_payment(devices), ["device", "payment_method"]),
+        "segment_revenue": (reports.segment_revenue(orders, star.customer("customer_id", "segment")), ["segment"]),
+        "daily_series": (reports.daily_series(regions), ["day"]),
+    }
+    return reduce(DataFrame.unionByName, [report.select(
+        F.lit(name).alias("report"), F.concat_ws("/", *keys).alias("key"),
+        *[F.col(c) if c in report.columns else F.lit(None).cast("double").alias(c) for c in ("revenue", "profit")])
+        for name, (report, keys) in built.items()])
 
 
 # Live

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from retailloom.sources.files import exists
+from retailloom.sources.files import exists, remove, rename
 
 BATCH = ("query_id", "batch_id")
+FOLDED = "folded"
 
 
 def _stamped(df: DataFrame, query_id: str, batch_id: int) -> DataFrame:
@@ -46,6 +47,42 @@ class Lake:
         (_stamped(df, "rebuilt", 0).write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy(*BATCH).parquet(self.path(name)))
 
+    def fold(self, spark: SparkSession, name: str, schema: StructType, sums: Callable[[DataFrame], DataFrame] | None = None,
+             ) -> None:
+        """One partition in place of those of all batches but each query's last, which may still be repeated.
+
+        ``sums`` adds up what the batches hold. The folded rows are written beside the table first, then a marker that
+        names what they stand for; from then on the fold is finished by whoever comes next, so a crash at any point
+        loses and doubles nothing. Not to be run by two jobs at once.
+        """
+        beside, marker = f"{self.root.rstrip('/')}/_fold/{name}", f"{self.root.rstrip('/')}/_fold/{name}.ready"
+        self._finish_fold(spark, name)
+        rows = self.read_batches(spark, name, schema)
+        batches = rows.select(*BATCH).distinct()
+        last = batches.groupBy("query_id").agg(F.max("batch_id").alias("batch_id"))
+        folded = [tuple(r) for r in batches.where(F.col("query_id") != FOLDED).join(last, list(BATCH), "left_anti").collect()]
+        if not folded:
+            return
+        earlier = [tuple(r) for r in batches.where(F.col("query_id") == FOLDED).collect()]
+        old = rows.join(batches.join(last.where(F.col("query_id") != FOLDED), list(BATCH), "left_anti"), list(BATCH),
+                        "left_semi").drop(*BATCH)
+        number = max([n for _, n in earlier], default=-1) + 1
+        (sums(old) if sums else old).write.mode("overwrite").parquet(f"{beside}/query_id={FOLDED}/batch_id={number}")
+        remove(spark, marker)
+        spark.createDataFrame([*folded, *earlier], "query_id string, batch_id long").coalesce(1).write.json(marker)
+        self._finish_fold(spark, name)
+
+    def _finish_fold(self, spark: SparkSession, name: str) -> None:
+        root = self.root.rstrip("/")
+        if not exists(spark, f"{root}/_fold/{name}.ready/_SUCCESS"):
+            return
+        for row in spark.read.schema("query_id string, batch_id long").json(f"{root}/_fold/{name}.ready").collect():
+            remove(spark, f"{self.path(name)}/query_id={row['query_id']}/batch_id={row['batch_id']}")
+        if exists(spark, f"{root}/_fold/{name}/query_id={FOLDED}"):
+            remove(spark, f"{self.path(name)}/query_id={FOLDED}")
+            rename(spark, f"{root}/_fold/{name}/query_id={FOLDED}", f"{self.path(name)}/query_id={FOLDED}")
+        remove(spark, f"{root}/_fold/{name}.ready")
+
     def read_batches(self, spark: SparkSession, name: str, schema: StructType) -> DataFrame:
         """All batches of a table; no rows while nothing is written."""
         stamped = StructType([f for f in schema if f.name not in BATCH]
@@ -73,10 +110,14 @@ class Jdbc:
         """Append the rows of one micro-batch that an earlier, interrupted try has not written yet."""
         rows = _stamped(df, query_id, batch_id)
         on = [*BATCH, *keys]
+        # Appending no rows creates the table where it is missing, and changes nothing where it is there.
+        rows.limit(0).write.mode("append").jdbc(self.url, name, properties=self.properties)
         written = df.sparkSession.read.jdbc(
             self.url, f"(select {', '.join(on)} from {name} "
                       f"where batch_id = {int(batch_id)} and query_id = '{query_id}') q",
             properties=self.properties)
-        (rows.join(written, on, "left_anti").select(rows.columns)
+        found = written.toDF(*[f"_{column}" for column in on])
+        same = [rows[column].eqNullSafe(found[f"_{column}"]) for column in on]
+        (rows.join(found, same, "left_anti").select(rows.columns)
          .write.mode("append").option("numPartitions", self.connections)
          .jdbc(self.url, name, properties=self.properties))

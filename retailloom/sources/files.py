@@ -30,6 +30,12 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(place, True)
 
 
+def rename(spark: SparkSession, path: str, new: str) -> None:
+    system, place = _place(spark, path)
+    if not system.rename(place, _place(spark, new)[1]):
+        raise OSError(f"{path} could not become {new}")
+
+
 def json_lines(spark: SparkSession, path: str, schema: StructType = LANDING) -> DataFrame:
     """JSON Lines under ``path``; no rows when the folder is missing or empty. Other failures raise."""
     if not exists(spark, path):

@@ -57,7 +57,7 @@ def test_late_rows(spark, shop):
     assert rollup.late_rows(rollup.daily(shop.sales), stored).isEmpty()
     late = (shop.fact.where("source = 'erp' and txn_id in ('L000000003', 'WEB000000002')")
             .withColumn("txn_id", F.concat(F.lit("LATE"), "txn_id"))
-            .withColumn("txn_date", F.when(F.col("product_id").startswith("TEC-MA"), F.col("txn_date"))
+            .withColumn("txn_date", F.when(F.col("product_id").startswith("P40"), F.col("txn_date"))
                         .otherwise(F.lit(date(2026, 7, 3)))))
     days = rollup.daily(reports.sales_measures(shop.fact.unionByName(late)))
     found = rollup.late_rows(days, stored).select("period", "row_count", "stored_row_count")

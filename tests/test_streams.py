@@ -1,5 +1,6 @@
 import json
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -223,6 +224,67 @@ class Writer:
         self.calls.append((url, table, self.options, properties))
 
 
+def batches(lake, name):
+    return sorted(p.parent.name + "/" + p.name for p in (Path(lake.root) / name).glob("query_id=*/batch_id=*"))
+
+
+def test_folding_keeps_the_rows_and_the_last_batch(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    for batch in range(5):
+        lake.append_batch(spark.createDataFrame([("A", 1), ("B", batch)], LEDGER), "stock_ledger", "q", batch)
+    lake.append_batch(spark.createDataFrame([("C", 7)], LEDGER), "stock_ledger", "other", 0)
+
+    def total():
+        return tuples(lake.read_batches(spark, "stock_ledger", LEDGER).groupBy("product_id").sum("stock_qty"))
+
+    def sums(rows):
+        return rows.groupBy("product_id").agg(F.sum("stock_qty").alias("stock_qty"))
+
+    before = total()
+    for _ in range(2):
+        lake.fold(spark, "stock_ledger", LEDGER, sums)
+        assert total() == before
+        assert batches(lake, "stock_ledger") == [
+            "query_id=folded/batch_id=0", "query_id=other/batch_id=0", "query_id=q/batch_id=4"]
+    assert lake.has_batch(spark, "stock_ledger", "q", 4)
+    lake.append_batch(spark.createDataFrame([("A", 1)], LEDGER), "stock_ledger", "q", 5)
+    lake.fold(spark, "stock_ledger", LEDGER, sums)
+    assert len(batches(lake, "stock_ledger")) == 3 and dict(total())["A"] == 6
+    lake.fold(spark, "nothing", LEDGER)
+
+
+def test_a_fold_that_broke_off_is_finished(spark, tmp_path, monkeypatch):
+    from retailloom.sinks import stores
+
+    lake = Lake(str(tmp_path))
+    for batch in range(4):
+        lake.append_batch(spark.createDataFrame([("A", 1)], LEDGER), "stock_ledger", "q", batch)
+    real, calls = stores.remove, []
+
+    def broken(session, path):
+        calls.append(path)
+        if len(calls) == 3:  # after the marker, one batch is gone
+            raise OSError("lost")
+        real(session, path)
+
+    monkeypatch.setattr(stores, "remove", broken)
+    with pytest.raises(OSError):
+        lake.fold(spark, "stock_ledger", LEDGER)
+    monkeypatch.setattr(stores, "remove", real)
+    lake.fold(spark, "stock_ledger", LEDGER)
+    assert lake.read_batches(spark, "stock_ledger", LEDGER).agg(F.sum("stock_qty")).first()[0] == 4
+
+
+def test_live_tables_under_their_dashboard_names(spark, tmp_path):
+    from retailloom.plans.publish import InVietnamese
+
+    sales = spark.createDataFrame([("T", "S", "R", 1.0, 500.0, -499.0)],
+                                  "txn_id string, store_id string, region string, revenue double, cost double, profit double")
+    live.write_batch(sales, InVietnamese(Lake(str(tmp_path))), "q", 0)
+    assert {"doanh_thu", "loi_nhuan", "so_gd", "thoi_diem"} <= set(spark.read.parquet(str(tmp_path / "rt_thongke")).columns)
+    assert spark.read.parquet(str(tmp_path / "rt_canhbao")).count() == 1
+
+
 def test_jdbc_replace_options():
     calls = []
 
@@ -249,7 +311,11 @@ def test_jdbc_batch_writes_only_what_is_missing(spark, monkeypatch):
     monkeypatch.setattr(DataFrameWriter, "jdbc", write)
     alerts = spark.createDataFrame([("T1", 1.0), ("T2", 2.0)], "txn_id string, profit double")
     Jdbc("jdbc:x").append_batch(alerts, "rt_alerts", "q", 4, keys=["txn_id"])
-    assert written == [("rt_alerts", [("T2", 2.0, "q", 4)])]
+    assert written == [("rt_alerts", []), ("rt_alerts", [("T2", 2.0, "q", 4)])]  # the first makes a missing table
+    nameless = spark.createDataFrame([(None, 1.0)], "txn_id string, profit double")
+    stored = spark.createDataFrame([("q", 4, None)], "query_id string, batch_id bigint, txn_id string")
+    Jdbc("jdbc:x").append_batch(nameless, "rt_alerts", "q", 4, keys=["txn_id"])
+    assert written[-1] == ("rt_alerts", [])
     assert "batch_id = 4" in asked[0] and "query_id = 'q'" in asked[0]
 
 
