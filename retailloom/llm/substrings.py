@@ -14,6 +14,7 @@ from retailloom.llm.common import numbered
 from retailloom.session import materialize
 
 MIN_WORDS = 8
+FRAME = 20_000  # units that a task hands on at once
 # A unit is a line, or as much of it as holds five words and ends in a full stop, exclamation or question mark and a
 # blank. Units tile the text, and fall into step again soon after the start of a shared passage.
 UNIT = re.compile(r"[\x20\x09\x0B-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]+){4}[^\n]*?(?:[.!?] |\n|\Z)"
@@ -36,7 +37,7 @@ def _units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     out.append((row, doc_id, pos, match.start(), match.end(), len(words),
                                 xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"))))
                     pos += 1
-            if len(out) > 100_000:
+            if len(out) > FRAME:
                 yield _frame(out)
                 out = []
         yield _frame(out)

@@ -20,11 +20,11 @@ from retailloom.llm.words import coded, slices
 from retailloom.session import materialize
 
 BITS = 18
-POSITIVES, UNLABELLED = 2_000, 6_000  # rows that the model is fitted on, at most
+POSITIVES, UNLABELLED = 2_000, 5_000  # rows that the model is fitted on, at most
 THRESHOLD = 0.5
 PRIOR = 0.1  # where no label tells
 STEPS, RATE, DECAY = 150, 0.1, 1e-3
-RARE, TELLING = 4, 0.4
+RARE, TELLING = 4, 0.7
 STEMS = (4, 5, 6)  # a word counts as itself and as its first letters
 
 
@@ -49,6 +49,13 @@ def _pairs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return once // max(1, len(distinct)), once % max(1, len(distinct)), _hashed(distinct)
 
 
+def _in_parts(texts: list[str], size: int = 512):
+    """For some texts at a time: their first place, and of each different word its text and features."""
+    for at in range(0, len(texts), size):
+        document, word, hashed = _pairs(texts[at:at + size])
+        yield at, document, hashed[word]
+
+
 @dataclass
 class Model:
     weights: np.ndarray
@@ -68,21 +75,22 @@ def train(positives: list[str], unlabelled: list[str], prior: float) -> Model:
     instead, which undoes over-fitting."""
     if not positives or not unlabelled:
         return Model(np.zeros(1 << BITS, np.float32), float(np.log(prior / (1 - prior))))
-    texts, np_, document, index = positives + unlabelled, len(positives), [], []
-    for at in range(0, len(texts), 512):
-        d, word, hashed = _pairs(texts[at:at + 512])
-        own = hashed[word]
-        document.append(np.repeat(d + at, hashed.shape[1]))
-        index.append(own.ravel())
-    document, index = np.concatenate(document), np.concatenate(index)
-    of_positive = document < np_
-    in_positives = np.bincount(index[of_positive], minlength=(1 << BITS) + 1)
-    in_unlabelled = np.bincount(index[~of_positive], minlength=(1 << BITS) + 1)
-    posterior = prior * (in_positives / np_) / ((in_unlabelled + 1) / len(unlabelled))
-    telling = (in_positives >= RARE) & (posterior >= TELLING)
+    texts, np_ = positives + unlabelled, len(positives)
+    counts = np.zeros((2, (1 << BITS) + 1), dtype=np.int64)  # texts that have a feature: unlabelled, positive
+    for at, d, own in _in_parts(texts):
+        of_positive = np.repeat(d + at < np_, own.shape[1])
+        for kind in (0, 1):
+            counts[kind] += np.bincount(own.ravel()[of_positive == kind], minlength=(1 << BITS) + 1)
+    posterior = prior * (counts[1] / np_) / ((counts[0] + 1) / len(unlabelled))
+    telling = (counts[1] >= RARE) & (posterior >= TELLING)
     telling[1 << BITS] = False
-    kept = telling[index]
-    document, (names, index) = document[kept], np.unique(index[kept], return_inverse=True)
+    document, index = [np.empty(0, np.int32)], [np.empty(0, np.int32)]
+    for at, d, own in _in_parts(texts):  # once more, as the telling features alone are few
+        row, column = np.nonzero(telling[own])
+        document.append((d[row] + at).astype(np.int32))
+        index.append(own[row, column].astype(np.int32))
+    document = np.concatenate(document)
+    names, index = np.unique(np.concatenate(index), return_inverse=True)
     w, bias, m, v = np.zeros(len(names)), -1.0, np.zeros(len(names) + 1), np.zeros(len(names) + 1)
     positive = np.arange(len(texts)) < np_
     for step in range(1, STEPS + 1):
