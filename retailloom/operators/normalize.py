@@ -74,4 +74,5 @@ def to_fact(raw: DataFrame) -> DataFrame:
         F.col("txn_date").try_cast("date").alias("txn_date"),
         "source",
     ).where(F.col("source").isNotNull() & F.col("txn_id").isNotNull())
-    return typed.withColumn("month", F.month("txn_date")).select(FACT.fieldNames())
+    dated = typed.withColumns({"month": F.month("txn_date"), "year": F.year("txn_date")})
+    return dated.select(FACT.fieldNames())

@@ -110,15 +110,16 @@ VIEWS = {
     "fact": """
         SELECT txn_id, invoice_id, store_id, product_id, region, qty, revenue, cost, CAST(NULL AS INT) AS promotion,
                channel, CAST(NULL AS VARCHAR) AS customer_id, CAST(NULL AS VARCHAR) AS device,
-               CAST(NULL AS VARCHAR) AS payment_method, txn_date, 'erp' AS source, month
+               CAST(NULL AS VARCHAR) AS payment_method, txn_date, 'erp' AS source, month,
+               CAST(year(txn_date) AS INT) AS year
         FROM erp
         UNION ALL
         SELECT txn_id, invoice_id, store_id, product_id, region, qty, revenue, NULL, promotion, 'offline', NULL, NULL,
-               NULL, txn_date, 'pos', CAST(month(txn_date) AS INT)
+               NULL, txn_date, 'pos', CAST(month(txn_date) AS INT), CAST(year(txn_date) AS INT)
         FROM pos
         UNION ALL
         SELECT txn_id, NULL, NULL, product_id, region, qty, revenue, NULL, NULL, 'online', customer_id, device,
-               payment_method, txn_date, 'ecommerce', CAST(month(txn_date) AS INT)
+               payment_method, txn_date, 'ecommerce', CAST(month(txn_date) AS INT), CAST(year(txn_date) AS INT)
         FROM ecom""",
 }
 
@@ -142,7 +143,7 @@ def _read_twice(table: str, column: str) -> str:
 
 # Of several rows with one key the first by all other columns is kept, nulls last.
 FACT_REST = ("invoice_id store_id product_id region qty revenue cost promotion channel customer_id device "
-             "payment_method txn_date month").split()
+             "payment_method txn_date month year").split()
 FACT_COLUMNS = ", ".join(["source", "txn_id", *FACT_REST])
 FACT_ORDER = ", ".join(f"{name} NULLS LAST" for name in FACT_REST)
 PERIOD_VIEWS = ("erp", "bound", "all_days", "days")
@@ -340,7 +341,8 @@ ORACLE: dict[str, str] = {
         SELECT * FROM fact WHERE source <> 'pos'
         UNION ALL
         SELECT txn_id, invoice_id, concat('T', o_custkey), product_id, o_orderstatus, qty, revenue, NULL, promotion,
-               'offline', NULL, NULL, NULL, CAST(o_orderdate AS DATE), 'pos', CAST(month(o_orderdate) AS INT)
+               'offline', NULL, NULL, NULL, CAST(o_orderdate AS DATE), 'pos', CAST(month(o_orderdate) AS INT),
+               CAST(year(o_orderdate) AS INT)
         FROM pos JOIN orders ON invoice_id = concat('INV', o_orderkey)""", "erp", "pos", "ecom", "fact"),
     "channel_derivation": _with("""
         SELECT source, channel, count(*) AS row_count FROM fact GROUP BY source, channel

@@ -55,9 +55,9 @@ LANDING = T.StructType([
 FACT = fields(
     "txn_id string, invoice_id string, store_id string, product_id string, region string, qty int, "
     "revenue double, cost double, promotion int, channel string, customer_id string, device string, "
-    "payment_method string, txn_date date, source string, month int"
+    "payment_method string, txn_date date, source string, month int, year int"
 )
-FACT_PARTITIONS = ("source", "month")
+FACT_PARTITIONS = ("source", "year", "month")
 FACT_KEY = ("txn_id", "source")
 
 PRODUCT = fields(
