@@ -336,5 +336,5 @@ def without_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int =
     """The rows of ``docs`` whose document is the first of its component, with all their columns."""
     gone = near_duplicates(docs, words, percent).where(~F.col("kept")).select(
         F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("gone_id"))
-                     & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("gone_hash")), "left_anti")
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["gone_id"])
+                     & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["gone_hash"]), "left_anti")
