@@ -99,7 +99,7 @@ ORACLE: dict[str, str] = {
         WITH tiles AS (
             SELECT doc_id, unnest(t) AS unit, generate_subscripts(t, 1) AS place
             FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), 
-                '[\x20\x09\x0B-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]+){4}[^\n]*?(?:[.!?] |\n|$)|[^\n]+(?:\n|$)|\n') AS t FROM documents)),
+                '[\x20\x09\x0B-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]+){4}[^\n]*?(?:[.!?,;:] |\n|$)|[^\n]+(?:\n|$)|\n') AS t FROM documents)),
         placed AS (
             SELECT doc_id, place, length(unit) AS size,
                    sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY place) AS until,

@@ -1,4 +1,4 @@
-"""Repeated text: units (lines, long ones cut at sentence ends) are hashed, the earliest of equal ones stays."""
+"""Repeated text: units (lines, long ones cut into clauses) are hashed, the earliest of equal ones stays."""
 
 from __future__ import annotations
 
@@ -15,9 +15,9 @@ from retailloom.session import materialize
 
 MIN_WORDS = 8
 FRAME = 20_000  # units that a task hands on at once
-# A unit is a line, or as much of it as holds five words and ends in a full stop, exclamation or question mark and a
-# blank. Units tile the text, and fall into step again soon after the start of a shared passage.
-UNIT = re.compile(r"[\x20\x09\x0B-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]+){4}[^\n]*?(?:[.!?] |\n|\Z)"
+# A unit is a line, or as much of it as holds five words and ends in a punctuation mark and a blank. Units tile the
+# text, and fall into step again soon after the start of a shared passage.
+UNIT = re.compile(r"[\x20\x09\x0B-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]+){4}[^\n]*?(?:[.!?,;:] |\n|\Z)"
                   r"|[^\n]+(?:\n|\Z)|\n")
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 UNITS = "row long, doc_id long, pos int, start int, end int, words int, digest binary"
