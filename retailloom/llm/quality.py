@@ -42,8 +42,8 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     document, codes, distinct = coded(texts)
     if not len(codes):
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
-    word = np.array([xxhash.xxh64_intdigest(w.lower().encode("utf-8", "surrogatepass")) for w in distinct], np.uint64)[codes]
-    shape = np.array([xxhash.xxh64_intdigest(_shape(w).encode("utf-8", "surrogatepass")) for w in distinct], np.uint64)[codes]
+    word, shape = (np.array([xxhash.xxh64_intdigest(form(w).encode("utf-8", "surrogatepass")) for w in distinct],
+                            np.uint64)[codes] for form in (str.lower, _shape))
     share = 1.0 / np.bincount(document)[document]
     pair = document[1:] == document[:-1]
     zero = np.zeros(1, np.uint64)

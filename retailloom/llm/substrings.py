@@ -48,23 +48,24 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return frame.astype({"doc_id": "Int64"})
 
 
-def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Per row of ``docs``: its number ``row`` (taken from a column of that name, if there is one), ``doc_id``,
-    ``n_chars`` , ``n_units`` and the ``spans`` to remove, as a sorted array of ``struct<start, end>`` in code points
-    of the original text.
-
-    Units hold five words at least, but for the ends of lines. They are lower-cased and their white space is folded before hashing (128 bits). Of equal units the one of
-    the smallest doc_id, then row, then position stays (null ids last). The others go if the run of neighbouring
-    units that all repeat has ``min_words`` words at least: one short sentence that happens to recur is left.
+def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS, row: str | None = None) -> DataFrame:
+    """Per row of ``docs``: its number ``row`` (that of a unique column, if one is named), ``doc_id``, ``n_chars``,
+    ``n_units`` and the ``spans`` to remove, as a sorted array of ``struct<start, end>`` in code points of the original
+    text.
+
+    Units hold five words at least, but for the ends of lines. They are lower-cased and their white space is folded
+    before hashing (128 bits). Of equal units the one of the smallest doc_id, then row, then position stays (null ids
+    last). The others go if the run of neighbouring units that all repeat has ``min_words`` words at least: one short
+    line that happens to recur is left.
     Empty and null texts have no units. A repeated row loses all its units of enough words. An empty table gives
     no rows.
 
     The digests are summed before the shuffle, and the join back has one row per repeated digest on its smaller
     side: a line that a third of all documents share is split by AQE, never gathered.
     """
-    if "row" not in docs.columns:
-        docs = docs.withColumn("row", F.monotonically_increasing_id())
-    source = docs.select("row", F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    number = F.col(row) if row else F.monotonically_increasing_id()
+    source = docs.select(number.alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                         F.coalesce("text", F.lit("")).alias("text"))
     units = materialize(source.mapInPandas(_units, UNITS), "units")
     body = units.where("pos >= 0")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "pos")
@@ -102,5 +103,5 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     All columns stay; one of the name ``row`` or ``spans`` is replaced.
     """
     rows = numbered(docs.drop("row", "spans"), "row", "rows")
-    joined = rows.join(repeated_units(rows, min_words).select("row", "spans"), "row").drop("row")
+    joined = rows.join(repeated_units(rows, min_words, row="row").select("row", "spans"), "row").drop("row")
     return joined.mapInPandas(_cut, joined.schema)

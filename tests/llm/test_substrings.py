@@ -33,20 +33,20 @@ def test_equals_brute_force(documents):
     sentences = [" ".join(rng.choice("alpha beta gamma delta eps zeta".split()) for _ in range(rng.randint(1, 9)))
                  + rng.choice([". ", "! ", "\n", "\n\n"]) for _ in range(60)]
     texts = {i: "".join(rng.choice(sentences) for _ in range(rng.randint(0, 12))) for i in range(80)}
-    assert spans_of(substrings.repeated_units(documents(texts.items()).drop("row"))) == brute(texts, 8)
+    assert spans_of(substrings.repeated_units(documents(texts.items()))) == brute(texts, 8)
 
 
 def test_a_passage_inside_a_line_is_found_and_the_first_stays(documents):
     passage = "One red fox ran over the hill. Two old dogs slept there. Nobody saw it at all. "
     docs = documents([(2, "before it " + passage + "after it."), (1, "Something else. " + passage), (3, "Clean text here.")])
-    found = spans_of(substrings.repeated_units(docs.drop("row")))
+    found = spans_of(substrings.repeated_units(docs))
     assert found[1] == found[3] == []
     assert [("before it " + passage)[a:b] for a, b in found[2]] == ["Two old dogs slept there. ", "Nobody saw it at all. "]
 
 
 def test_units_fall_into_step_again(documents):
     passage = "Go. The red fox ran off. Two dogs slept on the mat. No. Nobody ever saw any of it here. "
-    docs = documents([(1, passage + "End of it."), (2, "And then he said: " + passage + "Other end of it.")]).drop("row")
+    docs = documents([(1, passage + "End of it."), (2, "And then he said: " + passage + "Other end of it.")])
     start, end = spans_of(substrings.repeated_units(docs))[2][0][0], spans_of(substrings.repeated_units(docs))[2][-1][1]
     text = "And then he said: " + passage
     assert text[start:end] == "Two dogs slept on the mat. No. Nobody ever saw any of it here. "
@@ -61,21 +61,21 @@ def test_cut_text_keeps_columns(documents):
 
 
 def test_case_and_white_space_are_folded_and_short_units_stay(documents):
-    docs = documents([(1, "A b c d e f g H\nshort one\n"), (2, "a  B c d\te f g h\nnew\nshort one\n")]).drop("row")
+    docs = documents([(1, "A b c d e f g H\nshort one\n"), (2, "a  B c d\te f g h\nnew\nshort one\n")])
     assert spans_of(substrings.repeated_units(docs)) == {1: [], 2: [(0, 17)]}
 
 
 def test_repeated_rows_null_ids_and_empty_texts(documents, empty):
     text = "one two three four five six seven eight nine"
-    docs = documents([(4, text), (4, text), (None, text), (5, None), (6, ""), (7, "\n \n")]).drop("row")
+    docs = documents([(4, text), (4, text), (None, text), (5, None), (6, ""), (7, "\n \n")])
     found = substrings.repeated_units(docs).collect()
     cut = [(r["doc_id"], len(r["spans"])) for r in found]
     assert sorted(cut, key=str) == sorted([(4, 0), (4, 1), (None, 1), (5, 0), (6, 0), (7, 0)], key=str)
-    assert substrings.repeated_units(empty.drop("row")).collect() == []
+    assert substrings.repeated_units(empty).collect() == []
     assert substrings.without_repeats(empty).collect() == []
 
 
 def test_very_long_text(documents):
     text = "".join(f"sentence number {i % 1000} of a long text. " for i in range(20_000))
-    found = spans_of(substrings.repeated_units(documents([(1, text)]).drop("row")))
+    found = spans_of(substrings.repeated_units(documents([(1, text)])))
     assert len(found[1]) == 19_000
