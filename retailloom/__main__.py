@@ -1,8 +1,8 @@
 """Command line: ``spark-submit`` or ``python -m retailloom <command> settings.json``.
 
-Commands: ``intake`` takes new invoices, orders, finance rows and movements to landing files, ``batch [step ...]`` runs the batch (all steps, or the named ones), ``late`` shows stored days
-whose sales changed, ``rebuild`` makes all periods and cubes anew, ``reset`` empties the warehouse,
-``dashboard`` and ``alerts`` run the live jobs.
+Commands: ``intake`` takes new invoices, orders, finance rows and movements to landing files, ``batch [step ...]``
+runs the batch (all steps, or the named ones), ``late`` shows stored days whose sales changed, ``rebuild`` makes all
+periods and cubes anew, ``reset`` empties the warehouse, ``dashboard`` and ``alerts`` run the live jobs.
 """
 
 from __future__ import annotations

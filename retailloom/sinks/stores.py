@@ -47,8 +47,8 @@ class Lake:
         (_stamped(df, "rebuilt", 0).write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy(*BATCH).parquet(self.path(name)))
 
-    def fold(self, spark: SparkSession, name: str, schema: StructType, sums: Callable[[DataFrame], DataFrame] | None = None,
-             ) -> None:
+    def fold(self, spark: SparkSession, name: str, schema: StructType,
+             sums: Callable[[DataFrame], DataFrame] | None = None) -> None:
         """One partition in place of those of all batches but each query's last, which may still be repeated.
 
         ``sums`` adds up what the batches hold. The folded rows are written beside the table first, then a marker that

@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailloom.operators.normalize import flatten_invoices, normalize_ecommerce, normalize_erp, normalize_pos, parse_invoices
+from retailloom.operators.normalize import (
+    flatten_invoices, normalize_ecommerce, normalize_erp, normalize_pos, parse_invoices)
 from retailloom.schemas import INVENTORY_TOPIC, SALES_TOPIC, SENT_KIND
 from retailloom.sinks.stores import Lake
 from retailloom.sources.files import exists
