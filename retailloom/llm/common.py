@@ -48,6 +48,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int = SA
             .join(F.broadcast(materialize(chosen, f"sample-{label}")), "doc_id"))
 
 
+def as_text(column: str) -> Column:
+    """A whole-number id as text, the form in which it goes through Python: a pandas column with a null turns whole
+    numbers into floats, which hold no more than 53 bits."""
+    return F.col(column).cast("long").cast("string").alias(column)
+
+
+def as_numbers(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({column: F.col(column).cast("long") for column in columns})
+
+
 def per_process(key, make: Callable):
     """What ``make`` returns, made once in this process. As functions travel to the workers by value, the globals of
     this package live for one task there; this outlives it."""

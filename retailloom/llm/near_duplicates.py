@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from retailloom.llm.common import as_numbers, as_text
 from retailloom.llm.graph import components
 from retailloom.llm.words import slices
 from retailloom.session import materialize
@@ -28,7 +29,7 @@ BINS, BITS = 512, 4  # minima of one permutation, and what is kept of each: 0 if
 SLACK = 5  # standard deviations by which an estimate may fall short of the threshold
 STAR_BANDS = (8, BANDS)  # bands whose buckets take part in each star round
 BLOCK = 4096  # classes of a bucket that meet in one task, from either side
-SIGNED = "doc_id long, text_hash long, n_shingles long, digest binary, bands array<long>, bits array<long>"
+SIGNED = "doc_id string, text_hash long, n_shingles long, digest binary, bands array<long>, bits array<long>"
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -107,7 +108,7 @@ def _signed(words: int):
                     for i, band, bit in zip(full, *found):
                         bands[i], bits[i] = band, bit
                 yield pd.DataFrame({
-                    "doc_id": part["doc_id"].astype("Int64"), "text_hash": part["text_hash"],
+                    "doc_id": part["doc_id"], "text_hash": part["text_hash"],
                     "n_shingles": [len(own) for own in sets],
                     "digest": [xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None for own in sets],
                     "bands": bands, "bits": bits})
@@ -300,7 +301,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
                          ).withColumn("text_hash", F.xxhash64("text"))
-    signed = materialize(source.mapInPandas(_signed(words), SIGNED), "signed")
+    as_strings = source.select(as_text("doc_id"), "text", "text_hash")
+    signed = materialize(as_numbers(as_strings.mapInPandas(_signed(words), SIGNED), "doc_id"), "signed")
     some = signed.where(F.col("digest").isNotNull())
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     first = some.groupBy("digest").agg(F.min(place).alias("first"))

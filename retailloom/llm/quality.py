@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailloom.llm.common import in_test_fold, training_rows
+from retailloom.llm.common import as_numbers, as_text, in_test_fold, training_rows
 from retailloom.llm.words import coded, slices
 
 BITS = 18
@@ -119,6 +119,6 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
                 yield pd.DataFrame({"doc_id": part["doc_id"], "held_out": part["held_out"], "score": found,
                                     "predicted": (found >= threshold).astype("int32")})
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), in_test_fold().alias("held_out"),
-                         F.coalesce("text", F.lit("")).alias("text"))
-    return source.mapInPandas(scored, "doc_id long, held_out boolean, score double, predicted int")
+    source = docs.select(as_text("doc_id"), in_test_fold().alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
+    found = source.mapInPandas(scored, "doc_id string, held_out boolean, score double, predicted int")
+    return as_numbers(found, "doc_id")

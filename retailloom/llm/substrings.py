@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from retailloom.llm.common import numbered
+from retailloom.llm.common import as_numbers, as_text, numbered
 from retailloom.session import materialize
 
 MIN_WORDS = 8
@@ -20,7 +20,7 @@ FRAME = 20_000  # units that a task hands on at once
 UNIT = re.compile(r"[\x20\x09\x0B-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]+){4}[^\n]*?(?:[.!?,;:] |\n|\Z)"
                   r"|[^\n]+(?:\n|\Z)|\n")
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
-UNITS = "row long, doc_id long, pos int, start int, end int, words int, digest binary"
+UNITS = "row long, doc_id string, pos int, start int, end int, words int, digest binary"
 
 
 def _units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -28,7 +28,6 @@ def _units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
         for row, doc_id, text in zip(batch["row"], batch["doc_id"], batch["text"]):
-            doc_id = None if pd.isna(doc_id) else int(doc_id)
             out.append((row, doc_id, -1, 0, len(text), 0, None))
             pos = 0
             for match in UNIT.finditer(text):
@@ -44,8 +43,7 @@ def _units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=["row", "doc_id", "pos", "start", "end", "words", "digest"])
-    return frame.astype({"doc_id": "Int64"})
+    return pd.DataFrame(rows, columns=["row", "doc_id", "pos", "start", "end", "words", "digest"])
 
 
 def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS, row: str | None = None) -> DataFrame:
@@ -64,9 +62,8 @@ def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS, row: str | None
     side: a line that a third of all documents share is split by AQE, never gathered.
     """
     number = F.col(row) if row else F.monotonically_increasing_id()
-    source = docs.select(number.alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
-                         F.coalesce("text", F.lit("")).alias("text"))
-    units = materialize(source.mapInPandas(_units, UNITS), "units")
+    source = docs.select(number.alias("row"), as_text("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    units = materialize(as_numbers(source.mapInPandas(_units, UNITS), "doc_id"), "units")
     body = units.where("pos >= 0")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "pos")
     first = (body.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")

@@ -19,6 +19,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retailloom.llm.common import as_numbers, as_text
 from retailloom.session import materialize
 
 RANGE_BYTES = 64 << 20  # of payload in one range
@@ -28,8 +29,8 @@ DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the name space of URLs
 MANIFEST = "shard int, part int, temporary string, name string, bytes long, sha1 string, records long"
-RECORDS = ("page_id long, url string, payload binary, payload_bytes long, payload_digest string, "
-           "record_type string, refers_to long")
+RECORDS = ("page_id string, url string, payload binary, payload_bytes long, payload_digest string, "
+           "record_type string, refers_to string")
 
 
 def _place(uri: str):
@@ -52,7 +53,8 @@ def _record(fields: dict[str, str], block: bytes) -> bytes:
 
 
 def page_record(page_id, url, payload: bytes, digest: str, target, copy: int) -> bytes:
-    """A gzip member with one record: a response, or a revisit without payload if ``target`` is given (a one-tuple)."""
+    """A gzip member with one record: a response, or a revisit without payload if ``target`` is given (a one-tuple).
+    Ids are text."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if target else http + payload
     fields = {"WARC-Type": "revisit" if target else "response", "WARC-Record-ID": _name(page_id, digest, copy),
@@ -62,11 +64,11 @@ def page_record(page_id, url, payload: bytes, digest: str, target, copy: int) ->
         if fields["WARC-Target-URI"] != url:
             fields["X-Target-Base64"] = base64.b64encode(url.encode("utf-8", "surrogatepass")).decode()
     if page_id is not None:
-        fields["X-Page-Id"] = str(page_id)
+        fields["X-Page-Id"] = page_id
     if target:
         fields |= {"WARC-Profile": PROFILE, "WARC-Refers-To": _name(target[0], digest, 0)}
         if target[0] is not None:
-            fields["X-Refers-To-Page-Id"] = str(target[0])
+            fields["X-Refers-To-Page-Id"] = target[0]
     fields |= {"WARC-Payload-Digest": f"sha1:{digest}",
                "WARC-Block-Digest": f"sha1:{base32(hashlib.sha1(block).digest())}",
                "Content-Type": "application/http; msgtype=response"}
@@ -126,9 +128,8 @@ def _writer(folder: str, roll: int):
             for shard, page_id, sha1, url, payload, marked, target in zip(
                     batch["shard"], batch["page_id"], batch["sha1"], batch["url"], batch["payload"], batch["marked"],
                     batch["target"]):
-                page_id = None if pd.isna(page_id) else int(page_id)
                 if marked:
-                    mark = (page_id, sha1, None if pd.isna(target) else int(target))
+                    mark = (page_id, sha1, target)
                     continue
                 copy = copy + 1 if last == (page_id, sha1) else 0
                 last = (page_id, sha1)
@@ -193,7 +194,7 @@ def write_archives(pages: DataFrame, folder: str, revisit_bytes: int = 0, range_
     sorted_ = (ranged.transform(rows.withColumn("at", F.col("page_id").cast("double"))).withColumn("shard", shard)
                .repartitionById(last + 1, F.col("shard"))
                .sortWithinPartitions("shard", F.col("page_id").asc_nulls_last(), "sha1", F.desc("marked"), "url")
-               .select("shard", "page_id", "sha1", "url", "payload", "marked", "target"))
+               .select("shard", as_text("page_id"), "sha1", "url", "payload", "marked", as_text("target")))
     written = materialize(sorted_.mapInPandas(_writer(folder, roll_bytes), MANIFEST), "written")
     written.mapInPandas(_committer(folder), MANIFEST).write.parquet(f"{folder}/manifest")
     return pages.sparkSession.read.parquet(f"{folder}/manifest")
@@ -231,9 +232,6 @@ def _reader(folder: str):
         fs, root = _place(folder)
         columns = [c.split()[0] for c in RECORDS.split(", ")]
 
-        def frame(rows):
-            return pd.DataFrame(rows, columns=columns).astype({"page_id": "Int64", "refers_to": "Int64"})
-
         for batch in batches:
             for name in batch["name"]:
                 out, size = [], 0
@@ -251,14 +249,13 @@ def _reader(folder: str):
                         url = fields.get("WARC-Target-URI")
                         if "X-Target-Base64" in fields:
                             url = base64.b64decode(fields["X-Target-Base64"]).decode("utf-8", "surrogatepass")
-                        page, to = fields.get("X-Page-Id"), fields.get("X-Refers-To-Page-Id")
-                        out.append((page and int(page), url, None if revisit else payload, stated, digest,
-                                    fields["WARC-Type"], to and int(to)))
+                        out.append((fields.get("X-Page-Id"), url, None if revisit else payload, stated, digest,
+                                    fields["WARC-Type"], fields.get("X-Refers-To-Page-Id")))
                         size += len(payload)
                         if size > 8 << 20:
-                            yield frame(out)
+                            yield pd.DataFrame(out, columns=columns)
                             out, size = [], 0
-                yield frame(out)
+                yield pd.DataFrame(out, columns=columns)
 
     return read
 
@@ -268,4 +265,5 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     payload_digest (bare base 32, checked against the payload), record_type, refers_to."""
     manifest = spark.read.parquet(f"{folder}/manifest")
     files = max(1, manifest.count())
-    return manifest.select("name").repartition(files, "name").mapInPandas(_reader(folder), RECORDS)
+    records = manifest.select("name").repartition(files, "name").mapInPandas(_reader(folder), RECORDS)
+    return as_numbers(records, "page_id", "refers_to")

@@ -80,6 +80,13 @@ def test_scores_of_one_text_do_not_depend_on_the_batch():
     assert np.allclose(other.scores(texts), [other.scores([t])[0] for t in texts])
 
 
+@pytest.mark.parametrize("module", [quality, toxicity])
+def test_large_ids_beside_a_null_stay_exact(spark, documents, module):
+    docs = documents([(2**60 + 1, "a b"), (None, "c")], 1)
+    found = module.score(docs, module.fit(docs, spark.createDataFrame([], LABELS))).collect()
+    assert {r["doc_id"] for r in found} == {2**60 + 1, None}
+
+
 def test_sample_bound(data):
     _, docs, labels = data
     assert training_rows(docs, labels, "quality", 50).count() == 50

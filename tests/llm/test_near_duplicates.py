@@ -94,6 +94,12 @@ def test_nulls_empties_ties_repeats_and_letters(documents, empty):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 3, 4, 5, 6, 7, 8] and kept.columns == docs.columns
 
 
+def test_large_ids_beside_a_null_stay_exact(documents):
+    docs = documents([(2**60 + 1, "a b c"), (2**60 + 3, "a b c"), (None, "c"), (5, None)], 1)
+    found = {r["doc_id"]: r["component_id"] for r in nd.near_duplicates(docs).collect()}
+    assert found == {2**60 + 1: 2**60 + 1, 2**60 + 3: 2**60 + 1, None: None, 5: 5}
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(100, 400)] + [(1000, i) for i in range(1001, 1400)] + [(7, 7)]

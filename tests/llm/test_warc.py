@@ -25,7 +25,7 @@ def expected(rows, least=0):
     out = []
     for i, u, h in rows:
         own = h or ""
-        revisit = len(own.encode()) >= least and i != largest[own]
+        revisit = len(own.encode()) >= least and (-1 if i is None else i) != largest[own]
         out.append((i, u, None if revisit else own.encode(), len(own.encode()), digest(h),
                     "revisit" if revisit else "response", largest[own] if revisit else None))
     return sorted(out, key=str)
@@ -102,7 +102,7 @@ def test_what_an_attempt_left_behind_is_not_read(spark, tmp_path):
 
 
 def test_a_damaged_payload_is_noticed(spark, tmp_path):
-    record = warc.page_record(1, "u", b"payload", digest("other"), None, 0)
+    record = warc.page_record("1", "u", b"payload", digest("other"), None, 0)
     (tmp_path / "w").mkdir()
     (tmp_path / "w" / "x.warc.gz").write_bytes(record)
     spark.createDataFrame([("x.warc.gz",)], "name string").write.parquet(f"{tmp_path}/w/manifest")
