@@ -52,7 +52,7 @@ def test_base_spans_equal_the_plain_patterns(documents):
 
 
 def test_very_long_texts(documents):
-    texts = {1: "a" * 20_000, 2: "1" * 200_000, 3: "1 " * 100_000, 4: "x@y.zz 10.0.0.1 " * 3000, 5: "+1" + "(" * 50_000,
+    texts = {1: "a" * 20_000, 2: "1" * 20_000, 3: "1 " * 100_000, 4: "x@y.zz 10.0.0.1 " * 3000, 5: "+1" + "(" * 50_000,
              6: "a.b" * 6_000 + "@"}
     found = written(documents(list(texts.items())))
     assert {i: found[i].split(",") if found[i] else [] for i in found} == {i: base(t) for i, t in texts.items()}
