@@ -20,11 +20,11 @@ from retailloom.llm.words import coded, slices
 from retailloom.session import materialize
 
 BITS = 18
-POSITIVES, UNLABELLED = 2_000, 5_000  # rows that the model is fitted on, at most
+POSITIVES, UNLABELLED = 2_000, 6_000  # rows that the model is fitted on, at most
 THRESHOLD = 0.5
 PRIOR = 0.1  # where no label tells
 STEPS, RATE, DECAY = 150, 0.1, 1e-3
-RARE, TELLING = 4, 0.7
+RARE, TELLING = 4, 0.4
 STEMS = (4, 5, 6)  # a word counts as itself and as its first letters
 
 
@@ -71,8 +71,9 @@ class Model:
 def train(positives: list[str], unlabelled: list[str], prior: float) -> Model:
     """Adam on the whole risk, with logistic losses. Only telling features have a weight: in ``RARE`` positives at
     least, and with a share of toxic texts among those that have it, estimated from the prior and both samples, of
-    ``TELLING`` at least. When the negatives' part of the risk falls below nought, the step goes up its gradient
-    instead, which undoes over-fitting."""
+    ``TELLING`` at least. Both counts of that share have one added, so a feature of toxic texts alone always has a
+    weight, however rare it or toxicity is. When the negatives' part of the risk falls below nought, the step goes up
+    its gradient instead, which undoes over-fitting."""
     if not positives or not unlabelled:
         return Model(np.zeros(1 << BITS, np.float32), float(np.log(prior / (1 - prior))))
     texts, np_ = positives + unlabelled, len(positives)
@@ -81,8 +82,8 @@ def train(positives: list[str], unlabelled: list[str], prior: float) -> Model:
         of_positive = np.repeat(d + at < np_, own.shape[1])
         for kind in (0, 1):
             counts[kind] += np.bincount(own.ravel()[of_positive == kind], minlength=(1 << BITS) + 1)
-    posterior = prior * (counts[1] / np_) / ((counts[0] + 1) / len(unlabelled))
-    telling = (counts[1] >= RARE) & (posterior >= TELLING)
+    expected = prior * counts[1] / np_ * len(unlabelled)  # toxic ones among the unlabelled texts that have a feature
+    telling = (counts[1] >= RARE) & (expected + 1 >= TELLING * (counts[0] + 1))
     telling[1 << BITS] = False
     document, index = [np.empty(0, np.int32)], [np.empty(0, np.int32)]
     for at, d, own in _in_parts(texts):  # once more, as the telling features alone are few

@@ -101,6 +101,15 @@ def test_negative_risk_is_kept_from_falling_below_nought():
     assert (model.scores(bad[60:]) > 0.5).mean() > 0.9 and (model.scores(clean[120:]) > 0.5).mean() < 0.05
 
 
+def test_rare_words_of_toxic_texts_alone_have_a_weight_at_a_low_prior():
+    """Each of 200 words is in one of 200 toxic texts, and toxic texts are one in fifty."""
+    rng = random.Random(4)
+    clean = [" ".join(rng.choices("abcdefghij", k=20)) for _ in range(toxicity.UNLABELLED)]
+    toxic = [f"{rng.choice(clean)} {i % 200:03d}vile" for i in range(2_120 + 200)]
+    model = toxicity.train(toxic[:2_000], clean[120:] + toxic[2_000:2_120], 0.02)
+    assert (model.scores(toxic[2_120:]) > 0.5).mean() > 0.9 and (model.scores(clean[:500]) > 0.5).mean() < 0.02
+
+
 def test_without_toxic_keeps_rows_and_columns(data):
     rows, docs, labels = data
     model = toxicity.fit(docs, labels)
