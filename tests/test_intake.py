@@ -1,11 +1,17 @@
 """From the operational systems to landing files."""
 
 import json
+from pathlib import Path
 
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
 from retailloom.schemas import INVENTORY_TOPIC, SALES_TOPIC
 from retailloom.sinks.stores import Lake
 from retailloom.sources.files import json_lines
 from retailloom.streaming import intake
+from tests.compare import TABLES, connect, difference
 from tests.conftest import tuples
 
 
@@ -45,3 +51,22 @@ def test_rows_go_to_the_topic_of_their_kind(spark):
     assert intake.topic_of(orders(spark, 1)) == SALES_TOPIC
     assert intake.topic_of(spark.createDataFrame([(1, "nhap")], "id int, loai string")) == INVENTORY_TOPIC
     assert intake.topic_of(spark.createDataFrame([(1, "inbound")], "id int, kind string")) == INVENTORY_TOPIC
+
+
+def test_no_row_is_lost_over_several_large_partitions(spark, tmp_path):
+    """Finance rows in two row groups of 110,000, each read by a task of its own."""
+    for name in TABLES:
+        (tmp_path / f"{name}.parquet").symlink_to(Path("/root/testdata/sf0.1") / f"{name}.parquet")
+    lines = pq.read_table("/root/testdata/sf0.1/lineitem.parquet")
+    (tmp_path / "lineitem.parquet").unlink()
+    pq.write_table(lines.slice(0, 220_000), tmp_path / "lineitem.parquet", row_group_size=110_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2m")
+    try:
+        found = contract.queries()["intake_to_landing"](spark, str(tmp_path))
+        sums = found.groupBy("source").agg(F.count("*").alias("n"), F.count_distinct("txn_id").alias("ids"),
+                                           F.sum("qty").alias("qty"))
+        assert difference(sums.withColumn("qty", F.col("qty").cast("long")), connect(str(tmp_path)), f"""
+            SELECT source, count(*) AS n, count(DISTINCT txn_id) AS ids, CAST(sum(qty) AS BIGINT) AS qty
+            FROM ({contract.oracle_sql()["intake_to_landing"]}) GROUP BY source""") is None
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
