@@ -117,10 +117,32 @@ def _features(kind: str, x: Column) -> dict[str, Column]:
         "lead": F.when(lead.isin("4", "5", "6"), 1).when(lead == "0", 2).when(lead == "", 3).otherwise(0),
         "cue": x["before"].rlike(rf"(?i){CUES[kind]}\W*$").cast("int"),
         "left": beside(x["before"], -1), "right": beside(x["after"], 1),
-        "grouped": found.rlike(r"[0-9]{3,4}[\x20.-][0-9]{3,4}").cast("int"),
+        "grouped": found.rlike(_GROUPS if kind == "phone" else r"[0-9]{3,4}[\x20.-][0-9]{3,4}").cast("int"),
     }
 
 
+# A phone number's usual groups of three, three and four digits.
+_GROUPS = r"^(?:(?:\+|00)?[0-9]{1,3}[\x20.-])?\(?[0-9]{3}\)?[\x20.-]{1,2}[0-9]{3}[\x20.-][0-9]{4}$"
+
+
+def _form(kind: str, x: Column) -> Column:
+    """What a candidate is an example of: 1 if its normal form is one of its kind and passes the check, 0 if not, and
+    -1, none, if nothing tells."""
+    found, cue = x["found"], x["before"].rlike(rf"(?i){CUES[kind]}\W*$")
+    if kind == "email":  # one that holds a base span and more overlaps it, and is never added
+        plain = F.regexp_replace(F.regexp_replace(found, r" ?(?:\(at\)|\[at\]|@) ?", "@"), r" ?(?:\(dot\)|\[dot\]) ?", ".")
+        holds = found.rlike(r"[A-Za-z0-9._%+-]@[A-Za-z0-9-]+\.[A-Za-z0-9-]") & found.contains(" ")
+        return F.when(holds, -1).when(plain.rlike(rf"^{BASE['email']}$"), 1).otherwise(0)
+    if kind == "ip":  # apart, the numbers of a list look the same
+        close, apart = F.regexp_replace(found, r"\[\.\]", "."), F.regexp_replace(found, r" ?\. ?|\[\.\]", ".")
+        return F.when(CHECKS["ip"](close) | (cue & CHECKS["ip"](apart)), 1).otherwise(0)
+    if kind == "card":
+        digits = _digits(found)
+        return F.when(F.length(digits).between(12, 19) & F.call_function("luhn_check", digits), 1).otherwise(0)
+    sign = found.startswith("+") | found.contains("(") | found.rlike(_GROUPS) | cue
+    return F.when(~CHECKS["phone"](found), 0).when(sign, 1).otherwise(-1)
+
+
 def _cell(kind: str, x: Column) -> Column:
     code = F.lit(0)
     for name, value in _features(kind, x).items():
@@ -137,7 +159,7 @@ def _decoded(cell: Column) -> dict[str, Column]:
 
 
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
-_CANDIDATES = "array<struct<start:int,kind:int,end:int,cell:int>>"
+_CANDIDATES = "array<struct<start:int,kind:int,end:int,cell:int,form:int>>"
 
 
 def _base_spans(number: int, text: Column) -> Column:
@@ -150,7 +172,8 @@ def _base_spans(number: int, text: Column) -> Column:
 def _loose_spans(number: int, text: Column) -> Column:
     kind = KINDS[number]
     return F.transform(F.when(text.rlike(GUARD[kind]), _matches(text, LOOSE[kind])), lambda x: F.struct(
-        x["start"], F.lit(number).alias("kind"), x["end"], _cell(kind, x).alias("cell")))
+        x["start"], F.lit(number).alias("kind"), x["end"], _cell(kind, x).alias("cell"),
+        _form(kind, x).alias("form")))
 
 
 def with_candidates(docs: DataFrame) -> DataFrame:
@@ -190,17 +213,18 @@ class Selection:
 def fit(found: DataFrame) -> Selection:
     """Boosted trees over the cells of all candidates of ``found(place, base, loose)``.
 
-    A candidate is an example for its kind if it is a base span of that kind, and a counter-example if not. All
-    candidates count: they are summed by cell and half (a hash of cell and place), so the trees and thresholds see
+    A candidate is an example for its kind if it is a base span of that kind or its normal form passes the kind's check
+    (``_form``), and a counter-example if it fails that; a phone number without plus, bracket, cue word or usual groups
+    is neither, and its cell has no examples and is not chosen. All others count: they are summed by cell and half (a hash of cell and place), so the trees and thresholds see
     at most two rows for each of the 73,728 cells, whatever the size of the corpus. A kind's threshold is the
     lowest score at which the held-out half has ``PRECISION``; a kind that never reaches it adds nothing.
     """
     proposed = found.select("place", F.explode("loose").alias("c")).select(
-        "place", _code(F.col("c")).alias("code"), "c.cell", F.lit(0).alias("good"))
+        "place", _code(F.col("c")).alias("code"), "c.cell", F.col("c.form").alias("good"))
     confirmed = found.select("place", F.explode("base").alias("b")).select(
         "place", _code(F.col("b")).alias("code"), F.lit(None).cast("int").alias("cell"), F.lit(1).alias("good"))
     one = (proposed.unionByName(confirmed).groupBy("place", "code")
-           .agg(F.max("cell").alias("cell"), F.max("good").alias("good")).where("cell is not null")
+           .agg(F.max("cell").alias("cell"), F.max("good").alias("good")).where("cell is not null and good >= 0")
            .withColumn("held", F.xxhash64("cell", "code") % 2 == 0))
     cells = materialize(one.groupBy("cell", "held").agg(F.sum("good").alias("good"), F.count("*").alias("n"))
                         .coalesce(1), "cells")
@@ -211,6 +235,10 @@ def fit(found: DataFrame) -> Selection:
             *FEATURES, "cell", "held", "n", "good", "example.*")
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(examples)
     train = vectors.where(~F.col("held") & (F.col("weight") > 0))
+    seen = {r["label"] for r in vectors.where("weight > 0").select("label").distinct().collect()}
+    if seen == {1.0}:  # nothing to tell the examples from
+        alike = cells.collect()  # at most two rows a cell
+        return Selection(sorted({r["cell"] for r in alike}), {})
     if train.select("label").distinct().count() < 2:
         return Selection([], {})
     trees = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, stepSize=0.3, weightCol="weight", seed=1).fit(train)

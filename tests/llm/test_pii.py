@@ -85,6 +85,35 @@ def test_trees_add_spans_that_look_like_the_confirmed_ones(documents):
             assert not any(a["start"] < b["end"] and b["start"] < a["end"] for b in r["base"])
 
 
+def test_forms_beyond_the_base_patterns_are_added(documents):
+    rng = random.Random(6)
+
+    def card(n):
+        digits = "".join(rng.choice("123456789") for _ in range(n - 1))
+        return next(digits + c for c in "0123456789" if luhn(digits + c))
+
+    texts, planted = [], {}
+    for i in range(400):
+        number, dotted = "".join(rng.choice("123456789") for _ in range(10)), card(16)
+        forms = [f"someone{i} (at) mail{i} [dot] com", f"10[.]0[.]{i % 200 + 1}[.]7",
+                 ".".join(dotted[k:k + 4] for k in range(0, 16, 4)), f"{number[:3]}-{number[3:6]}-{number[6:]}"]
+        form = forms[i % 4]
+        before = "so " * rng.randint(1, 60) + "it says "
+        texts.append((i, f"{before}{form} here"))
+        planted[i] = (len(before), i % 4)
+    kinds = [pii.KINDS.index(k) for k in ("email", "ip", "card", "phone")]
+    texts += [(1000 + i, "so " * rng.randint(1, 60) + f"write to a{i}@b.example or 10.0.{i % 200}.1 or {card(16)} or +1 658 555 {1000 + i} today")
+              for i in range(200)]
+    wrong = ["part 999.300.{0}.400 of", "order {0}23456789 of", "lot {1} of"]  # fail the checks, or nothing tells
+    for i in range(600):
+        bad = next(n for n in iter(lambda: "".join(rng.choice("123456789") for _ in range(16)), "") if not luhn(n))
+        texts.append((2000 + i, "so " * rng.randint(1, 60) + wrong[i % 3].format(rng.randint(300, 900), bad)))
+    rows = {r["doc_id"]: r["added"] for r in pii.find_personal_data(documents(texts)).collect()}
+    missed = [i for i, (start, k) in planted.items() if not any(a["start"] == start and a["kind"] == kinds[k] for a in rows[i])]
+    assert missed == []
+    assert sum(len(rows[i]) for i in rows if i >= 2000 and i % 3 != 1) == 0
+
+
 def test_nothing_to_learn_from(documents, empty):
     docs = documents([(1, None), (2, ""), (None, "no data"), (3, "x@y.zz"), (3, "x@y.zz")])
     found = [(r["doc_id"], len(r["spans"])) for r in pii.find_personal_data(docs).collect()]
