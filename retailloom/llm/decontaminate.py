@@ -45,7 +45,8 @@ def contained_items(docs: DataFrame, items: DataFrame, words: int = WORDS, perce
     are then checked on the words of all their shingles.
 
     Documents are told apart by doc_id and the hash of the text: a repeated row counts once, a null id is an id.
-    Null, empty and wordless texts and items hold nothing. Empty tables give no rows. Columns other than ids and
+    Null, empty and wordless texts and items hold nothing. An item of fewer words than a shingle has is found only in
+    a document of exactly these words: it is not searched for inside longer ones. Empty tables give no rows. Columns other than ids and
     texts are not read. Sketches and item shingles are written, so that Spark broadcasts them by their true size
     and merges sorted sides beyond its threshold.
     """
