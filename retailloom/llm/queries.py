@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailloom.llm import (
-    decontaminate, near_duplicates, neighbours, packing, pii, quality, sharding, substrings, toxicity, warc)
+    centroids, decontaminate, fingerprints, near_duplicates, neighbours, packing, pii, quality, runs, sharding,
+    substrings, toxicity, warc)
 from retailloom.llm.common import table
 from retailloom.session import scratch
 
@@ -72,9 +73,30 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign_shards(table(spark, folder, "documents"))
 
 
+def op11_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.with_inertia(*centroids.cluster_vectors(table(spark, folder, "embeddings")))
+
+
+def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    found = fingerprints.simhash_components(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.find_runs(runs.with_planted_runs(table(spark, folder, "documents", "doc_id", "text")))
+    line = F.transform("runs", lambda r: F.concat_ws(",", *[r[f].cast("string") for f in ("start", "length", "period")]))
+    best = found.withColumn("best", runs.strongest(F.col("runs")))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{name}").alias(name) for name in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Query] = {build.__name__: build for build in (
     op1_neighbours, op2_decontamination, op3_personal_data, op4_packing, op5_substrings, op6_quality, op7_warc,
-    op8_near_duplicates, op9_toxicity, op10_sharding)}
+    op8_near_duplicates, op9_toxicity, op10_sharding, op11_centroids, op12_fingerprints, op13_periodic_runs)}
 
 ORACLE: dict[str, str] = {
     "op2_decontamination": r"""
@@ -169,4 +191,72 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, CASE WHEN d = 0 THEN '' ELSE lpad(bin(prefix), d, '0') END AS shard, d AS local_depth,
                row_bytes, shard_bytes, shard_rows
         FROM first_fit WHERE nth = 1""",
+    "op13_periodic_runs": r"""
+        WITH hashed AS (
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+                   xor(list_reduce(
+                       flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                                              lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1])),
+                       lambda acc, x: CASE WHEN x >= 0 THEN xor(acc, x) WHEN acc % 2 = 1 THEN xor(acc // 2, 3988292384)
+                                           ELSE acc // 2 END,
+                       4294967295), 4294967295) AS h
+            FROM documents),
+        places AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted,
+                          CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a, 3 + (h // 10) % 8 AS parts FROM hashed),
+        texts AS (
+            SELECT doc_id, n, CASE WHEN planted THEN list_transform(range(0, n), lambda i:
+                       w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // parts) END]) ELSE w END AS w
+            FROM places),
+        windows AS (SELECT doc_id, i, hash(array_to_string(w[i + 1:i + 16], ' ')) AS x
+                    FROM (SELECT doc_id, w, unnest(range(0, n - 15)) AS i FROM texts)),
+        matches AS (SELECT b.doc_id, b.i, b.i - a.i AS q FROM windows a JOIN windows b
+                    ON a.doc_id = b.doc_id AND a.x = b.x AND a.i < b.i),
+        islands AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM matches),
+        stretches AS (SELECT doc_id, q, min(i) - q AS start, count(*) + 15 + q AS length FROM islands GROUP BY doc_id, q, island),
+        runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretches WHERE length >= greatest(24, 3 * q)
+                 GROUP BY doc_id, start, length),
+        dropped AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+        gone AS (SELECT doc_id, list(i) AS out FROM dropped GROUP BY doc_id),
+        lines AS (
+            SELECT doc_id, count(*) AS n_runs,
+                   arg_max({'s': start, 'l': length, 'p': period},
+                           {'e': CAST(length AS DOUBLE) / period, 's': -start, 'p': -period}) AS best,
+                   string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS written
+            FROM runs GROUP BY doc_id)
+        SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(best.s AS BIGINT) AS start, CAST(best.l AS BIGINT) AS length,
+               CAST(best.p AS BIGINT) AS period, CAST(1000 * best.l // best.p AS BIGINT) AS exponent_milli,
+               sha256(coalesce(written, '')) AS runs_sha256,
+               sha256(array_to_string(CASE WHEN out IS NULL THEN w ELSE list_transform(
+                   list_filter(range(0, n), lambda i: NOT list_contains(out, i)), lambda i: w[i + 1]) END, ' ')) AS collapsed_sha256
+        FROM texts LEFT JOIN gone USING (doc_id) LEFT JOIN lines USING (doc_id)""",
 }
+
+
+def _rounds_sql() -> str:
+    """Rounds of squared distances in whole numbers, one table of centroids and one of assignments for each."""
+    steps = []
+    for step in range(centroids.ROUNDS + 1):
+        steps.append(f"""
+        d{step} AS (SELECT vec_id, v, c, list_sum(list_transform(list_zip(v, m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+               FROM kept, c{step}),
+        a{step} AS (SELECT vec_id, v, c, d FROM d{step} QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, c) = 1)""")
+        if step < centroids.ROUNDS:
+            steps.append(f"""
+        s{step} AS (SELECT c, i, sum(v[i]) AS s, count(*) AS n FROM a{step}, range(1, {centroids.DIMENSION + 1}) r(i) GROUP BY c, i),
+        m{step} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS m FROM s{step} GROUP BY c),
+        c{step + 1} AS (SELECT c{step}.c, coalesce(m{step}.m, c{step}.m) AS m FROM c{step} LEFT JOIN m{step} ON c{step}.c = m{step}.c)""")
+    last = centroids.ROUNDS
+    return f"""
+        WITH kept AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor({centroids.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings WHERE len(embedding) = {centroids.DIMENSION}
+                AND len(list_filter(embedding, lambda x: isfinite(x))) = {centroids.DIMENSION}),
+        c0 AS (SELECT row_number() OVER (ORDER BY sha256(concat('1:', vec_id))) - 1 AS c, v AS m FROM kept
+               QUALIFY c < {centroids.CENTROIDS}),{",".join(steps)}
+        SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+               CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+               sha256(array_to_string(m, ',')) AS centroid_sha256
+        FROM a{last} JOIN c{last} USING (c)"""
+
+
+ORACLE["op11_centroids"] = _rounds_sql()

@@ -1,0 +1,99 @@
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+
+from retailloom.llm import centroids as ce
+
+SCHEMA = "vec_id long, embedding array<double>, cluster string, distance string, whole int"
+
+
+def brute(rows, dimension, count, rounds):
+    """Plain k-means in Python's whole numbers: (id, cluster, distance) of the kept rows, and the centroids."""
+    kept = [(i, [math.floor(64 * x) for x in v]) for i, v in rows
+            if v is not None and len(v) == dimension and all(x is not None and math.isfinite(x) for x in v)]
+    first = sorted(kept, key=lambda r: (r[0] is None, hashlib.sha256(f"1:{r[0]}".encode()).hexdigest(), r[1]))[:count]
+    middle = [v for _, v in first]
+
+    def near(v):
+        return min((sum((x - y) ** 2 for x, y in zip(v, c)), n) for n, c in enumerate(middle))
+
+    for _ in range(rounds):
+        own = {}
+        for _, v in kept:
+            own.setdefault(near(v)[1], []).append(v)
+        middle = [[sum(x) // len(own[n]) for x in zip(*own[n])] if n in own else c for n, c in enumerate(middle)]
+    return sorted(((i, near(v)[1], near(v)[0]) for i, v in kept), key=str), middle
+
+
+def frame(spark, rows, partitions=3):
+    return spark.createDataFrame([(i, v, "own", "own", 1) for i, v in rows], SCHEMA).repartition(partitions)
+
+
+def vectors(seed, n, dimension, spread=1.0):
+    rng = random.Random(seed)
+    bases = [[rng.gauss(0, 1) for _ in range(dimension)] for _ in range(5)]
+    return [(i, [x + rng.gauss(0, spread) for x in bases[i % 5]]) for i in range(n)]
+
+
+@pytest.mark.parametrize("seed,dimension,spread", [(1, 4, 0.2), (2, 8, 1.0), (3, 1, 0.5)])
+def test_equals_brute_force(spark, seed, dimension, spread):
+    rows = vectors(seed, 150, dimension, spread)
+    found, middle = ce.cluster_vectors(frame(spark, rows), 7, 3, dimension)
+    expected, plain = brute(rows, dimension, 7, 3)
+    assert sorted(map(tuple, found.collect()), key=str) == expected and middle.tolist() == plain
+
+
+def test_search_equals_all_distances():
+    rng = np.random.default_rng(5)
+    for scale in (2, 100, 1 << 27):
+        x = rng.integers(-scale, scale + 1, (3000, 16))
+        c = np.concatenate([rng.integers(-scale, scale + 1, (40, 16)), x[:5], x[:5]])  # equal centroids tie
+        cluster, distance = ce.nearest(x, c)
+        every = ((x[:, None, :] - c[None]) ** 2).sum(axis=2)
+        assert (distance == every.min(axis=1)).all() and (cluster == every.argmin(axis=1)).all()
+
+
+def test_search_rejects_most_centroids(monkeypatch):
+    rng = np.random.default_rng(6)
+    c = rng.integers(-1000, 1000, (64, 1)) + rng.integers(-20, 20, (64, 64))
+    x = c[rng.integers(0, 64, 2000)] + rng.integers(-5, 5, (2000, 64))
+    looked = []
+    plain = np.einsum
+    monkeypatch.setattr(ce.np, "einsum", lambda spec, a, b: looked.append(len(a)) or plain(spec, a, b))
+    cluster, _ = ce.nearest(x, c)
+    assert sum(looked) < 0.1 * len(x) * len(c)
+    assert (cluster == ((x[:, None] - c[None]) ** 2).sum(axis=2).argmin(axis=1)).all()
+
+
+def test_nulls_ties_repeats_and_lengths(spark):
+    good = vectors(9, 12, 4)
+    rows = good + [good[0], good[0], (50, None), (51, [1.0, 2.0]), (52, [1.0, None, 0.0, 0.0]), (53, [1.0, math.nan, 0.0, 0.0]),
+                   (54, [math.inf, 0.0, 0.0, 0.0]), (55, []), (None, [0.5, 0.5, 0.5, 0.5]), (56, good[1][1])]
+    found, middle = ce.cluster_vectors(frame(spark, rows), 4, 3, 4)
+    expected, plain = brute(rows, 4, 4, 3)
+    assert sorted(map(tuple, found.collect()), key=str) == expected and middle.tolist() == plain
+    full = ce.with_inertia(found, middle).collect()
+    assert {r["inertia"] for r in full} == {sum(d for *_, d in expected)} and len(full) == len(expected)
+    for r in full:
+        assert r["cluster_inertia"] == sum(d for _, c, d in expected if c == r["cluster"])
+        text = ",".join(map(str, plain[r["cluster"]]))
+        assert r["centroid_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_fewer_vectors_than_centroids_and_none(spark):
+    rows = vectors(3, 2, 4)
+    found, middle = ce.cluster_vectors(frame(spark, rows), 16, 3, 4)
+    assert sorted(r["distance"] for r in found.collect()) == [0, 0] and len(middle) == 2
+    none, middle = ce.cluster_vectors(frame(spark, []), 16, 3, 4)
+    full = ce.with_inertia(none, middle)
+    assert full.collect() == [] and full.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                                                     "centroid_sha256"]
+
+
+def test_huge_components_are_held(spark):
+    rows = [(1, [1e300] * 64), (2, [-1e300] * 64), (3, [0.0] * 64)]
+    found, _ = ce.cluster_vectors(frame(spark, rows), 1, 0)
+    assert max(r["distance"] for r in found.collect()) in (64 << 54, 64 << 56)

@@ -17,7 +17,7 @@ from tests.llm.test_pii import base
 
 def test_each_operator_has_its_query():
     names = set(contract.queries())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= names and set(ORACLE) <= set(QUERIES)
     assert set(ORACLE) <= set(contract.oracle_sql())
 
@@ -39,6 +39,12 @@ COLUMNS = {
     "op8_near_duplicates": [("doc_id", "bigint"), ("n_shingles", "bigint"), ("component_id", "bigint"),
                             ("kept", "boolean")],
     "op9_toxicity": [("doc_id", "bigint"), ("held_out", "boolean"), ("score", "double"), ("predicted", "int")],
+    "op11_centroids": [("vec_id", "bigint"), ("cluster", "int"), ("distance", "bigint"), ("cluster_inertia", "bigint"),
+                       ("inertia", "bigint"), ("centroid_sha256", "string")],
+    "op12_fingerprints": [("doc_id", "bigint"), ("fingerprint", "string"), ("component_id", "bigint")],
+    "op13_periodic_runs": [("doc_id", "bigint"), ("n_runs", "bigint"), ("start", "bigint"), ("length", "bigint"),
+                           ("period", "bigint"), ("exponent_milli", "bigint"), ("runs_sha256", "string"),
+                           ("collapsed_sha256", "string")],
 }
 
 
