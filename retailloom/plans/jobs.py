@@ -189,15 +189,16 @@ def store_reports(spark: SparkSession, cfg: Config) -> dict[str, int]:
 
 
 def fold(spark: SparkSession, cfg: Config) -> dict[str, int]:
-    """One partition for the batches of each cube, the ledger, the movements and the live tables."""
+    """Batches of like size of each cube, the ledger, the movements and the live tables put together; what they were
+    is kept for one more version, for readers under way. Returns the rows written per table."""
     lake = Lake(cfg.lake)
-    for name, sums in reports.CUBE_SUMS.items():
-        lake.fold(spark, name, reports.CUBE_SCHEMAS[name], sums)
-    lake.fold(spark, "stock_ledger", LEDGER, lambda rows: rows.groupBy("product_id").agg(
-        F.sum("stock_qty").alias("stock_qty")))
+    rows = {name: lake.fold(spark, name, reports.CUBE_SCHEMAS[name], sums, keep=1)
+            for name, sums in reports.CUBE_SUMS.items()}
+    rows["stock_ledger"] = lake.fold(spark, "stock_ledger", LEDGER, lambda parts: parts.groupBy("product_id").agg(
+        F.sum("stock_qty").alias("stock_qty")), keep=1)
     for name, schema in (("movements", MOVEMENT), ("rt_stats", LIVE_STATS), ("rt_alerts", LIVE_ALERTS)):
-        lake.fold(spark, name, schema)
-    return {}
+        rows[name] = lake.fold(spark, name, schema, keep=1)
+    return rows
 
 
 def store_analysis(spark: SparkSession, cfg: Config) -> dict[str, int]:
@@ -260,7 +261,7 @@ def reset(spark: SparkSession, cfg: Config, keep: Iterable[str] = ("dim_product"
     lake and the checkpoints of its streams, so that all landing files count as new. Landing files and the archive
     stay."""
     for name in (*reports.CUBES, "movements", "stock_ledger", "rt_stats", "rt_alerts"):
-        files.remove(spark, Lake(cfg.lake).path(name))
+        Lake(cfg.lake).drop(spark, name)
     for name in ("sales", "movements", "dashboard", "alerts"):
         files.remove(spark, f"{cfg.checkpoint}/{name}")
     if not spark.catalog.databaseExists(cfg.database):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -30,10 +33,44 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(place, True)
 
 
-def rename(spark: SparkSession, path: str, new: str) -> None:
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What lies directly in a folder; nothing if it is missing."""
+    system, place = _place(spark, path)
+    return [status.getPath().getName() for status in system.listStatus(place)] if system.exists(place) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    system, place = _place(spark, path)
+    stream = system.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with its whole text at once, or return False if it is there already.
+
+    The text goes to a file of its own first; a rename that never replaces makes it appear.
+    """
     system, place = _place(spark, path)
-    if not system.rename(place, _place(spark, new)[1]):
-        raise OSError(f"{path} could not become {new}")
+    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = system.create(beside, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    fs = spark._jvm.org.apache.hadoop.fs
+    whole = [system.makeQualified(p) for p in (beside, place)]
+    context = fs.FileContext.getFileContext(whole[1].toUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(*whole, spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 0))
+        return True
+    except Py4JJavaError:
+        system.delete(beside, False)
+        if system.exists(place):
+            return False
+        raise
 
 
 def json_lines(spark: SparkSession, path: str, schema: StructType = LANDING) -> DataFrame:
