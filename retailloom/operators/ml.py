@@ -132,9 +132,9 @@ def promo_profit_corr(fact: DataFrame) -> DataFrame:
     """Pearson correlation of a sale's promotion flag (tills) and its profit (finance), joined on txn_id.
 
     The join needs no self-join: one aggregation by txn_id gives, for each side, the number, mean and squared
-    deviations of its values, and the moments over all matching pairs follow from those around the pairs' means (two
-    scalars, over the same shuffle). So repeated ids never multiply rows, and no large numbers cancel. Null when a
-    side does not vary.
+    deviations of its values, and one more sums up all matching pairs. So repeated ids never multiply rows. Sums are
+    taken around the profit of one sale, read beforehand: what is squared is of the size of the differences between
+    sales, so no large numbers cancel. Null when a side does not vary.
     """
     x = F.when(F.col("source") == POS, F.col("promotion").cast("double"))
     y = F.when(F.col("source") == ERP, profit())
@@ -146,13 +146,15 @@ def promo_profit_corr(fact: DataFrame) -> DataFrame:
             ("n", F.count(side)), ("mean", F.avg(side)), ("spread", F.var_pop(side) * F.count(side)),
             ("least", F.min(side)), ("most", F.max(side)))]).where((F.col("nx") > 0) & (F.col("ny") > 0))
     pairs = F.col("nx").cast("double") * F.col("ny")
-    means = {side: per_id.agg(F.try_divide(F.sum(pairs * F.col(f"mean{side}")), F.sum(pairs))).scalar()
-             for side in ("x", "y")}
-    dx, dy = F.col("meanx") - means["x"], F.col("meany") - means["y"]
-    moments = per_id.agg(
-        F.sum(F.col("ny") * (F.col("spreadx") + F.col("nx") * dx * dx)).alias("xx"),
-        F.sum(F.col("nx") * (F.col("spready") + F.col("ny") * dy * dy)).alias("yy"), F.sum(pairs * dx * dy).alias("xy"),
+    one = fact.where((F.col("source") == ERP) & profit().isNotNull()).select(profit()).limit(1).collect()
+    dx, dy = F.col("meanx"), F.col("meany") - F.lit(float(one[0][0]) if one else 0.0)
+    sums = per_id.agg(
+        F.sum(pairs).alias("n"), F.sum(pairs * dx).alias("x"), F.sum(pairs * dy).alias("y"), F.sum(pairs * dx * dy).alias("pxy"),
+        F.sum(F.col("ny") * (F.col("spreadx") + F.col("nx") * dx * dx)).alias("pxx"),
+        F.sum(F.col("nx") * (F.col("spready") + F.col("ny") * dy * dy)).alias("pyy"),
         (F.min("leastx") < F.max("mostx")).alias("x_varies"), (F.min("leasty") < F.max("mosty")).alias("y_varies"))
+    moments = sums.select("x_varies", "y_varies", *[
+        (F.col(f"p{a}{b}") - F.try_divide(F.col(a) * F.col(b), F.col("n"))).alias(f"{a}{b}") for a, b in ("xx", "yy", "xy")])
     correlation = F.when(F.col("x_varies") & F.col("y_varies"),
                          F.try_divide(F.col("xy"), F.sqrt("xx") * F.sqrt("yy")))
     return moments.select(F.lit("promotion_vs_profit").alias("metric"), F.round(correlation, 4).alias("value"))

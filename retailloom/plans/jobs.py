@@ -17,8 +17,8 @@ from retailloom.operators.inventory import snapshot, stock_on_hand, value_stock
 from retailloom.operators.rollup import LEVELS, PARENT, business_date, closed, daily, late_rows, roll_up, unseen
 from retailloom.plans.publish import publish
 from retailloom.schemas import (
-    CUSTOMER, FACT, FACT_PARTITIONS, INVENTORY, LIVE_ALERTS, LIVE_STATS, MOVEMENT, MOVEMENT_LANDING, PERIOD, PRODUCT,
-    SNAPSHOT, WAREHOUSE, fields)
+    CUSTOMER, FACT, FACT_KEYS, FACT_PARTITIONS, INVENTORY, KEY_INDEX, LIVE_ALERTS, LIVE_STATS, MOVEMENT,
+    MOVEMENT_LANDING, PERIOD, PRODUCT, SNAPSHOT, WAREHOUSE, fields)
 from retailloom.sinks.stores import Lake
 from retailloom.sinks.tables import append_counted, counted, ensure_table, overwrite_day, replace_table
 from retailloom.sources import files
@@ -46,6 +46,7 @@ class Config:
     target: object | None = None
     in_vietnamese: bool = False
     files_per_batch: int = 1000
+    resent_within: str | None = None
 
     def table(self, name: str) -> str:
         return f"{self.database}.{name}"
@@ -62,11 +63,12 @@ def create_database(spark: SparkSession, cfg: Config) -> None:
 
 def ingest(spark: SparkSession, cfg: Config) -> dict[str, int]:
     """New landing files into the fact, new movements into the stock ledger, then the small tables. A backlog is taken
-    in batches of ``files_per_batch`` files. Returns the rows of the fact per source and channel."""
+    in batches of ``files_per_batch`` files. With ``resent_within`` (as ``2 hours``) rows sent again in that time are stopped
+    by streaming state; set it from the start, as a checkpoint keeps its plan. Returns the rows of the fact per source and channel."""
     create_database(spark, cfg)
     if files.exists(spark, cfg.landing):
         landing = files.json_lines_stream(spark, cfg.landing, cfg.archive, cfg.files_per_batch)
-        ingest_landed(landing, cfg.table("sales"), f"{cfg.checkpoint}/sales", Lake(cfg.lake))
+        ingest_landed(landing, cfg.table("sales"), f"{cfg.checkpoint}/sales", Lake(cfg.lake), cfg.resent_within)
     replace_table(spark.read.schema(PRODUCT).parquet(cfg.product), cfg.table("dim_product"))
     lake = Lake(cfg.lake)
     if files.exists(spark, cfg.movements):
@@ -196,7 +198,7 @@ def fold(spark: SparkSession, cfg: Config) -> dict[str, int]:
             for name, sums in reports.CUBE_SUMS.items()}
     rows["stock_ledger"] = lake.fold(spark, "stock_ledger", LEDGER, lambda parts: parts.groupBy("product_id").agg(
         F.sum("stock_qty").alias("stock_qty")), keep=1)
-    for name, schema in (("movements", MOVEMENT), ("rt_stats", LIVE_STATS), ("rt_alerts", LIVE_ALERTS)):
+    for name, schema in (("movements", MOVEMENT), (KEY_INDEX, FACT_KEYS), ("rt_stats", LIVE_STATS), ("rt_alerts", LIVE_ALERTS)):
         rows[name] = lake.fold(spark, name, schema, keep=1)
     return rows
 
@@ -260,7 +262,7 @@ def reset(spark: SparkSession, cfg: Config, keep: Iterable[str] = ("dim_product"
     """Empty the warehouse but for the tables to ``keep``, with the cubes, movements, ledger and live tables of its
     lake and the checkpoints of its streams, so that all landing files count as new. Landing files and the archive
     stay."""
-    for name in (*reports.CUBES, "movements", "stock_ledger", "rt_stats", "rt_alerts"):
+    for name in (*reports.CUBES, KEY_INDEX, "movements", "stock_ledger", "rt_stats", "rt_alerts"):
         Lake(cfg.lake).drop(spark, name)
     for name in ("sales", "movements", "dashboard", "alerts"):
         files.remove(spark, f"{cfg.checkpoint}/{name}")

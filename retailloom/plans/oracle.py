@@ -303,11 +303,12 @@ ORACLE: dict[str, str] = {
         "product", "pos", "ecom"),
     "monthly_demand": _with("SELECT * FROM demand", "erp", "demand"),
     "replenishment_plan": _with("""
-        SELECT n.product_id, p.product_name, n.monthly_demand, i.stock_qty, p.reorder_level,
-               CAST(greatest(0, ceil(n.monthly_demand * 1.5 - i.stock_qty)) AS BIGINT) AS suggested_qty,
-               round(greatest(0, n.monthly_demand * 1.5 - i.stock_qty) * p.unit_cost, 0) AS expected_cost
-        FROM demand n JOIN product p ON n.product_id = p.product_id JOIN stock i ON n.product_id = i.product_id
-        ORDER BY suggested_qty DESC, n.product_id""", "product", "erp", "movement", "stock", "demand"),
+        SELECT product_id, product_name, monthly_demand, stock_qty, reorder_level,
+               CASE WHEN missing > 0 THEN CAST(ceil(missing) AS BIGINT) ELSE 0 END AS suggested_qty,
+               CASE WHEN missing > 0 THEN round(missing * unit_cost, 0) ELSE 0 END AS expected_cost
+        FROM (SELECT stock.product_id, monthly_demand, stock_qty, 1.5 * monthly_demand - stock_qty AS missing
+              FROM stock JOIN demand USING (product_id)) JOIN product USING (product_id)""",
+        "product", "erp", "movement", "stock", "demand"),
     "promo_profit_corr": _with("""
         SELECT 'promotion_vs_profit' AS metric, round(corr(p.promotion, e.revenue - e.cost), 4) AS value
         FROM pos p JOIN erp e ON p.txn_id = e.txn_id WHERE e.cost IS NOT NULL""", "erp", "pos"),
@@ -337,6 +338,13 @@ ORACLE: dict[str, str] = {
         SELECT {FACT_COLUMNS}
         FROM (SELECT *, row_number() OVER (PARTITION BY source, txn_id ORDER BY {FACT_ORDER}) AS rn FROM fact)
         WHERE rn = 1""", "erp", "pos", "ecom", "fact"),
+    "resends_by_state": _with(f"SELECT {FACT_COLUMNS} FROM fact", "erp", "pos", "ecom", "fact"),
+    "key_index_lookup": _with("""
+        SELECT source, year, month, count(*) AS row_count FROM fact WHERE source = 'erp' AND year = 1998 AND month <= 2
+        GROUP BY ALL""", "erp", "pos", "ecom", "fact"),
+    "intake_gaps": _with("""
+        SELECT txn_id, customer_id, product_id, qty, revenue, txn_date FROM fact WHERE source = 'ecommerce'""",
+        "erp", "pos", "ecom", "fact"),
     "intake_to_landing": _with("""
         SELECT * FROM fact WHERE source <> 'pos'
         UNION ALL

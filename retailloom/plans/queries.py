@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from retailloom.functions.messages import from_messages, split_array, to_messages
 from retailloom.operators import dedup, inventory, ml, normalize, planning, reports, rollup
 from retailloom.schemas import (
-    EVENT, FACT, LIVE_ALERTS, LIVE_STATS, MOVEMENT, MOVEMENT_LANDING, OFFLINE, PERIOD, SENT_KIND, SENT_KINDS, SENT_TIME,
+    EVENT, FACT, FACT_KEYS, KEY_INDEX, LIVE_ALERTS, LIVE_STATS, MOVEMENT, MOVEMENT_LANDING, OFFLINE, PERIOD, SENT_KIND, SENT_KINDS, SENT_TIME,
     SNAPSHOT, fields)
 from retailloom.session import materialize, scratch
 from retailloom.sinks.stores import Lake
@@ -532,6 +532,32 @@ def landing_ingest(star: Star) -> DataFrame:
     return spark.table(table)
 
 
+@query
+def resends_by_state(star: Star) -> DataFrame:
+    """All three systems, then the tills again, then everything again, each in a run of its own from the checkpoint: what
+    the streaming state lets pass, without a look at the history."""
+    spark, folder = star.spark, scratch(star.spark, "state")
+    for rows in (star.all_sources(), star.pos(), star.all_sources()):
+        rows.write.mode("append").json(f"{folder}/in")
+        passed = normalize.to_fact(ingest.first_seen(files.json_lines_stream(spark, f"{folder}/in"), "6 hours"))
+        (passed.writeStream.format("parquet").option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/checkpoint")
+         .trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema(FACT).parquet(f"{folder}/rows")
+
+
+@query
+def key_index_lookup(star: Star) -> DataFrame:
+    """The fact by its key index: which partitions a resent piece of history is in, and how many of its rows are there."""
+    spark = star.spark
+    lake = Lake(scratch(spark, "keys"))
+    fact = materialize(normalize.to_fact(star.all_sources()), "fact")
+    lake.append_batch(dedup.keys_of(fact), KEY_INDEX, "q", 0)
+    sent = fact.where("source = 'erp' AND year = 1998 AND month <= 2")
+    places = dedup.partitions_with(sent, lake.read_batches(spark, KEY_INDEX, FACT_KEYS))
+    held = fact.where(F.concat_ws("/", "source", "year", "month").isin(places))
+    return held.groupBy("source", "year", "month").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 @query
 def intake_to_landing(star: Star) -> DataFrame:
     """Invoices as message files, orders and finance rows as tables with running ids, taken to landing files in two
@@ -557,6 +583,24 @@ def intake_to_landing(star: Star) -> DataFrame:
     return normalize.to_fact(files.json_lines(spark, place.path("landing")))
 
 
+@query
+def intake_gaps(star: Star) -> DataFrame:
+    """Online orders whose rows are not committed in the order of their ids: the first turn finds a stretch and single
+    ids missing, the second all but some of these, the third the rest, a fourth nothing. Each lands once."""
+    spark = star.spark
+    place = Lake(scratch(spark, "gaps"))
+    columns = ("txn_id", "customer_id", "region", "product_id", "qty", "revenue", "device", "payment_method", "txn_date")
+    rows = materialize(star.ecommerce(*columns).withColumnsRenamed({"txn_id": "order_id", "txn_date": "order_date"})
+                       .withColumn("id", F.monotonically_increasing_id() + 1), "orders")
+    ends = rows.agg(F.percentile_approx("id", F.array(F.lit(0.3), F.lit(0.4)))).first()[0]
+    stretch, single = F.col("id").between(*ends), F.col("id") % 5000 == 17
+    for seen in (~stretch & ~single, ~single | (F.col("id") > ends[1]), F.lit(True), F.lit(True)):
+        feed = intake.stored_table("ecommerce_orders", lambda seen=seen: rows.where(seen), intake.NORMALISED["ecommerce_orders"])
+        intake.take_table(spark, feed, place.path("landing"), place)
+    landed = normalize.to_fact(files.json_lines(spark, place.path("landing")))
+    return landed.select("txn_id", "customer_id", "product_id", "qty", "revenue", "txn_date")
+
+
 @query
 def ingested_cubes(star: Star) -> DataFrame:
     """All sources through the ingest in two batches, whose cubes, folded, alone feed the eight reports."""

@@ -59,6 +59,7 @@ FACT = fields(
 )
 FACT_PARTITIONS = ("source", "year", "month")
 FACT_KEY = ("txn_id", "source")
+KEY_INDEX, FACT_KEYS = "sales_keys", fields("source string, year int, month int, key_hash bigint")
 
 PRODUCT = fields(
     "product_id string, product_name string, unit_cost double, reorder_level int"

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from retailloom.functions.columns import id_number
@@ -15,6 +16,36 @@ def rows_after(table: DataFrame, last_id: int | Column, column: str = "id") -> D
     return table.where(F.col(column) > F.lit(last_id))
 
 
+def rows_between(table: DataFrame, ranges: Sequence[tuple[int, int]], column: str = "id") -> DataFrame:
+    """Rows whose id lies in one of the ranges, ends included; the ranges are pushed to the scan."""
+    near = [F.col(column).between(low, high) for low, high in ranges]
+    return table.where(reduce(Column.__or__, near, F.lit(False)))
+
+
+def jdbc_rows_between(spark: SparkSession, url: str, table: str, ranges: Sequence[tuple[int, int]], properties: dict[str, str],
+                      column: str = "id") -> DataFrame:
+    """The same over JDBC, one task per range."""
+    return spark.read.jdbc(url, table, predicates=[f"{column} between {int(low)} and {int(high)}" for low, high in ranges],
+                           properties=properties)
+
+
+def islands(rows: DataFrame, column: str = "id", block: int = 1 << 16) -> list[tuple[int, int]]:
+    """The ids of ``rows`` as runs without gaps, in order. Found per block of ids and joined at the blocks' ends, so what
+    is collected is a pair per gap and block."""
+    ids = rows.select(F.col(column).cast("bigint").alias("id")).where(F.col("id").isNotNull()).distinct()
+    placed = ids.withColumn("block", F.floor(F.col("id") / block))
+    number = F.row_number().over(Window.partitionBy("block").orderBy("id"))
+    found = placed.withColumn("run", F.col("id") - number).groupBy("block", "run").agg(
+        F.min("id").alias("low"), F.max("id").alias("high"))
+    out: list[tuple[int, int]] = []
+    for low, high in sorted((r["low"], r["high"]) for r in found.collect()):
+        if out and out[-1][1] == low - 1:
+            out[-1] = (out[-1][0], high)
+        else:
+            out.append((low, high))
+    return out
+
+
 def high_water_mark(rows: DataFrame, last_id: int | Column, column: str = "id") -> DataFrame:
     """Rows read and the mark for the next read; the old mark when nothing came."""
     return rows.agg(F.count(F.lit(1)).alias("rows_read"),

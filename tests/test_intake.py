@@ -1,6 +1,7 @@
 """From the operational systems to landing files."""
 
 import json
+import random
 from pathlib import Path
 
 import pyarrow.parquet as pq
@@ -10,6 +11,7 @@ import __spark_entry__ as contract
 from retailloom.schemas import INVENTORY_TOPIC, SALES_TOPIC
 from retailloom.sinks.stores import Lake
 from retailloom.sources.files import json_lines
+from retailloom.sources.tables import islands
 from retailloom.streaming import intake
 from tests.compare import TABLES, connect, difference
 from tests.conftest import tuples
@@ -34,6 +36,43 @@ def test_marks_survive_and_only_new_rows_are_read(spark, tmp_path):
         (f"WEB{i}", "ecommerce") for i in (1, 2, 3, 7)]
 
 
+def test_rows_committed_late_land_once(spark, tmp_path):
+    place, landing = Lake(str(tmp_path)), str(tmp_path / "landing")
+
+    def take(*ids, patience=intake.PATIENCE):
+        feed = intake.stored_table("ecommerce_orders", lambda: orders(spark, *ids), intake.NORMALISED["ecommerce_orders"])
+        intake.take_table(spark, feed, landing, place, patience)
+        return sorted(int(r[0][3:]) for r in json_lines(spark, landing).select("txn_id").collect())
+
+    assert take(1, 2, 3, 4, 5, 6, 9) == [1, 2, 3, 4, 5, 6, 9]
+    assert take(1, 2, 3, 4, 5, 6, 8, 9) == [1, 2, 3, 4, 5, 6, 8, 9]
+    assert intake.taken(spark, place, "ecommerce_orders").gaps == ((7, 7, 1),)
+    assert take(*range(1, 10), 14) == [*range(1, 10), 14]
+    assert take(*range(1, 10), 14) == [*range(1, 10), 14]
+    assert intake.taken(spark, place, "ecommerce_orders").gaps == ((10, 13, 3),)
+    take(*range(1, 10), 14, patience=2)  # given up
+    assert take(*range(1, 15)) == [*range(1, 10), 14]
+
+
+def test_taken_ids_equal_a_set():
+    rng = random.Random(4)
+    for _ in range(200):
+        known, every, seen = intake.Taken(), list(range(1, 60)), {1}
+        known = known.after([(1, 1)], 99)
+        while seen != set(every):
+            new = {i for i in every if i not in seen and rng.random() < 0.2}
+            runs = [(i, i) for i in sorted(new)]
+            known, seen = known.after(runs, 99), seen | new
+            missing = {i for low, high, _ in known.gaps for i in range(low, high + 1)}
+            assert missing == set(range(1, known.last + 1)) - seen and known.last == max(seen)
+
+
+def test_islands(spark):
+    df = spark.createDataFrame([(i,) for i in (5, 1, 2, 2, 7, 8, 9, 70_000, None)] + [(i,) for i in range(65_530, 65_545)], "id long")
+    assert islands(df) == [(1, 2), (5, 5), (7, 9), (65_530, 65_544), (70_000, 70_000)]
+    assert islands(df.where("false")) == []
+
+
 def test_invoices_land_once_beside_other_rows(spark, tmp_path):
     landing = str(tmp_path / "landing")
     invoice = {"invoice_id": "INV7", "store_id": "Quay", "region": "North", "Ngay": "2026-05-04",
