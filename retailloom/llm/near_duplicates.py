@@ -1,10 +1,11 @@
 """Near-duplicates: b-bit MinHash with band candidates, confirmed on whole shingle sets, as connected components.
 
 Documents of one shingle set are one class from the start. In a band bucket every class is first compared with one
-centre, another one in each bucket: in some of the bands, then in all of them with what is still apart. What that
-leaves is compared across the components found so far, block by block, and only pairs that their packed signatures
-allow come out. So a group of copies costs about as many comparisons as it has members, and still no link between two
-components is missed.
+centre, another one in each bucket: one band a round, each round with what the ones before have left apart, then all
+bands at once, where a class meets each other component in one of its members only. What that leaves is compared across the
+components found so far, block by block, and only pairs that their packed signatures allow come out: at first the
+likeliest pair of a class and a component, then all that are left. So a group of copies costs about as many
+comparisons as it has members, and still no link between two components is missed.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from retailloom.llm.common import as_numbers, as_text
@@ -27,7 +28,7 @@ BANDS, ROWS = 32, 4  # a pair of similarity 0.8 shares no band in 1 of 20 millio
 MINIMA = BANDS * ROWS
 BINS, BITS = 512, 4  # minima of one permutation, and what is kept of each: 0 if its bin is empty, else 1 to 15
 SLACK = 5  # standard deviations by which an estimate may fall short of the threshold
-STAR_BANDS = (8, BANDS)  # bands whose buckets take part in each star round
+STARS = ((0, 1), (1, 2), (2, 3), (0, BANDS))  # the bands, from and to, whose buckets take part in each star round
 BLOCK = 4096  # classes of a bucket that meet in one task, from either side
 SIGNED = "doc_id string, text_hash long, n_shingles long, digest binary, bands array<long>, bits array<long>"
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -211,18 +212,19 @@ def _star_pairs(members: DataFrame, star: int) -> DataFrame:
     """Every member of a bucket with the bucket's centre, unless they are in one component already.
 
     The centre has the smallest number after an exclusive or with a hash of the bucket, so each bucket that a large
-    group shares takes another one; once there are components, it is from the bucket's largest.
+    group shares takes another one; once there are components, it is from the bucket's largest. A member that meets
+    several centres of one component is compared with one of them.
     """
     turn = F.xxhash64("band", F.lit(star))
     if star:
         members = members.join(_largest(members), "band")
         some, others = members.where("component = largest"), members.where("component != largest")
     else:
-        some = others = members
+        some = others = members.withColumn("largest", F.col("band"))
     centres = (some.groupBy("band").agg(F.min(F.col("node").bitwiseXOR(turn)).alias("least"))
                .select("band", F.col("least").bitwiseXOR(turn).alias("a")))
-    return others.join(centres, "band").where("node != a").select(
-        F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    met = others.join(centres, "band").where("node != a").groupBy("node", "largest").agg(F.min("a").alias("a"))
+    return met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
 
 
 def _open(members: DataFrame, found: DataFrame, label: str) -> DataFrame:
@@ -234,14 +236,14 @@ def _open(members: DataFrame, found: DataFrame, label: str) -> DataFrame:
     return materialize(placed.join(mixed, "band").select("band", "turn", "node", "component"), label)
 
 
-def _cross(rows: pd.DataFrame, ends: np.ndarray, percent: int) -> pd.DataFrame:
+def _cross(rows: pd.DataFrame, ends: np.ndarray, percent: int, likeliest: bool) -> pd.DataFrame:
     """Of each run of rows, which is two blocks of a bucket (or one with itself), the pairs of different components
-    that are allowed."""
+    that are allowed, with their estimates; or of a row and each component the ``likeliest`` pair alone."""
     turn, block, node, component, n, first, second = (rows[c].to_numpy() for c in (
         "turn", "block", "node", "component", "n_shingles", "first", "second"))
     apart = component != rows["largest"].to_numpy()
     bits, bands = _packed(rows["bits"]), _packed(rows["bands"])
-    out = [np.empty((0, 2), np.int64)]
+    out, found = [np.empty((0, 4), np.int64)], []
     for start, end in zip(ends[:-1], ends[1:]):
         # Pairs within one block once; across two blocks, from both sides; never two of the largest component.
         for i in start + np.nonzero(apart[start:end])[0]:
@@ -255,11 +257,21 @@ def _cross(rows: pd.DataFrame, ends: np.ndarray, percent: int) -> pd.DataFrame:
                 at = at[allowed(bits[at], n[at], bits[i], n[i], percent)]
             if len(at):
                 at = at[(bands[at] == bands[i]).argmax(axis=1) == turn[i]]  # in the first band they share alone
-                out.append(np.stack([np.minimum(node[at], node[i]), np.maximum(node[at], node[i])], axis=1))
-    return pd.DataFrame(np.concatenate(out), columns=["a", "b"])
-
-
-def _crossed(percent: int):
+            if len(at):
+                close = estimate(bits[at], bits[i])[0]
+                if likeliest:
+                    order = np.argsort(-close, kind="stable")
+                    order = order[np.unique(component[at[order]], return_index=True)[1]]
+                    at, close = at[order], close[order]
+                out.append(np.stack([np.minimum(node[at], node[i]), np.maximum(node[at], node[i]),
+                                     np.full(len(at), node[i]), component[at]], axis=1))
+                found.append(close)
+    pairs = pd.DataFrame(np.concatenate(out), columns=["a", "b", "member", "other"])
+    pairs["close"] = np.concatenate(found) if found else np.empty(0)
+    return pairs
+
+
+def _crossed(percent: int, likeliest: bool):
     def crossed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows come sorted; the last run of a batch waits for the next one, which may go on with it."""
         rest = None
@@ -269,15 +281,16 @@ def _crossed(percent: int):
             starts = np.concatenate([[0], 1 + np.nonzero((keys[1:] != keys[:-1]).any(axis=1))[0]])
             rest = rows.iloc[starts[-1]:]
             if len(starts) > 1:
-                yield _cross(rows.iloc[:starts[-1]], starts, percent)
+                yield _cross(rows.iloc[:starts[-1]], starts, percent, likeliest)
         if rest is not None and len(rest):
-            yield _cross(rest, np.array([0, len(rest)]), percent)
+            yield _cross(rest, np.array([0, len(rest)]), percent, likeliest)
 
     return crossed
 
 
-def _cross_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a bucket from different components whose signatures allow a link.
+def _cross_pairs(members: DataFrame, classes: DataFrame, percent: int, likeliest: bool) -> DataFrame:
+    """All pairs of a bucket from different components whose signatures allow a link; or of each member and component
+    the ``likeliest`` of them.
 
     A bucket of more than ``BLOCK`` classes is cut into blocks by a hash, and each pair of blocks is a task's work.
     """
@@ -288,17 +301,16 @@ def _cross_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFr
             .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))))
     pairs = rows.withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
     key = ["band", "first", "second"]
-    return pairs.repartition(*key).sortWithinPartitions(*key).mapInPandas(_crossed(percent), "a long, b long")
+    found = pairs.repartition(*key).sortWithinPartitions(*key).mapInPandas(
+        _crossed(percent, likeliest), "a long, b long, member long, other long, close double")
+    if likeliest:
+        found = found.groupBy("member", "other").agg(F.max(F.struct("close", "a", "b")).alias("best")).select("best.a", "best.b")
+    return found.select("a", "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Per row of ``docs(doc_id, text)``: doc_id, text_hash, n_shingles, component_id, kept.
-
-    Two documents are linked if 100 x shared shingles is at least ``percent`` x shingles of either. ``component_id``
-    is the smallest doc_id of the linked ones, null ids last; ``kept`` tells whether it is the row's own. A null,
-    empty or wordless text has no shingles and is alone. Repeated rows (same id, same text) are one document and
-    have the same result. An empty table gives no rows. Other columns are not read.
-    """
+def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Per row doc_id, text_hash, n_shingles, component_id, and whether its text and id are the first of the component:
+    by id, null ids last, then by a hash of the text."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
                          ).withColumn("text_hash", F.xxhash64("text"))
     as_strings = source.select(as_text("doc_id"), "text", "text_hash")
@@ -316,27 +328,59 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     members = materialize(in_bands.join(shared, "band").select("band", "turn", "node", F.col("node").alias("component")),
                           "members")
     links, found = None, None
-    for star, bands in enumerate(STAR_BANDS):
-        more = _links(_star_pairs(members.where(F.col("turn") < bands), star), classes, source, words, percent)
+    for star, (low, high) in enumerate(STARS):
+        taking = members.where((F.col("turn") >= low) & (F.col("turn") < high))
+        more = _links(_star_pairs(taking, star), classes, source, words, percent)
         links = more if links is None else links.unionByName(more)
         found = components(links)
         members = _open(members, found, f"open-{star}")
-    more = _links(_cross_pairs(members, classes, percent), classes, source, words, percent, near=True)
-    if not more.isEmpty():
-        found = components(links.unionByName(more))
-    labelled = classes.select("node", "digest", "doc_id").join(found, "node", "left").withColumn(
+    for likeliest in (True, False):
+        more = _links(_cross_pairs(members, classes, percent, likeliest), classes, source, words, percent, near=True)
+        if more.isEmpty():
+            continue
+        links = links.unionByName(more)
+        found = components(links)
+        if likeliest:
+            members = _open(members, found, "open-cross")
+    labelled = classes.select("node", "digest", place.alias("place")).join(found, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
-    least = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_class = labelled.join(least, "component").select("digest", "component_id")
-    joined = some.select("doc_id", "text_hash", "n_shingles", "digest").join(of_class, "digest").drop("digest")
+    least = labelled.groupBy("component").agg(F.min("place").alias("least"))
+    of_class = labelled.join(least, "component").select("digest", "least")
+    joined = some.select("doc_id", "text_hash", "n_shingles", "digest").join(of_class, "digest").select(
+        "doc_id", "text_hash", "n_shingles", F.col("least.doc_id").alias("component_id"),
+        (F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash"))).alias("first"))
     alone = signed.where(F.col("digest").isNull()).select(
-        "doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id"))
-    return joined.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        "doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("first"))
+    return joined.unionByName(alone)
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """Per row of ``docs(doc_id, text)``: doc_id, text_hash, n_shingles, component_id, kept.
+
+    Two documents are linked if 100 x shared shingles is at least ``percent`` x shingles of either. ``component_id``
+    is the smallest doc_id of the linked ones, null ids last; ``kept`` tells whether it is the row's own. A null,
+    empty or wordless text has no shingles and is alone. Repeated rows (same id, same text) are one document and
+    have the same result. An empty table gives no rows. Other columns are not read.
+    """
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return _grouped(docs, words, percent).select("doc_id", "text_hash", "n_shingles", "component_id", kept)
 
 
 def without_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose document is the first of its component, with all their columns."""
-    gone = near_duplicates(docs, words, percent).where(~F.col("kept")).select(
-        F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["gone_id"])
-                     & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["gone_hash"]), "left_anti")
+    """One row of each component of ``docs``, with all its columns: that of the smallest id, null ids last, then by a hash of
+    the text; of repeated rows any one. Rows without words all stay."""
+    grouped = materialize(_grouped(docs, words, percent), "grouped")
+    key = [F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit("")))]
+
+    def these(rows: DataFrame, listed: DataFrame, how: str) -> DataFrame:
+        named = listed.select(F.col("doc_id").alias("listed_id"), F.col("text_hash").alias("listed_hash")).distinct()
+        return rows.join(named, key[0].eqNullSafe(named["listed_id"]) & (key[1] == named["listed_hash"]), how)
+
+    left = these(docs, grouped.where("NOT first"), "left_anti")
+    repeated = materialize(grouped.where("first AND n_shingles > 0").groupBy("doc_id", "text_hash").agg(
+        F.count("*").alias("n")).where("n > 1"), "repeated")
+    if repeated.isEmpty():
+        return left
+    number = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))
+    once = these(left, repeated, "left_semi").select(F.struct("*").alias("own"), number.alias("number")).where("number = 1")
+    return these(left, repeated, "left_anti").unionByName(once.select("own.*"))

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -154,9 +155,11 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -
     """The rows of ``docs`` that score below the threshold, with all their columns."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        parts = [shared.value.scores(list(part["text"])) for part in slices(texts.to_frame("text"), "text")]
-        return pd.Series(np.concatenate(parts) if parts else np.empty(0))
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            texts = batch.column("text").fill_null("").to_pandas().to_frame("text")
+            scores = [own.scores(list(part["text"])) for part in slices(texts, "text")]
+            yield batch.filter(pa.array(np.concatenate(scores) < threshold)) if scores else batch
 
-    return docs.where(scored(F.coalesce("text", F.lit(""))) < threshold)
+    return docs.mapInArrow(kept, docs.schema)

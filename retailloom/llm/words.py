@@ -14,7 +14,7 @@ def coded(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
     return document, codes, list(distinct)
 
 
-def slices(frame: pd.DataFrame, column: str, size: int = 1 << 22):
+def slices(frame: pd.DataFrame, column: str, size: int = 1 << 20):
     """Parts of the frame whose texts have together about ``size`` characters: the bound of a batch's memory."""
     group = frame[column].str.len().cumsum() // size
     for _, part in frame.groupby(group, sort=False):

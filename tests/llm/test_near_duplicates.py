@@ -94,6 +94,16 @@ def test_nulls_empties_ties_repeats_and_letters(documents, empty):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 2, 3, 4, 5, 6, 7, 8] and kept.columns == docs.columns
 
 
+def test_one_row_of_each_group_stays(documents):
+    words = [f"w{i}" for i in range(60)]
+    near = [" ".join(words[:60 - i]) for i in range(4)]
+    docs = documents([(None, near[0]), (None, near[1]), (None, near[1]), (7, "own text here"), (7, "own text here"),
+                      (7, "own text here too"), (8, None), (8, None), (9, near[0].replace("w", "v")), (9, near[1].replace("w", "v"))])
+    kept = nd.without_near_duplicates(docs, 3, 85)
+    found = sorted((r["doc_id"] or 0, (r["text"] or "")[:3]) for r in kept.collect())
+    assert found == [(0, "w0 "), (7, "own"), (7, "own"), (8, ""), (8, ""), (9, "v0 ")] and kept.columns == docs.columns
+
+
 def test_large_ids_beside_a_null_stay_exact(documents):
     docs = documents([(2**60 + 1, "a b c"), (2**60 + 3, "a b c"), (None, "c"), (5, None)], 1)
     found = {r["doc_id"]: r["component_id"] for r in nd.near_duplicates(docs).collect()}
@@ -130,7 +140,7 @@ def test_estimate_follows_the_similarity():
 
 def test_blocks_of_a_large_bucket(documents, monkeypatch):
     monkeypatch.setattr(nd, "BLOCK", 16)
-    monkeypatch.setattr(nd, "STAR_BANDS", (0,))
+    monkeypatch.setattr(nd, "STARS", ((0, 0),))
     rng = random.Random(4)
     words = [f"w{i}" for i in range(100)]
     texts = {i: " ".join(changed(rng, words, i % 6)) for i in range(120)}
