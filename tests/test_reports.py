@@ -113,7 +113,7 @@ def test_segments_drop_unknown_and_repeat_doubled_customers(shop):
 
 
 def test_stock_reports(shop):
-    assert tuples(reports.low_stock_products(shop.inventory)) == [(CH, "Chair", 14, 20)]
+    assert tuples(reports.low_stock_products(shop.inventory)) == [(CH, "Stool", 14, 22)]
     values = reports.ordered(reports.stock_value_list(shop.inventory), "stock_value")
     assert [(r["product_id"], r["stock_value"]) for r in values.collect()] == [
         (CO, 16800), (MA, 9400), (CH, 2100), (PA, 1410)]

@@ -47,11 +47,11 @@ def test_movements_of_sales(shop):
 
 
 def test_opening_and_lots(shop):
-    assert (CO, "opening", 60, 18000.0) in tuples(inventory.opening_balances(shop.product))
+    assert (CO, "opening", 70, 21000.0) in tuples(inventory.opening_balances(shop.product))
     stock = inventory.stock_on_hand(shop.movement)
-    assert tuples(inventory.reorder_lots(shop.product, stock)) == [(CH, "inbound", 80, 12000.0)]
+    assert tuples(inventory.reorder_lots(shop.product, stock)) == [(CH, "inbound", 88, 13200.0)]
     never_moved = stock.where(f"product_id <> '{MA}'")
-    assert (MA, "inbound", 100, 20000.0) in tuples(inventory.reorder_lots(shop.product, never_moved))
+    assert (MA, "inbound", 112, 22400.0) in tuples(inventory.reorder_lots(shop.product, never_moved))
 
 
 def test_insert_if_absent(spark, shop, database):
