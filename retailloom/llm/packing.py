@@ -7,6 +7,7 @@ place by its length and its number among the pieces of that length.
 
 from __future__ import annotations
 
+import logging
 import os
 import re
 import zlib
@@ -22,9 +23,14 @@ from pyspark.sql import functions as F
 from retailloom.llm.common import as_numbers, as_text, numbered, per_process
 from retailloom.session import materialize
 
+log = logging.getLogger(__name__)
+
 CAPACITY, END = 4096, 1
-ROUNDS = 200  # of multiplicative weights
-RATE = 0.25
+BLOCK = 64  # lengths that share a knapsack
+STEP = 0.5  # share of a length's pieces that one step of the weights may cover
+FALL = 0.01  # by which the logarithm of a price falls from nothing covered to all
+LONGER = 0.01  # by which a sequence filled by one piece is worth more, so that short pieces stay for later gaps
+REST = 0.05  # share of the tokens left to best fit
 PIECES = "row long, doc_id string, piece int, start long, length long, ids_crc32 long"
 CACHED_WORDS = 1_000_000  # distinct parts of texts that a Python worker keeps, about 200 MB
 
@@ -107,63 +113,58 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> D
     return source.mapInPandas(_tokenized(tokenizer, capacity), PIECES)
 
 
-# The plan, on the driver: its size depends on the capacity alone.
+# The plan, on the driver: its size depends on the capacity and the logarithm of the counts alone.
 
 def _best_pattern(lengths: np.ndarray, worth: np.ndarray, most: np.ndarray, capacity: int) -> np.ndarray:
     """Knapsack by dynamic programming: counts of ``lengths`` of the largest worth that fit, none over ``most``.
 
-    The table has one entry per filled size. A length is taken again from the size it came from, as often as it
-    is needed at all.
+    Exact: a length that may be taken m times is offered as 1, 2, 4 ... and the rest of m copies at once, and the table
+    keeps for each offer and filled size whether it was taken.
     """
+    offers = []
+    for k, size in enumerate(lengths.tolist()):
+        limit, copies = min(int(most[k]), capacity // size), 1
+        while limit > 0:
+            offers.append((k, min(copies, limit)))
+            limit, copies = limit - copies, 2 * copies
     value = np.zeros(capacity + 1)
-    last = np.full(capacity + 1, -1, dtype=np.int64)
-    density = np.argsort(-worth / lengths, kind="stable")
-    used = np.zeros(capacity + 1, dtype=np.int64)
-    for k in density[:256]:  # the lengths of most worth a token; the rest can't be in a pattern of best worth often
-        size, gain, limit = int(lengths[k]), worth[k], int(most[k])
-        used[:] = 0
-        for low in range(size, capacity + 1, size):
-            high = min(low + size, capacity + 1)
-            before = value[low - size:high - size] + gain
-            taken = used[low - size:high - size]
-            better = (before > value[low:high] + 1e-15) & (taken < limit)
-            at = np.nonzero(better)[0]
-            value[low + at] = before[at]
-            used[low + at] = taken[at] + 1
-            last[low + at] = k
-    counts = np.zeros(len(lengths), dtype=np.int64)
-    return _walk(counts, last, lengths, most, int(np.argmax(value)))
-
-
-def _walk(counts, last, lengths, most, size):
-    while size > 0 and last[size] >= 0:
-        k = last[size]
-        if counts[k] >= most[k]:
-            break
-        counts[k] += 1
-        size -= int(lengths[k])
+    taken = np.zeros((len(offers), capacity + 1), dtype=bool)
+    for row, (k, copies) in zip(taken, offers):
+        size = int(lengths[k]) * copies
+        with_it = value[:capacity + 1 - size] + worth[k] * copies
+        np.greater(with_it, value[size:], out=row[size:])
+        np.maximum(with_it, value[size:], out=value[size:])
+    counts, space = np.zeros(len(lengths), dtype=np.int64), capacity
+    for row, (k, copies) in zip(taken[::-1], offers[::-1]):
+        if row[space]:
+            counts[k] += copies
+            space -= int(lengths[k]) * copies
     return counts
 
 
-def _weights(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray, float]]:
-    """The covering program over patterns by multiplicative weights: patterns and how often to use each.
+def _patterns(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """The configuration program by multiplicative weights: the lengths and counts of patterns, and their whole uses.
 
-    A length's weight falls as it is covered; each round prices all patterns at once by the knapsack and uses the
-    best one as often as its scarcest length allows, in steps of a fraction of the demand.
+    A length's price starts near its share of the capacity, which is its price in the optimum whenever the program
+    reaches the volume bound, and falls by a factor with every share of its demand that is covered. A round prices
+    every length that is left: they are dealt into blocks at random (by the round's number), and each block's knapsack
+    finds its best pattern. It is used for ``STEP`` of what its scarcest length has left, rounded down, once at least.
+    Patterns never hold more of a length than is left, so nothing is covered twice. Ends when at most ``REST`` of all
+    tokens are left, whose patterns could no longer be full.
     """
-    covered = np.zeros(len(lengths))
-    found: dict[bytes, list] = {}
-    for _ in range(ROUNDS):
-        weight = np.exp(-RATE * ROUNDS / 4 * (covered - covered.min()))
-        pattern = _best_pattern(lengths, weight * lengths / capacity + 1e-12, demand, capacity)
-        if not pattern.any():
-            break
-        on = pattern > 0
-        step = float((demand[on] / pattern[on]).min()) * RATE
-        covered[on] += step * pattern[on] / demand[on]
-        found.setdefault(pattern.tobytes(), [pattern, 0.0])[1] += step
-    over = max(1.0, float(covered.max()) if len(covered) else 1.0)
-    return [(pattern, times / over) for pattern, times in found.values()]
+    left, found, turn = demand.copy(), [], 0
+    total = int((lengths * demand).sum())
+    while int((lengths * left).sum()) > REST * total:
+        live = np.random.default_rng(turn).permutation(np.nonzero(left)[0])
+        turn += 1
+        price = lengths / capacity * (1 + LONGER * lengths / capacity) * np.exp(-FALL * (1 - left / demand))
+        for block in np.array_split(live, -(-len(live) // BLOCK)):
+            counts = _best_pattern(lengths[block], price[block], left[block], capacity)
+            on = counts > 0
+            uses = max(1, int(STEP * (left[block][on] / counts[on]).min()))
+            left[block] -= uses * counts
+            found.append((lengths[block][on], counts[on], uses))
+    return found
 
 
 @dataclass
@@ -178,25 +179,26 @@ class Plan:
     sequence: np.ndarray
     offset: np.ndarray
     sequences: int
+    from_patterns: int = 0
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
-    """Round the program down to whole patterns, then fill what is left by best fit, longest first.
+    """The program's patterns, then what is left by best fit, longest first.
 
     Best fit works on groups of equally filled sequences, so its work follows the number of lengths and patterns,
-    not the number of pieces. The rounded patterns' free space takes part in it.
+    not the number of pieces. The patterns' free space takes part in it.
     """
     lengths = np.array(sorted(histogram, reverse=True), dtype=np.int64)
     left = np.array([histogram[int(x)] for x in lengths], dtype=np.int64)
-    groups: list[tuple[tuple[tuple[int, int], ...], int]] = []  # (length, count) pairs and number of sequences
-    if len(lengths):
-        for pattern, times in sorted(_weights(lengths, left.copy(), capacity), key=lambda x: -x[1]):
-            on = pattern > 0
-            whole = min(int(np.floor(times + 1e-9)), int((left[on] // pattern[on]).min()))
-            if whole > 0:
-                left -= whole * pattern
-                groups.append((tuple((int(n), int(c)) for n, c in zip(lengths[on], pattern[on])), whole))
-    return _places(_best_fit(groups, lengths, left, capacity))
+    groups: dict[tuple[tuple[int, int], ...], int] = {}  # (length, count) pairs and number of sequences
+    for sizes, counts, uses in _patterns(lengths, left, capacity):
+        left[len(lengths) - 1 - np.searchsorted(lengths[::-1], sizes)] -= uses * counts
+        items = tuple(sorted(zip(sizes.tolist(), counts.tolist()), reverse=True))
+        groups[items] = groups.get(items, 0) + uses
+    made = _places(_best_fit(list(groups.items()), lengths, left, capacity))
+    made.from_patterns = sum(groups.values())
+    log.info("%d of %d sequences come from patterns", made.from_patterns, made.sequences)
+    return made
 
 
 def _best_fit(groups, lengths, left, capacity):
