@@ -1,8 +1,9 @@
 """Command line: ``spark-submit`` or ``python -m retailloom <command> settings.json``.
 
 Commands: ``intake`` takes new invoices, orders, finance rows and movements to landing files, ``batch [step ...]``
-runs the batch (all steps, or the named ones), ``late`` shows stored days whose sales changed, ``rebuild`` makes all
-periods and cubes anew, ``reset`` empties the warehouse, ``dashboard`` and ``alerts`` run the live jobs.
+runs the batch (all steps, or the named ones), ``late`` shows stored days whose sales changed, ``repair`` makes the
+periods that hold such days anew, ``rebuild`` all periods and cubes, ``reset`` empties the warehouse, ``dashboard`` and
+``alerts`` run the live jobs.
 """
 
 from __future__ import annotations
@@ -55,7 +56,7 @@ def take_all(spark, cfg: jobs.Config, live: dict) -> None:
 
 def main(arguments: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="retailloom", description=__doc__)
-    parser.add_argument("command", choices=("intake", "batch", "late", "rebuild", "reset", "dashboard", "alerts"))
+    parser.add_argument("command", choices=("intake", "batch", "late", "repair", "rebuild", "reset", "dashboard", "alerts"))
     parser.add_argument("settings")
     parser.add_argument("steps", nargs="*")
     given = parser.parse_args(arguments)
@@ -72,6 +73,8 @@ def main(arguments: list[str] | None = None) -> int:
         return 0 if all(result.ok for result in results.values()) else 1
     if given.command == "late":
         jobs.late_days(spark, cfg).orderBy("period").show()
+    elif given.command == "repair":
+        print("repaired", jobs.repair_periods(spark, cfg))
     elif given.command == "rebuild":
         rebuild_cubes(spark, cfg.table("sales"), Lake(cfg.lake))
         jobs.rebuild_periods(spark, cfg)

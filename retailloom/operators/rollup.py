@@ -65,6 +65,17 @@ def closed_periods(sales: DataFrame, unit: str, current: date | Column) -> DataF
     return periods
 
 
+def touched(days: DataFrame, unit: str) -> DataFrame:
+    """The periods that hold any of the days."""
+    return days.select(period_start(F.col("period"), unit).alias("period")).distinct()
+
+
+def within(periods: DataFrame, larger: DataFrame, unit: str) -> DataFrame:
+    """The periods that lie in one of the larger ones."""
+    return (periods.withColumn("larger", period_start(F.col("period"), unit))
+            .join(larger.select(F.col("period").alias("larger")), "larger", "left_semi").select(*periods.columns))
+
+
 def late_rows(days: DataFrame, stored_days: DataFrame) -> DataFrame:
     """Days up to the last stored one whose sales differ from what was stored (null when the day was not
     stored at all): stored and present values side by side."""

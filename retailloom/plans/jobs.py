@@ -14,13 +14,14 @@ from pyspark.sql.types import StringType, StructType
 from retailloom.operators import ml, planning, reports
 from retailloom.operators.dedup import newest_customers
 from retailloom.operators.inventory import snapshot, stock_on_hand, value_stock
-from retailloom.operators.rollup import LEVELS, PARENT, business_date, closed, daily, late_rows, roll_up, unseen
+from retailloom.operators.rollup import LEVELS, business_date, closed, daily, late_rows
+from retailloom.plans import periods
 from retailloom.plans.publish import publish
 from retailloom.schemas import (
     CUSTOMER, FACT, FACT_KEYS, FACT_PARTITIONS, INVENTORY, KEY_INDEX, LIVE_ALERTS, LIVE_STATS, MOVEMENT,
-    MOVEMENT_LANDING, PERIOD, PRODUCT, SNAPSHOT, WAREHOUSE, fields)
+    MOVEMENT_LANDING, PRODUCT, SNAPSHOT, WAREHOUSE, fields)
 from retailloom.sinks.stores import Lake
-from retailloom.sinks.tables import append_counted, counted, ensure_table, overwrite_day, replace_table
+from retailloom.sinks.tables import counted, ensure_table, overwrite_day, replace_table
 from retailloom.sources import files
 from retailloom.streaming.ingest import ingest_landed, start_movements
 
@@ -58,7 +59,7 @@ def create_database(spark: SparkSession, cfg: Config) -> None:
     ensure_table(spark, cfg.table("inventory"), STOCK)
     ensure_table(spark, cfg.table("stock_snapshot"), SNAPSHOT, ["snapshot_date"])
     for level in LEVELS:
-        ensure_table(spark, cfg.table(f"agg_{level}"), PERIOD)
+        periods.create(spark, cfg.table(f"agg_{level}"))
 
 
 def ingest(spark: SparkSession, cfg: Config) -> dict[str, int]:
@@ -102,33 +103,30 @@ def rollup(spark: SparkSession, cfg: Config) -> dict[str, int]:
     """
     sales = cube(spark, cfg, "cube_region_day")
     current = business_date(sales).first()["business_date"]
-    added = {}
-    if current is None:
-        return added
-    for level in LEVELS:
-        table = cfg.table(f"agg_{level}")
-        stored = spark.table(table).agg(F.max("period").alias("last")).first()["last"]
-        added[level] = append_counted(unseen(closed(_level(spark, cfg, level), level, current), stored), table)
-    return added
+    return {} if current is None else periods.append_closed(daily(sales), _period_tables(cfg), current)
 
 
-def _level(spark: SparkSession, cfg: Config, level: str) -> DataFrame:
-    if level == "day":
-        return daily(cube(spark, cfg, "cube_region_day"))
-    return roll_up(spark.table(cfg.table(f"agg_{PARENT[level]}")), level)
+def _period_tables(cfg: Config) -> dict[str, str]:
+    return {level: cfg.table(f"agg_{level}") for level in LEVELS}
 
 
 def late_days(spark: SparkSession, cfg: Config) -> DataFrame:
     """Stored days whose sales have changed since."""
-    return late_rows(daily(cube(spark, cfg, "cube_region_day")), spark.table(cfg.table("agg_day")))
+    return late_rows(daily(cube(spark, cfg, "cube_region_day")), periods.stored(spark, cfg.table("agg_day")))
 
 
 def rebuild_periods(spark: SparkSession, cfg: Config) -> None:
     """All closed periods anew, late sales included."""
     current = business_date(cube(spark, cfg, "cube_region_day")).first()["business_date"]
-    for level in LEVELS:
-        periods = _level(spark, cfg, level)
-        replace_table(closed(periods, level, current) if current else periods, cfg.table(f"agg_{level}"))
+    days, tables = daily(cube(spark, cfg, "cube_region_day")), _period_tables(cfg)
+    for level, table in tables.items():
+        rows = periods.level_rows(days, tables, level)
+        periods.replace(closed(rows, level, current) if current else rows, table)
+
+
+def repair_periods(spark: SparkSession, cfg: Config) -> dict[str, int]:
+    """The stored periods that hold a late day anew; the others, and the files of their years, stay."""
+    return periods.repair(daily(cube(spark, cfg, "cube_region_day")), _period_tables(cfg))
 
 
 def report_tables(spark: SparkSession, cfg: Config) -> dict[str, Callable[[], DataFrame]]:

@@ -255,6 +255,10 @@ ORACLE: dict[str, str] = {
         SELECT *, 'day' AS unit FROM days UNION ALL SELECT *, 'week' FROM weeks
         UNION ALL SELECT *, 'month' FROM months UNION ALL SELECT *, 'quarter' FROM quarters
         UNION ALL SELECT *, 'year' FROM years""", *PERIOD_VIEWS, "weeks", "months", "quarters", "years"),
+    "period_repair": _with("""
+        SELECT *, 'day' AS unit FROM days UNION ALL SELECT *, 'week' FROM weeks
+        UNION ALL SELECT *, 'month' FROM months UNION ALL SELECT *, 'quarter' FROM quarters
+        UNION ALL SELECT *, 'year' FROM years""", *PERIOD_VIEWS, "weeks", "months", "quarters", "years"),
     "serving_counts": _with("""
         SELECT 'agg_day' AS label, count(*) AS row_count FROM days
         UNION ALL SELECT 'agg_week', count(*) FROM weeks UNION ALL SELECT 'agg_month', count(*) FROM months

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from retailloom.functions.names import vietnamese
+from retailloom.plans.periods import YEAR
 from retailloom.sinks.tables import counted
 from retailloom.sources.tables import table_names
 
@@ -34,7 +35,7 @@ def publish(spark: SparkSession, database: str, target, in_vietnamese: bool = Fa
     """Refill every mart in ``target`` and return the rows of each."""
     rows = {}
     for table in marts(spark, database):
-        df: DataFrame = spark.table(f"{database}.{table}")
+        df: DataFrame = spark.table(f"{database}.{table}").drop(YEAR)
         shown, name = vietnamese(df, table) if in_vietnamese else (df, table)
         rows[name] = counted(shown, lambda written, name=name: target.replace(written, name))
     return rows

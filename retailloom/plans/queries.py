@@ -15,6 +15,7 @@ from retailloom.operators import dedup, inventory, ml, normalize, planning, repo
 from retailloom.schemas import (
     EVENT, FACT, FACT_KEYS, KEY_INDEX, LIVE_ALERTS, LIVE_STATS, MOVEMENT, MOVEMENT_LANDING, OFFLINE, PERIOD, SENT_KIND, SENT_KINDS, SENT_TIME,
     SNAPSHOT, fields)
+from retailloom.plans import periods
 from retailloom.session import materialize, scratch
 from retailloom.sinks.stores import Lake
 from retailloom.sinks.tables import append_counted, ensure_table, overwrite_day
@@ -229,6 +230,21 @@ def rollup_cascade(star: Star) -> DataFrame:
         periods.withColumn("unit", F.lit(level)) for level, periods in _cascade(star, 2).items()])
 
 
+@query
+def period_repair(star: Star) -> DataFrame:
+    """Periods stored before the 13th to 19th of the first three months and all of 1995 were known, then repaired."""
+    database = _fresh_database(star, "repair")
+    stored = {level: f"{database}.agg_{level}" for level in rollup.LEVELS}
+    for table in stored.values():
+        periods.create(star.spark, table)
+    days = rollup.daily(_sales(star, "txn_date", "revenue", "cost"))
+    late = (F.year("period") == 1995) | ((F.month("period") <= 3) & F.dayofmonth("period").between(13, 19))
+    periods.append_closed(days.where(~late), stored, rollup.business_date(star.erp("txn_date")).first()["business_date"])
+    periods.repair(days, stored)
+    return normalize.union_sources(*[
+        periods.stored(star.spark, table).withColumn("unit", F.lit(level)) for level, table in stored.items()])
+
+
 @query
 def serving_counts(star: Star) -> DataFrame:
     return reports.labelled_counts({f"agg_{level}": df for level, df in _cascade(star, 1).items()})

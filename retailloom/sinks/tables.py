@@ -55,8 +55,25 @@ def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     return seen.get["rows"]
 
 
-def append_counted(df: DataFrame, table: str) -> int:
-    return counted(df, lambda rows: rows.write.mode("append").format("parquet").saveAsTable(table))
+def overwrite_partitions(df: DataFrame, table: str, partitioned_by: Sequence[str]) -> None:
+    """Replace the partitions that ``df`` has rows of; the others' files stay. ``df`` may read the table itself: the new
+    files are staged and put in place when all are written. An unpartitioned table is refused, as all of it would go."""
+    spark = df.sparkSession
+    partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if partitions != list(partitioned_by):
+        raise ValueError(f"{table} is partitioned by {partitions}, not by {list(partitioned_by)}")
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(setting, before)
+
+
+def append_counted(df: DataFrame, table: str, partitioned_by: Sequence[str] = ()) -> int:
+    return counted(df, lambda rows: rows.write.mode("append").format("parquet").partitionBy(
+        *partitioned_by).saveAsTable(table))
 
 
 def insert_absent(df: DataFrame, table: str, keys: Sequence[str]) -> None:

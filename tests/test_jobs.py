@@ -113,7 +113,11 @@ def test_late_sales(spark, cfg, tmp_path):
     assert jobs.run(spark, cfg, ["ingest", "rollup"])["rollup"].rows["day"] == 0
     assert tuples(jobs.late_days(spark, cfg).select("period", "revenue", "stored_revenue")) == [
         (date(2026, 7, 3), 70, None)]
+    assert jobs.repair_periods(spark, cfg) == {"day": 1, "week": 1, "month": 1, "quarter": 0, "year": 0}
+    assert jobs.late_days(spark, cfg).isEmpty()
+    repaired = tuples(table(spark, cfg, "agg_week"))
     jobs.rebuild_periods(spark, cfg)
+    assert tuples(table(spark, cfg, "agg_week")) == repaired
     assert jobs.late_days(spark, cfg).isEmpty()
     assert tuples(table(spark, cfg, "agg_month").select("revenue")) == [(1020.0,), (1240.0,)]
     assert jobs.run(spark, cfg, ["rollup"])["rollup"].rows == {
@@ -160,6 +164,6 @@ def test_command_line(spark, cfg, tmp_path, capsys):
     assert main(["batch", path, "ingest", "rollup", "publish"]) == 0
     assert "rollup ok {'day': 3" in capsys.readouterr().out
     assert spark.read.parquet(str(tmp_path / "serving" / "agg_ngay")).columns == ["ky", "doanh_thu", "loi_nhuan", "so_dong"]
-    assert main(["late", path]) == 0 and main(["rebuild", path]) == 0
+    assert main(["late", path]) == 0 and main(["repair", path]) == 0 and main(["rebuild", path]) == 0
     assert table(spark, cfg, "agg_month").count() == 2
     assert main(["reset", path]) == 0
