@@ -1,7 +1,8 @@
 """Command line: ``spark-submit`` or ``python -m retailloom <command> settings.json``.
 
 Commands: ``intake`` takes new invoices, orders, finance rows and movements to landing files, ``batch [step ...]``
-runs the batch (all steps, or the named ones), ``late`` shows stored days whose sales changed, ``repair`` makes the
+runs the batch (all steps, or the named ones), ``publish`` sends files of sales and movements to their topics, ``land``
+takes what the topics have got since to landing files, ``late`` shows stored days whose sales changed, ``repair`` makes the
 periods that hold such days anew, ``rebuild`` all periods and cubes, ``reset`` empties the warehouse, ``dashboard`` and
 ``alerts`` run the live jobs.
 """
@@ -16,12 +17,13 @@ from datetime import date
 
 from retailloom.plans import jobs
 from retailloom.plans.publish import InVietnamese
+from retailloom.schemas import INVENTORY_TOPIC, LANDING, MOVEMENT_LANDING, SALES_TOPIC
 from retailloom.session import session
 from retailloom.sinks.stores import Jdbc, Lake
 from retailloom.sources.kafka import topic_stream
 from retailloom.streaming import intake
-from retailloom.streaming.ingest import rebuild_cubes
-from retailloom.streaming.live import LOSS_THRESHOLD, start_alerts, start_dashboard
+from retailloom.streaming.ingest import land_topic, rebuild_cubes
+from retailloom.streaming.live import LOSS_THRESHOLD, start_alerts, start_dashboard, watched
 
 
 def target(settings: dict | None):
@@ -54,9 +56,24 @@ def take_all(spark, cfg: jobs.Config, live: dict) -> None:
             intake.take_table(spark, feed, cfg.movements if name == "kho_chuyendong" else cfg.landing, marks)
 
 
+def publish_all(spark, cfg: jobs.Config, live: dict) -> None:
+    """``live["outbox"]`` names the folders of clean ``sales`` and ``movements``."""
+    for name, schema in (("sales", LANDING), ("movements", MOVEMENT_LANDING)):
+        if name in live["outbox"]:
+            intake.publish_folder(spark, live["outbox"][name], schema, live["servers"], f"{cfg.checkpoint}/publish-{name}",
+                                  cfg.files_per_batch)
+
+
+def land_all(spark, cfg: jobs.Config, live: dict) -> None:
+    for topic, folder in ((SALES_TOPIC, cfg.landing), (INVENTORY_TOPIC, cfg.movements)):
+        messages = topic_stream(spark, live["servers"], topic, "earliest")
+        land_topic(messages, folder, f"{cfg.checkpoint}/land-{topic}").awaitTermination()
+
+
 def main(arguments: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="retailloom", description=__doc__)
-    parser.add_argument("command", choices=("intake", "batch", "late", "repair", "rebuild", "reset", "dashboard", "alerts"))
+    parser.add_argument("command", choices=(
+        "intake", "batch", "publish", "land", "late", "repair", "rebuild", "reset", "dashboard", "alerts"))
     parser.add_argument("settings")
     parser.add_argument("steps", nargs="*")
     given = parser.parse_args(arguments)
@@ -66,6 +83,9 @@ def main(arguments: list[str] | None = None) -> int:
     if given.command == "intake":
         take_all(spark, cfg, live)
         return 0
+    if given.command in ("publish", "land"):
+        (publish_all if given.command == "publish" else land_all)(spark, cfg, live)
+        return 0
     if given.command == "batch":
         results = jobs.run(spark, cfg, given.steps or None)
         for name, result in results.items():
@@ -88,7 +108,11 @@ def main(arguments: list[str] | None = None) -> int:
             query = start_dashboard(messages, shown, f"{cfg.checkpoint}/dashboard", threshold)
         else:
             query = start_alerts(messages, f"{cfg.checkpoint}/alerts", threshold)
-        query.awaitTermination()
+        with watched(spark) as pace:
+            try:
+                query.awaitTermination()
+            finally:
+                logging.info("pace of the stream: %s", pace.summary())
     return 0
 
 

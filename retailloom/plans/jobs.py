@@ -20,6 +20,7 @@ from retailloom.plans.publish import publish
 from retailloom.schemas import (
     CUSTOMER, FACT, FACT_KEYS, FACT_PARTITIONS, INVENTORY, KEY_INDEX, LIVE_ALERTS, LIVE_STATS, MOVEMENT,
     MOVEMENT_LANDING, PRODUCT, SNAPSHOT, WAREHOUSE, fields)
+from retailloom.sinks.buckets import PairedSales
 from retailloom.sinks.stores import Lake
 from retailloom.sinks.tables import counted, ensure_table, overwrite_day, replace_table
 from retailloom.sources import files
@@ -48,10 +49,15 @@ class Config:
     in_vietnamese: bool = False
     files_per_batch: int = 1000
     resent_within: str | None = None
+    paired_buckets: int | None = None
 
     def table(self, name: str) -> str:
         return f"{self.database}.{name}"
 
+    @property
+    def paired(self) -> PairedSales | None:
+        return PairedSales(self.table("paired_sales"), self.paired_buckets) if self.paired_buckets else None
+
 
 def create_database(spark: SparkSession, cfg: Config) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {cfg.database}")
@@ -65,11 +71,13 @@ def create_database(spark: SparkSession, cfg: Config) -> None:
 def ingest(spark: SparkSession, cfg: Config) -> dict[str, int]:
     """New landing files into the fact, new movements into the stock ledger, then the small tables. A backlog is taken
     in batches of ``files_per_batch`` files. With ``resent_within`` (as ``2 hours``) rows sent again in that time are stopped
-    by streaming state; set it from the start, as a checkpoint keeps its plan. Returns the rows of the fact per source and channel."""
+    by streaming state; set it from the start, as a checkpoint keeps its plan. With ``paired_buckets`` till and finance
+    rows are also kept by transaction in that many buckets, for the correlation. Returns the rows of the fact per source and channel."""
     create_database(spark, cfg)
     if files.exists(spark, cfg.landing):
         landing = files.json_lines_stream(spark, cfg.landing, cfg.archive, cfg.files_per_batch)
-        ingest_landed(landing, cfg.table("sales"), f"{cfg.checkpoint}/sales", Lake(cfg.lake), cfg.resent_within)
+        ingest_landed(landing, cfg.table("sales"), f"{cfg.checkpoint}/sales", Lake(cfg.lake), cfg.resent_within,
+                      cfg.paired)
     replace_table(spark.read.schema(PRODUCT).parquet(cfg.product), cfg.table("dim_product"))
     lake = Lake(cfg.lake)
     if files.exists(spark, cfg.movements):
@@ -152,16 +160,19 @@ def report_tables(spark: SparkSession, cfg: Config) -> dict[str, Callable[[], Da
 
 
 def analysis_tables(spark: SparkSession, cfg: Config) -> dict[str, Callable[[], DataFrame]]:
-    """Forecast, clusters, correlation and plan by name. Only the correlation reads the fact: it pairs
-    rows of two sources."""
+    """Forecast, clusters, correlation and plan by name. Only the correlation reads single sales, as it pairs
+    rows of two sources: those kept by transaction, or the fact where there are none."""
     def table(name: str) -> DataFrame:
         return spark.table(cfg.table(name))
 
+    def sales() -> DataFrame:
+        return cfg.paired.rows(spark) if cfg.paired else table("sales")
+
     days, products = cube(spark, cfg, "cube_store_day"), cube(spark, cfg, "cube_product_month")
     return {
         "revenue_forecast": lambda: ml.forecast_next(ml.monthly_series(cube(spark, cfg, "cube_region_day"))),
         "store_clusters": lambda: ml.cluster_stores(ml.store_features(days)),
-        "promo_profit_corr": lambda: ml.promo_profit_corr(table("sales")),
+        "promo_profit_corr": lambda: ml.promo_profit_corr(sales()),
         "replenishment_plan": lambda: planning.replenishment_plan(
             planning.monthly_demand(products), table("dim_product"), table("inventory")),
     }
@@ -198,6 +209,8 @@ def fold(spark: SparkSession, cfg: Config) -> dict[str, int]:
         F.sum("stock_qty").alias("stock_qty")), keep=1)
     for name, schema in (("movements", MOVEMENT), (KEY_INDEX, FACT_KEYS), ("rt_stats", LIVE_STATS), ("rt_alerts", LIVE_ALERTS)):
         rows[name] = lake.fold(spark, name, schema, keep=1)
+    if cfg.paired and spark.catalog.tableExists(cfg.paired.table):
+        cfg.paired.compact(spark)
     return rows
 
 

@@ -402,3 +402,6 @@ ORACLE: dict[str, str] = {
     "alert_total": _with("SELECT count(*) AS alert_count FROM alerts", "live", "alerts"),
     "latest_alerts": _with("SELECT * FROM alerts ORDER BY txn_id LIMIT 5", "live", "alerts"),
 }
+
+# The same results by another way.
+ORACLE |= {"promo_profit_buckets": ORACLE["promo_profit_corr"], "live_alerts_timed": ORACLE["live_alerts"]}

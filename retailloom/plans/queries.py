@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 from datetime import date
@@ -17,16 +18,18 @@ from retailloom.schemas import (
     SNAPSHOT, fields)
 from retailloom.plans import periods
 from retailloom.session import materialize, scratch
+from retailloom.sinks.buckets import PairedSales
 from retailloom.sinks.stores import Lake
 from retailloom.sinks.tables import append_counted, ensure_table, overwrite_day
 from retailloom.sources import files, tables
-from retailloom.sources.starmap import Star
+from retailloom.sources.starmap import Star, event_messages
 from retailloom.streaming import ingest, intake, live
 
 SNAPSHOT_DATES = (date(1998, 6, 30), date(1999, 12, 31), date(2001, 9, 30))
 RESUME_AFTER = date(1999, 6, 1)
 RANGE = (date(1998, 1, 1), date(1999, 12, 31))
 EVENT_LOSS = -50
+PAIRED_BUCKETS = 16
 
 REGISTRY: dict[str, Callable[[Star], DataFrame]] = {}
 
@@ -379,6 +382,19 @@ def promo_profit_corr(star: Star) -> DataFrame:
     return ml.promo_profit_corr(fact)
 
 
+@query
+def promo_profit_buckets(star: Star) -> DataFrame:
+    """The correlation from sales kept by transaction: finance rows first, then the tills' twice, as after a crash."""
+    pos, erp = star.pos("txn_id", "promotion", "source"), star.erp("txn_id", "revenue", "cost", "source")
+    database = _fresh_database(star, "paired")
+    normalize.union_sources(pos.where("false"), erp).write.saveAsTable(f"{database}.fact")
+    paired = PairedSales(f"{database}.paired_sales", PAIRED_BUCKETS)
+    paired.ready(star.spark, f"{database}.fact")
+    for _ in range(2):
+        paired.append(normalize.union_sources(pos, erp.where("false")))
+    return ml.promo_profit_corr(paired.rows(star.spark))
+
+
 @query
 def monthly_series(star: Star) -> DataFrame:
     return ml.indexed(ml.monthly_series(_sales(star, "txn_date", "revenue", "cost")))
@@ -671,6 +687,28 @@ def live_alerts(star: Star) -> DataFrame:
     return _alerts(star).drop("processed_at", "query_id", "batch_id")
 
 
+@query
+def live_alerts_timed(star: Star) -> DataFrame:
+    """The dashboard on a clock of one second, a few files a batch, stopped after its second batch and started again."""
+    spark, lake = star.spark, Lake(scratch(star.spark, "timed"))
+    event_messages(star.table("events")).repartition(8).write.text(lake.path("topic"))
+
+    def start():
+        messages = spark.readStream.option("maxFilesPerTrigger", 2).text(lake.path("topic"))
+        return live.start_dashboard(messages, lake, lake.path("checkpoint"), EVENT_LOSS, processingTime="1 second")
+
+    first, end = start(), time.monotonic() + 30  # an empty table has a single batch
+    while time.monotonic() < end and (first.lastProgress is None or first.lastProgress.batchId < 1):
+        time.sleep(0.1)
+    first.stop()
+    second = start()
+    try:
+        second.processAllAvailable()
+    finally:
+        second.stop()
+    return lake.read_batches(spark, "rt_alerts", LIVE_ALERTS).drop("processed_at", "query_id", "batch_id")
+
+
 @query
 def labelled_alerts(star: Star) -> DataFrame:
     """The alert job, written to files instead of the console."""

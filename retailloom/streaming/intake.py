@@ -7,12 +7,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from retailloom.operators.normalize import (
     flatten_invoices, normalize_ecommerce, normalize_erp, normalize_pos, parse_invoices)
 from retailloom.schemas import INVENTORY_TOPIC, SALES_TOPIC, SENT_KIND
 from retailloom.sinks.stores import Lake
-from retailloom.sources.files import exists
+from retailloom.sources.files import exists, json_lines_stream
 from retailloom.sources.tables import islands, jdbc_rows_after, jdbc_rows_between, rows_after, rows_between
 from retailloom.streaming.live import start_topic
 
@@ -138,3 +139,10 @@ def topic_of(rows: DataFrame) -> str:
 def publish(rows: DataFrame, servers: str, checkpoint: str, key: str | None = None, **trigger):
     """Rows as messages to the topic of their kind."""
     return start_topic(rows, servers, topic_of(rows), checkpoint, key, **trigger)
+
+
+def publish_folder(spark: SparkSession, folder: str, schema: StructType, servers: str, checkpoint: str,
+                   files_per_batch: int = 1000) -> None:
+    """The JSON Lines files of a folder to the topic of their kind, each file once; fields that a row lacks are left out."""
+    rows = json_lines_stream(spark, folder, None, files_per_batch, schema)
+    publish(rows, servers, checkpoint, "txn_id" if "txn_id" in rows.columns else "id", availableNow=True).awaitTermination()

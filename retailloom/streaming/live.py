@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import statistics
+from collections import deque
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from retailloom.functions.columns import profit, whole, whole_number
 from retailloom.functions.messages import from_messages, to_messages
@@ -71,6 +76,47 @@ def start_dashboard(messages: DataFrame, target, checkpoint: str, threshold: flo
             .trigger(**(trigger or {"processingTime": TRIGGER})).start())
 
 
+class Pace(StreamingQueryListener):
+    """Seconds that batches with rows took, from the trigger to the commit: the latest ``kept`` of them."""
+
+    def __init__(self, kept: int = 1000):
+        super().__init__()
+        self.seconds: deque[float] = deque(maxlen=kept)
+        self.rows = 0
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        if event.progress.numInputRows:
+            self.seconds.append(event.progress.batchDuration / 1000)
+            self.rows += event.progress.numInputRows
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def summary(self, within: float = 5.0) -> dict[str, float]:
+        """Batches, all rows seen, the median and longest time, and how many batches took longer than ``within``."""
+        taken = list(self.seconds)
+        return {"batches": len(taken), "rows": self.rows, "median_s": statistics.median(taken) if taken else 0.0,
+                "longest_s": max(taken, default=0.0), "late": sum(s > within for s in taken)}
+
+
+@contextmanager
+def watched(spark: SparkSession) -> Iterator[Pace]:
+    """The pace of the session's streams while in the block. Spark reports in the background, so the last batch may be
+    noted a moment after its commit."""
+    pace = Pace()
+    spark.streams.addListener(pace)
+    try:
+        yield pace
+    finally:
+        spark.streams.removeListener(pace)
+
+
 def labelled_alerts(messages: DataFrame, threshold: float = LOSS_THRESHOLD) -> DataFrame:
     """Finance sales with a heavy loss, under a warning label."""
     alerts = loss_alerts(with_profit(parse_events(messages), source=ERP), threshold)

@@ -1,0 +1,169 @@
+"""Sales kept by transaction, the pace of live streams, and the commands between topics and landing."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from retailloom import __main__ as command
+from retailloom.operators import ml
+from retailloom.plans import jobs
+from retailloom.schemas import FACT, FACT_PARTITIONS, LIVE_ALERTS
+from retailloom.sinks.buckets import PairedSales
+from retailloom.sinks.stores import Lake
+from retailloom.sinks.tables import ensure_table
+from retailloom.sources import files
+from retailloom.streaming import ingest, intake, live
+from tests.conftest import plan, tuples
+from tests.test_jobs import cfg, table  # noqa: F401
+from tests.test_streams import drop, event
+
+
+@pytest.fixture
+def paired(spark, database):
+    ensure_table(spark, f"{database}.sales", FACT, FACT_PARTITIONS)
+    found = PairedSales(f"{database}.paired_sales", 4)
+    found.ready(spark, f"{database}.sales")
+    return found
+
+
+def test_correlation_reads_buckets_without_an_exchange(spark, shop, paired):
+    paired.append(shop.fact)
+    rows = paired.rows(spark)
+    assert ml.promo_profit_corr(rows).first()["value"] == 0.6769
+    sides = rows.groupBy("txn_id").agg(F.count("*").alias("n"))
+    assert "Exchange" not in plan(sides)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pos, erp = (rows.where(F.col("source") == name).select("txn_id", F.lit(1).alias(name)) for name in ("pos", "erp"))
+        joined = pos.join(erp, "txn_id")
+        assert "SortMergeJoin" in plan(joined) and "Exchange" not in plan(joined)
+        assert joined.count() == 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    text = plan(ml.promo_profit_corr(rows))
+    assert "Exchange hashpartitioning" not in text and text.count("Exchange SinglePartition") == 1
+
+
+def test_repeated_batches_count_once(spark, shop, paired):
+    for _ in range(2):
+        paired.append(shop.fact)
+    assert paired.appends(spark) == 2 and spark.table(paired.table).count() == 20
+    assert paired.rows(spark).count() == 10  # six finance rows, four till lines
+    assert ml.promo_profit_corr(paired.rows(spark)).first()["value"] == 0.6769
+
+
+def test_compaction_and_its_break(spark, shop, paired, database, monkeypatch):
+    for day in range(3):
+        paired.append(shop.fact.where(F.col("txn_id") == f"L{day + 1:09d}"))
+    assert not paired.compact(spark, 3) and paired.compact(spark, 2)
+    assert paired.appends(spark) == 0 and len(spark.table(paired.table).inputFiles()) <= 4
+    before = tuples(paired.rows(spark))
+    paired.append(shop.fact)
+    sql = spark.sql
+
+    def broken(text, *a, **k):
+        if "RENAME" in text:
+            raise OSError("gone")
+        return sql(text, *a, **k)
+
+    monkeypatch.setattr(spark, "sql", broken)
+    with pytest.raises(OSError):
+        paired.compact(spark, 0)
+    monkeypatch.undo()
+    assert not spark.catalog.tableExists(paired.table)
+    paired.ready(spark, f"{database}.sales")
+    assert len(before) < paired.rows(spark).count() == 10
+    assert not spark.catalog.tableExists(f"{paired.table}_next")
+
+
+def test_a_fact_that_came_without_buckets(spark, shop, database):
+    ingest_table = f"{database}.sales"
+    ensure_table(spark, ingest_table, FACT, FACT_PARTITIONS)
+    ingest.append_fact(shop.fact, ingest_table)
+    found = PairedSales(f"{database}.paired_sales", 2)
+    found.ready(spark, ingest_table)
+    assert ml.promo_profit_corr(found.rows(spark)).first()["value"] == 0.6769
+
+
+def test_a_crash_before_the_fact_counts_once(spark, shop, paired, database, tmp_path, monkeypatch):
+    lake = Lake(str(tmp_path))
+    monkeypatch.setattr(ingest, "append_partitioned", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        ingest.append_fact(shop.fact, f"{database}.sales", lake, "q", 0, paired)
+    monkeypatch.undo()
+    ingest.append_fact(shop.fact, f"{database}.sales", lake, "q", 0, paired)
+    stored = spark.table(f"{database}.sales").where("source <> 'ecommerce'")
+    assert tuples(paired.rows(spark).select("txn_id", "source")) == tuples(stored.select("txn_id", "source"))
+
+
+def test_job_with_buckets(spark, cfg):  # noqa: F811
+    cfg.paired_buckets = 4
+    for _ in range(2):
+        results = jobs.run(spark, cfg)
+        assert all(r.ok for r in results.values()), results
+    assert table(spark, cfg, "report_promo_profit_corr").first()["value"] == 0.6769
+    assert "paired_sales" not in results["publish"].rows
+    jobs.reset(spark, cfg)
+    assert not spark.catalog.tableExists(cfg.paired.table)
+
+
+def test_clocked_dashboard_over_a_restart(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+
+    def run(pace):
+        seen = pace.rows
+        query = live.start_dashboard(spark.readStream.text(str(tmp_path / "topic")), lake, str(tmp_path / "checkpoint"),
+                                     processingTime="1 second")
+        try:
+            query.processAllAvailable()
+            for _ in range(100):  # the listener is told a moment later
+                if pace.rows > seen:
+                    break
+                query.awaitTermination(0.1)
+        finally:
+            query.stop()
+
+    with live.watched(spark) as pace:
+        drop(tmp_path / "topic", "1.json", event(1, 0, 500), event(2, 10, 5))
+        run(pace)
+        drop(tmp_path / "topic", "2.json", event(3, 0, 700))
+        run(pace)
+    assert tuples(lake.read_batches(spark, "rt_alerts", LIVE_ALERTS).select("txn_id")) == [("T1",), ("T3",)]
+    summary = pace.summary(within=0.0)
+    assert summary["batches"] == 2 == summary["late"] and summary["rows"] == 3
+    assert 0 < summary["median_s"] <= summary["longest_s"]
+    assert live.Pace().summary() == {"batches": 0, "rows": 0, "median_s": 0.0, "longest_s": 0.0, "late": 0}
+
+
+def test_publish_and_land_commands(spark, cfg, tmp_path, monkeypatch):  # noqa: F811
+    """The broker is replaced by a folder for each topic."""
+    def to_folder(rows, servers, topic, checkpoint, key, **trigger):
+        sent = intake_messages(rows, topic, key)
+        return sent.writeStream.foreachBatch(lambda batch, _: batch.select("value").write.mode("append").text(
+            f"{tmp_path}/broker/{topic}")).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+    from retailloom.functions.messages import to_messages as intake_messages
+    monkeypatch.setattr(intake, "start_topic", to_folder)
+    monkeypatch.setattr(command, "topic_stream", lambda spark, servers, topic, starting: spark.readStream.text(
+        f"{tmp_path}/broker/{topic}"))
+    (tmp_path / "out").mkdir()
+    (tmp_path / "moves").mkdir()
+    (tmp_path / "out" / "1.json").write_text(json.dumps(
+        {"source": "erp", "txn_id": "L77", "qty": 1, "revenue": 5.0, "cost": 2.0, "txn_date": "2026-07-02"}) + "\n")
+    (tmp_path / "moves" / "1.json").write_text(json.dumps({"id": 900, "product_id": "P", "loai": "nhap", "qty": 3}) + "\n")
+    settings = {name: getattr(cfg, name) for name in
+                ("database", "landing", "movements", "customers", "product", "lake", "checkpoint")}
+    settings |= {"snapshot_date": "2026-08-03", "live": {
+        "servers": "none", "outbox": {"sales": str(tmp_path / "out"), "movements": str(tmp_path / "moves")}}}
+    (tmp_path / "settings.json").write_text(json.dumps(settings))
+    before = files.json_lines(spark, cfg.landing).count()
+    for _ in range(2):  # each file and each message once
+        assert command.main(["publish", str(tmp_path / "settings.json")]) == 0
+        assert command.main(["land", str(tmp_path / "settings.json")]) == 0
+    landed = files.json_lines(spark, cfg.landing)
+    assert landed.count() == before + 1 and landed.where("txn_id = 'L77'").count() == 1
+    jobs.ingest(spark, jobs.Config(**{k: v for k, v in settings.items() if k not in ("live", "snapshot_date")},
+                                   snapshot_date=cfg.snapshot_date))
+    assert table(spark, cfg, "sales").where("txn_id = 'L77'").count() == 1
+    assert Lake(cfg.lake).read_batches(spark, "movements", jobs.MOVEMENT).where("id = 900 and kind = 'inbound'").count() == 1
