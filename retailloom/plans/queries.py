@@ -391,7 +391,7 @@ def promo_profit_buckets(star: Star) -> DataFrame:
     paired = PairedSales(f"{database}.paired_sales", PAIRED_BUCKETS)
     paired.ready(star.spark, f"{database}.fact")
     for _ in range(2):
-        paired.append(normalize.union_sources(pos, erp.where("false")))
+        paired.append(normalize.union_sources(pos, erp.where("false")), "tills", 0)
     return ml.promo_profit_corr(paired.rows(star.spark))
 
 

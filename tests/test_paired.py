@@ -28,7 +28,7 @@ def paired(spark, database):
 
 
 def test_correlation_reads_buckets_without_an_exchange(spark, shop, paired):
-    paired.append(shop.fact)
+    paired.append(shop.fact, "q", 0)
     rows = paired.rows(spark)
     assert ml.promo_profit_corr(rows).first()["value"] == 0.6769
     sides = rows.groupBy("txn_id").agg(F.count("*").alias("n"))
@@ -47,19 +47,29 @@ def test_correlation_reads_buckets_without_an_exchange(spark, shop, paired):
 
 def test_repeated_batches_count_once(spark, shop, paired):
     for _ in range(2):
-        paired.append(shop.fact)
+        paired.append(shop.fact, "q", 7)
     assert paired.appends(spark) == 2 and spark.table(paired.table).count() == 20
     assert paired.rows(spark).count() == 10  # six finance rows, four till lines
     assert ml.promo_profit_corr(paired.rows(spark)).first()["value"] == 0.6769
 
 
+def test_rows_that_share_an_id_all_count(spark, paired):
+    rows = spark.createDataFrame([("A", "pos", 1, None, None), ("A", "pos", 1, None, None), ("A", "pos", 0, None, None),
+                                  ("A", "erp", None, 2.0, 1.0), ("B", "ecommerce", None, 2.0, 1.0), (None, "pos", 1, None, None)],
+                                 "txn_id string, source string, promotion int, revenue double, cost double")
+    for _ in range(2):
+        paired.append(rows, "q", 0)
+    paired.append(rows.where("source = 'erp'"), "q", 1)
+    assert tuples(paired.rows(spark).groupBy("source").count()) == [("erp", 2), ("pos", 3)]
+
+
 def test_compaction_and_its_break(spark, shop, paired, database, monkeypatch):
     for day in range(3):
-        paired.append(shop.fact.where(F.col("txn_id") == f"L{day + 1:09d}"))
+        paired.append(shop.fact.where(F.col("txn_id") == f"L{day + 1:09d}"), "q", day)
     assert not paired.compact(spark, 3) and paired.compact(spark, 2)
     assert paired.appends(spark) == 0 and len(spark.table(paired.table).inputFiles()) <= 4
     before = tuples(paired.rows(spark))
-    paired.append(shop.fact)
+    paired.append(shop.fact.where("txn_id = 'L000000004'"), "q", 3)
     sql = spark.sql
 
     def broken(text, *a, **k):
@@ -73,7 +83,7 @@ def test_compaction_and_its_break(spark, shop, paired, database, monkeypatch):
     monkeypatch.undo()
     assert not spark.catalog.tableExists(paired.table)
     paired.ready(spark, f"{database}.sales")
-    assert len(before) < paired.rows(spark).count() == 10
+    assert len(before) + 2 == paired.rows(spark).count() == 8
     assert not spark.catalog.tableExists(f"{paired.table}_next")
 
 
