@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,10 +18,11 @@ def _need(size: Column, percent: int) -> Column:
     return F.floor((size * percent + 99) / 100).cast("int")
 
 
-def shingle_rows(texts: DataFrame, words: int) -> DataFrame:
+def shingle_rows(texts: DataFrame, words: int, shorter: Sequence[int] = ()) -> DataFrame:
     """One row per place of a shingle: the columns of ``texts`` but ``text``, ``n_places``, ``w0`` ... and ``h``.
 
-    Words are lower-case runs of letters and digits. A text of fewer words than a shingle has is one shingle.
+    Words are lower-case runs of letters and digits. A text of fewer words than a shingle has is one shingle. Each place
+    also has its runs of as many words as ``shorter`` names; the words that they lack are null.
     """
     kept = [c for c in texts.columns if c != "text"]
     split = texts.select(*kept, F.array_remove(F.split(F.lower(F.coalesce("text", F.lit(""))), BREAK), "").alias("w0"))
@@ -29,6 +32,10 @@ def shingle_rows(texts: DataFrame, words: int) -> DataFrame:
     rows = shifted.select(*kept, "n_words", F.posexplode(F.arrays_zip(*names)).alias("pos", "at"))
     whole = F.col(f"at.w{words - 1}").isNotNull() | ((F.col("n_words") < words) & (F.col("pos") == 0))
     parts = [F.col(f"at.{name}") for name in names]
+    if shorter:
+        rows = rows.withColumn("run", F.explode(F.array(*[F.lit(k) for k in (*shorter, words)])))
+        whole = F.when(F.col("run") == words, whole).otherwise(F.col("pos") + F.col("run") <= F.col("n_words"))
+        parts = [F.when(F.col("run") > i, part) for i, part in enumerate(parts)]
     return rows.where(whole).select(
         *kept, F.greatest(F.col("n_words") - (words - 1), F.lit(1)).alias("n_places"),
         *[part.alias(name) for part, name in zip(parts, names)], F.xxhash64(*parts).alias("h"))
@@ -45,9 +52,9 @@ def contained_items(docs: DataFrame, items: DataFrame, words: int = WORDS, perce
     are then checked on the words of all their shingles.
 
     Documents are told apart by doc_id and the hash of the text: a repeated row counts once, a null id is an id.
-    Null, empty and wordless texts and items hold nothing. An item of fewer words than a shingle has is found only in
-    a document of exactly these words: it is not searched for inside longer ones. Empty tables give no rows. Columns other than ids and
-    texts are not read. Sketches and item shingles are written, so that Spark broadcasts them by their true size
+    Null, empty and wordless texts and items hold nothing. An item of fewer words than a shingle has is one shingle, found
+    wherever its words follow each other: documents get shingles of just the lengths that such items have. Empty tables
+    give no rows. Columns other than ids and texts are not read. Sketches and item shingles are written, so that Spark broadcasts them by their true size
     and merges sorted sides beyond its threshold.
     """
     names = [f"w{i}" for i in range(words)]
@@ -56,6 +63,8 @@ def contained_items(docs: DataFrame, items: DataFrame, words: int = WORDS, perce
         shingle_rows(items.select("item_id", F.xxhash64("text").alias("item_hash"), "text"), words)
         .drop("n_places").distinct(), "items")
     item = ["item_id", "item_hash"]
+    length = F.size(F.array_compact(F.array(*names)))
+    shorter = sorted(r[0] for r in of_items.where(length < words).select(length).distinct().collect())  # under ``words``
     sets = of_items.groupBy(*item).agg(F.array_sort(F.collect_set("h")).alias("hashes"), F.count("*").alias("q"))
     largest = F.pow(F.lit(2), F.floor(F.log2("q")) + 1).cast("int") - 1
     spare = largest - _need(largest, percent) + 1
@@ -63,14 +72,14 @@ def contained_items(docs: DataFrame, items: DataFrame, words: int = WORDS, perce
         sets.select(*item, "q", _need(F.col("q"), percent).alias("need"),
                     F.explode(F.slice("hashes", 1, spare)).alias("h")), "sketches")
     candidates = materialize(
-        shingle_rows(keyed, words).drop(*names)
+        shingle_rows(keyed, words, shorter).drop(*names)
         .join(sketches, "h").where("n_places >= need")
         .groupBy("doc_id", "text_hash", *item, "q", "need").agg(F.lit(1).alias("hit")).drop("hit"), "candidates")
     again = keyed.join(
         candidates.select(F.col("doc_id").alias("c_id"), F.col("text_hash").alias("c_hash")).distinct(),
         F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("text_hash") == F.col("c_hash")), "left_semi")
     same = [F.col(f"d.{name}").eqNullSafe(F.col(f"i.{name}")) for name in names]
-    places = shingle_rows(again, words).alias("d")
+    places = shingle_rows(again, words, shorter).alias("d")
     hits = places.join(of_items.alias("i"), [F.col("d.h") == F.col("i.h"), *same]).select(
         "d.doc_id", "d.text_hash", "i.item_id", "i.item_hash", "i.h", *[f"i.{name}" for name in names])
     shared = hits.groupBy("doc_id", "text_hash", *item).agg(F.count_distinct(F.struct(*names)).alias("shared"))

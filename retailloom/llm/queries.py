@@ -106,11 +106,15 @@ ORACLE: dict[str, str] = {
             UNION ALL
             SELECT 'i', item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')
             FROM benchmark),
+        short AS (SELECT DISTINCT len(w) AS k FROM words WHERE side = 'i' AND len(w) BETWEEN 1 AND 4),
         shingles AS (
             SELECT side, id, unnest(list_distinct(CASE WHEN len(w) >= 5
                 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
                 WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s
-            FROM words),
+            FROM words
+            UNION
+            SELECT side, id, unnest(list_distinct(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))))
+            FROM words, short WHERE side = 'd' AND len(w) >= k),
         sizes AS (SELECT id, count(*) AS q FROM shingles WHERE side = 'i' GROUP BY id),
         shared AS (
             SELECT d.id AS doc_id, i.id AS item_id, count(*) AS shared
@@ -125,10 +129,12 @@ ORACLE: dict[str, str] = {
         placed AS (
             SELECT doc_id, place, length(unit) AS size,
                    sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY place) AS until,
+                   coalesce(right(lag(unit) OVER (PARTITION BY doc_id ORDER BY place), 1) = chr(10), TRUE)
+                       AND (right(unit, 1) = chr(10) OR lead(unit) OVER (PARTITION BY doc_id ORDER BY place) IS NULL) AS line,
                    trim(regexp_replace(lower(unit), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm
             FROM tiles),
         units AS (
-            SELECT doc_id, until - size AS start, until AS "end", norm, len(string_split(norm, ' ')) AS words,
+            SELECT doc_id, until - size AS start, until AS "end", norm, line, len(string_split(norm, ' ')) AS words,
                    row_number() OVER (PARTITION BY doc_id ORDER BY place) AS pos
             FROM placed WHERE norm <> ''),
         repeats AS (
@@ -137,7 +143,7 @@ ORACLE: dict[str, str] = {
         runs AS (
             SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM repeats),
         removed AS (
-            SELECT * FROM (SELECT *, sum(words) OVER (PARTITION BY doc_id, run) AS n FROM runs) WHERE n >= 8),
+            SELECT * FROM (SELECT *, sum(words) OVER (PARTITION BY doc_id, run) AS n FROM runs) WHERE line OR n >= 8),
         spans AS (
             SELECT doc_id, count(*) AS n_removed, sum("end" - start) AS chars,
                    string_agg(concat(CAST(start AS BIGINT), ':', CAST("end" AS BIGINT)), ',' ORDER BY start) AS spans

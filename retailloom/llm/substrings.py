@@ -20,7 +20,7 @@ FRAME = 20_000  # units that a task hands on at once
 UNIT = re.compile(r"[\x20\x09\x0B-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]+){4}[^\n]*?(?:[.!?,;:] |\n|\Z)"
                   r"|[^\n]+(?:\n|\Z)|\n")
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
-UNITS = "row long, doc_id string, pos int, start int, end int, words int, digest binary"
+UNITS = "row long, doc_id string, pos int, start int, end int, words int, line boolean, digest binary"
 
 
 def _units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -28,12 +28,14 @@ def _units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
         for row, doc_id, text in zip(batch["row"], batch["doc_id"], batch["text"]):
-            out.append((row, doc_id, -1, 0, len(text), 0, None))
+            out.append((row, doc_id, -1, 0, len(text), 0, False, None))
             pos = 0
             for match in UNIT.finditer(text):
                 words = [word for word in SPACE.split(match.group().lower()) if word]
                 if words:
-                    out.append((row, doc_id, pos, match.start(), match.end(), len(words),
+                    start, end = match.span()
+                    line = (start == 0 or text[start - 1] == "\n") and (end == len(text) or text[end - 1] == "\n")
+                    out.append((row, doc_id, pos, start, end, len(words), line,
                                 xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"))))
                     pos += 1
             if len(out) > FRAME:
@@ -43,7 +45,7 @@ def _units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["row", "doc_id", "pos", "start", "end", "words", "digest"])
+    return pd.DataFrame(rows, columns=["row", "doc_id", "pos", "start", "end", "words", "line", "digest"])
 
 
 def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS, row: str | None = None) -> DataFrame:
@@ -53,10 +55,11 @@ def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS, row: str | None
 
     Units hold five words at least, but for the ends of lines. They are lower-cased and their white space is folded
     before hashing (128 bits). Of equal units the one of the smallest doc_id, then row, then position stays (null ids
-    last). The others go if the run of neighbouring units that all repeat has ``min_words`` words at least: one short
-    line that happens to recur is left.
-    Empty and null texts have no units. A repeated row loses all its units of enough words. An empty table gives
-    no rows.
+    last). Of the others, whole lines go whatever their length; clauses cut out of a longer line, and the ends of such
+    lines, go if the run of neighbouring units that all repeat has ``min_words`` words at least, as a short clause recurs by
+    chance.
+    Empty and null texts have no units. A repeated row loses all its lines, and its clauses of enough words. An empty
+    table gives no rows.
 
     The digests are summed before the shuffle, and the join back has one row per repeated digest on its smaller
     side: a line that a third of all documents share is split by AQE, never gathered.
@@ -69,11 +72,11 @@ def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS, row: str | None
     first = (body.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
              .select("digest", F.col("first.row").alias("first_row"), F.col("first.pos").alias("first_pos")))
     repeats = (body.join(first, "digest").where("row != first_row or pos != first_pos")
-               .select("row", "pos", "start", "end", "words"))
+               .select("row", "pos", "start", "end", "words", "line"))
     in_text = Window.partitionBy("row").orderBy("pos")
     runs = repeats.withColumn("run", F.col("pos") - F.row_number().over(in_text))
     removed = (runs.withColumn("run_words", F.sum("words").over(Window.partitionBy("row", "run")))
-               .where(F.col("run_words") >= min_words).groupBy("row")
+               .where(F.col("line") | (F.col("run_words") >= min_words)).groupBy("row")
                .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans")))
     counted = body.groupBy("row").agg(F.count("*").alias("n_units"))
     return (units.where("pos < 0").select("row", "doc_id", F.col("end").alias("n_chars"))

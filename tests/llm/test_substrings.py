@@ -23,11 +23,19 @@ def brute(texts, least):
                 runs.append([])
             seen.add(key)
         for run in runs:
-            if sum(n for _, _, n in run) >= least:
-                out[doc_id] += [(a, b) for a, b, _ in run]
+            enough = sum(n for _, _, n in run) >= least
+            out[doc_id] += [(a, b) for a, b, _ in run if enough or texts[doc_id][a:b] in whole_lines(texts[doc_id], a)]
     return out
 
 
+def whole_lines(text, at):
+    """The line that starts at this place, with or without its end."""
+    if at and text[at - 1] != "\n":
+        return ()
+    line = text[at:].split("\n")[0]
+    return (line + "\n",) if at + len(line) < len(text) else (line,)
+
+
 def test_equals_brute_force(documents):
     rng = random.Random(1)
     sentences = [" ".join(rng.choice("alpha beta gamma delta eps zeta".split()) for _ in range(rng.randint(1, 9)))
@@ -60,9 +68,15 @@ def test_cut_text_keeps_columns(documents):
     assert rows[2]["lang"] == "en" and [tuple(s) for s in rows[2]["spans"]] == [(0, len(line))]
 
 
-def test_case_and_white_space_are_folded_and_short_units_stay(documents):
-    docs = documents([(1, "A b c d e f g H\nshort one\n"), (2, "a  B c d\te f g h\nnew\nshort one\n")])
-    assert spans_of(substrings.repeated_units(docs)) == {1: [], 2: [(0, 17)]}
+def test_case_and_white_space_are_folded_and_short_lines_go(documents):
+    docs = documents([(1, "A b c d e f g H\nshort one\n"), (2, "a  B c d\te f g h\nnew\nshort one\n"), (3, "x y\nShort  one")])
+    assert spans_of(substrings.repeated_units(docs)) == {1: [], 2: [(0, 17), (21, 31)], 3: [(4, 14)]}
+
+
+def test_short_clauses_inside_a_line_stay(documents):
+    docs = documents([(1, "One two three four five. Yes. And so on it goes here."), (2, "One two three four five. Six other words are in here."),
+                      (3, "Six more words than that here. Yes.")])
+    assert spans_of(substrings.repeated_units(docs)) == {1: [], 2: [], 3: []}
 
 
 def test_repeated_rows_null_ids_and_empty_texts(documents, empty):
