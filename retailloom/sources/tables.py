@@ -10,23 +10,59 @@ from pyspark.sql import functions as F
 
 from retailloom.functions.columns import id_number
 
+MOST_RANGES = 32  # ranges of ids that a scan is given as they are
+
 
 def rows_after(table: DataFrame, last_id: int | Column, column: str = "id") -> DataFrame:
     """Rows added since ``last_id``; the bound is pushed to the scan."""
     return table.where(F.col(column) > F.lit(last_id))
 
 
+def _apart(ranges: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same ids as ranges in order that neither overlap nor touch."""
+    out: list[tuple[int, int]] = []
+    for low, high in sorted((int(low), int(high)) for low, high in ranges if low <= high):
+        if out and low <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(high, out[-1][1]))
+        else:
+            out.append((low, high))
+    return out
+
+
+def _grouped(ranges: list[tuple[int, int]], most: int = MOST_RANGES) -> list[list[tuple[int, int]]]:
+    """At most ``most`` groups of neighbouring ranges."""
+    size = max(1, -(-len(ranges) // most))
+    return [ranges[i:i + size] for i in range(0, len(ranges), size)]
+
+
 def rows_between(table: DataFrame, ranges: Sequence[tuple[int, int]], column: str = "id") -> DataFrame:
-    """Rows whose id lies in one of the ranges, ends included; the ranges are pushed to the scan."""
-    near = [F.col(column).between(low, high) for low, high in ranges]
-    return table.where(reduce(Column.__or__, near, F.lit(False)))
+    """Rows whose id lies in one of the ranges, ends included; the ranges are pushed to the scan.
+
+    More than ``MOST_RANGES`` are pushed in groups and then joined: a range of up to 2^k ids touches at most two
+    of the blocks of 2^k ids, and a row is looked up in its own block of each size that occurs. A block holds at most three of
+    them, so the look-up stays small however many ranges there are. They come from the driver, and go back by broadcast.
+    """
+    known = _apart(ranges)
+    groups = _grouped(known)
+    near = [F.col(column).between(group[0][0], group[-1][1]) for group in groups]
+    rows = table.where(reduce(Column.__or__, near, F.lit(False)))
+    if len(groups) == len(known):
+        return rows
+    placed = {(k, low, high, block) for low, high in known for k in [(high - low).bit_length()]
+              for block in (low >> k, high >> k)}
+    blocks = F.broadcast(table.sparkSession.createDataFrame(
+        sorted(placed), "_size int, _low long, _high long, _block long"))
+    sizes = F.array(*[F.lit(k) for k in sorted({k for k, *_ in placed})])
+    looked_up = rows.withColumn("_size", F.explode(sizes)).withColumn("_block", F.expr(f"shiftright(CAST(`{column}` AS BIGINT), _size)"))
+    found = looked_up.join(blocks, ["_size", "_block"]).where(F.col(column).between(F.col("_low"), F.col("_high")))
+    return found.select(*table.columns)
 
 
 def jdbc_rows_between(spark: SparkSession, url: str, table: str, ranges: Sequence[tuple[int, int]], properties: dict[str, str],
                       column: str = "id") -> DataFrame:
-    """The same over JDBC, one task per range."""
-    return spark.read.jdbc(url, table, predicates=[f"{column} between {int(low)} and {int(high)}" for low, high in ranges],
-                           properties=properties)
+    """The same over JDBC, one task per range, or per group of neighbouring ones if there are more than ``MOST_RANGES``."""
+    tests = [" or ".join(f"{column} between {low} and {high}" for low, high in group) for group in _grouped(_apart(ranges))]
+    return spark.read.jdbc(url, table, predicates=tests, properties=properties)
 
 
 def islands(rows: DataFrame, column: str = "id", block: int = 1 << 16) -> list[tuple[int, int]]:

@@ -13,7 +13,7 @@ from retailloom.operators.normalize import (
     flatten_invoices, normalize_ecommerce, normalize_erp, normalize_pos, parse_invoices)
 from retailloom.schemas import INVENTORY_TOPIC, SALES_TOPIC, SENT_KIND
 from retailloom.sinks.stores import Lake
-from retailloom.sources.files import exists, json_lines_stream
+from retailloom.sources.files import exists, json_lines_stream, land as land_rows
 from retailloom.sources.tables import islands, jdbc_rows_after, jdbc_rows_between, rows_after, rows_between
 from retailloom.streaming.live import start_topic
 
@@ -29,7 +29,7 @@ def take_invoices(spark: SparkSession, folder: str, landing: str, checkpoint: st
     then see no others there.
     """
     def land(batch: DataFrame, _: int) -> None:
-        normalize_pos(flatten_invoices(parse_invoices(batch))).write.mode("append").json(landing)
+        land_rows(normalize_pos(flatten_invoices(parse_invoices(batch))), landing)
 
     messages = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
     (messages.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
@@ -75,13 +75,19 @@ class Taken:
     def after(self, found: list[tuple[int, int]], patience: int) -> Taken:
         """After one more turn that landed the ids ``found``, as runs in order; gaps older than ``patience`` are closed."""
         turn, last, gaps = self.turn + 1, self.last, []
+        at = 0  # of ``found``; gaps are in order too, so each run is met once, or at the ends of the gaps it spans
         for low, high, since in self.gaps:
             start = low
-            for first, end in found:
-                if first <= high and end >= start:
-                    if first > start:
-                        gaps.append((start, first - 1, since))
-                    start = max(start, end + 1)
+            while at < len(found) and found[at][1] < low:
+                at += 1
+            while at < len(found) and found[at][0] <= high:
+                first, end = found[at]
+                if first > start:
+                    gaps.append((start, first - 1, since))
+                start = end + 1
+                if end > high:
+                    break
+                at += 1
             if start <= high:
                 gaps.append((start, high, since))
         for first, end in found:
@@ -124,7 +130,7 @@ def take_table(spark: SparkSession, feed: Feed, landing: str, marks: Lake, patie
         return before.last
     after = before.after(found, patience)
     if found:
-        feed.normalise(rows.where(F.col(feed.column) <= F.lit(after.last))).write.mode("append").json(landing)
+        land_rows(feed.normalise(rows.where(F.col(feed.column) <= F.lit(after.last))), landing)
     read = sum(high - low + 1 for low, high in found)
     spark.createDataFrame([(feed.name, read, after.last, after.turn, list(after.gaps))], MARK).coalesce(1).write.mode(
         "append").json(marks.path(f"marks/{feed.name}"))

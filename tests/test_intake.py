@@ -11,7 +11,7 @@ import __spark_entry__ as contract
 from retailloom.schemas import INVENTORY_TOPIC, SALES_TOPIC
 from retailloom.sinks.stores import Lake
 from retailloom.sources.files import json_lines
-from retailloom.sources.tables import islands
+from retailloom.sources.tables import islands, jdbc_rows_between, rows_between
 from retailloom.streaming import intake
 from tests.compare import TABLES, connect, difference
 from tests.conftest import tuples
@@ -109,3 +109,30 @@ def test_no_row_is_lost_over_several_large_partitions(spark, tmp_path):
             FROM ({contract.oracle_sql()["intake_to_landing"]}) GROUP BY source""") is None
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_rows_between_many_ranges(spark, monkeypatch):
+    """More ranges than a condition can hold: short and long ones, overlapping, negative, at the blocks' ends."""
+    rng = random.Random(7)
+    ranges = [(i, i) for i in range(17, 60_000, 10)] + [(low, low + rng.randrange(40)) for low in rng.sample(range(60_000), 500)]
+    ranges += [(-50, -40), (0, 3), (7, 5), (40_000, 44_096), (1 << 33, (1 << 34) + 5)]
+    rng.shuffle(ranges)
+    table = spark.range(-100, 60_000).union(spark.range(1 << 33, (1 << 33) + 50)).union(spark.range((1 << 34) - 3, (1 << 34) + 9))
+    rows = table.union(table.where("id < 100")).selectExpr("id", "-id AS other").union(spark.sql("SELECT null, null"))
+    wanted = {i for low, high in ranges if high < 1 << 33 for i in range(low, high + 1)}
+    wanted |= {*range(1 << 33, (1 << 33) + 50), *range((1 << 34) - 3, (1 << 34) + 6)}
+    held = [r["id"] for r in rows.collect()]
+    found = rows_between(rows, ranges)
+    assert found.columns == ["id", "other"]
+    assert sorted(r["id"] for r in found.collect()) == sorted(i for i in held if i in wanted)
+    assert rows_between(rows, []).isEmpty()
+    asked = []
+    monkeypatch.setattr(type(spark.read), "jdbc", lambda self, url, table, predicates, properties: asked.extend(predicates))
+    jdbc_rows_between(spark, "jdbc:x", "t", ranges, {})
+    assert 1 < len(asked) <= 32 and asked[0].startswith("id between -50 and -40 or id between 0 and 3 or")
+
+
+def test_marks_of_many_gaps_take_one_pass():
+    gaps = tuple((10 * i, 10 * i + 4, 1) for i in range(1, 200_000))
+    after = intake.Taken(3_000_000, 1, gaps).after([(10 * i + 1, 10 * i + 1) for i in range(1, 200_000)], 99)
+    assert after.gaps[:3] == ((10, 10, 1), (12, 14, 1), (20, 20, 1)) and len(after.gaps) == 2 * len(gaps)
