@@ -96,6 +96,23 @@ def test_a_fact_that_came_without_buckets(spark, shop, database):
     assert ml.promo_profit_corr(found.rows(spark)).first()["value"] == 0.6769
 
 
+def test_buckets_follow_the_rows(spark, shop, database, monkeypatch):
+    """A bucket's rows are bounded: more sales, more buckets, at the first write and at a compaction."""
+    def number():
+        return int(spark.sql(f"DESCRIBE EXTENDED {found.table}").where("col_name = 'Num Buckets'").first()["data_type"])
+
+    monkeypatch.setattr("retailloom.sinks.buckets.BUCKET_ROWS", 2)
+    ensure_table(spark, f"{database}.sales", FACT, FACT_PARTITIONS)
+    ingest.append_fact(shop.fact, f"{database}.sales")
+    found = PairedSales(f"{database}.paired_sales", 2)
+    found.ready(spark, f"{database}.sales")  # six finance rows and four of the tills
+    assert number() == 8
+    found.append(shop.fact.withColumn("txn_id", F.concat("txn_id", F.lit("x"))), "q", 0)
+    assert number() == 8 and found.rows(spark).count() == 20
+    assert found.compact(spark, 0) and number() == 16 and found.rows(spark).count() == 20
+    assert "Exchange" not in plan(found.rows(spark).groupBy("txn_id").agg(F.count("*").alias("n")))
+
+
 def test_a_crash_before_the_fact_counts_once(spark, shop, paired, database, tmp_path, monkeypatch):
     lake = Lake(str(tmp_path))
     monkeypatch.setattr(ingest, "append_partitioned", lambda *a, **k: 1 / 0)
