@@ -32,7 +32,8 @@ FALL = 0.01  # by which the logarithm of a price falls from nothing covered to a
 LONGER = 0.01  # by which a sequence filled by one piece is worth more, so that short pieces stay for later gaps
 REST = 0.05  # share of the tokens left to best fit
 PIECES = "row long, doc_id string, piece int, start long, length long, ids_crc32 long"
-CACHED_WORDS = 1_000_000  # distinct parts of texts that a Python worker keeps, about 200 MB
+CACHED_WORDS = 400_000  # distinct parts of texts that a Python worker keeps, about 80 MB
+CACHED_LENGTH = 32  # characters of the longest part that is kept, so that the number bounds the memory
 
 
 def default_tokenizer() -> str:
@@ -42,7 +43,7 @@ def default_tokenizer() -> str:
 
 
 class _Parts(dict):
-    """The ids of each part of a text, encoded by the tokenizer's model when it is first met."""
+    """The ids of each part of a text, encoded by the tokenizer's model when it is first met, and kept if it is short."""
 
     def __init__(self, model):
         super().__init__()
@@ -53,7 +54,9 @@ class _Parts(dict):
 
     def __missing__(self, part: str) -> bytes:
         spelt = part.encode().decode("latin-1").translate(self.spelt)
-        self[part] = ids = array("I", [token.id for token in self.model.tokenize(spelt)]).tobytes()
+        ids = array("I", [token.id for token in self.model.tokenize(spelt)]).tobytes()
+        if len(part) <= CACHED_LENGTH:
+            self[part] = ids
         return ids
 
 

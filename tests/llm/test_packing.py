@@ -47,6 +47,15 @@ def test_a_full_cache_starts_anew(model, monkeypatch):
         assert [[*array("I", tokenizer.encode(t)), 1] for t in texts] == [whole(model, t) for t in texts]
 
 
+def test_long_parts_are_not_kept(model):
+    """The cache is bounded in memory, not only in number."""
+    tokenizer = packing.WordTokenizer(packing.default_tokenizer())
+    text = "ab " + "x" * 50_000 + " " + "-" * 5_000 + " cd"
+    for _ in range(2):
+        assert [*array("I", tokenizer.encode(text)), 1] == whole(model, text)
+    assert set(tokenizer.parts) == {"ab", "cd"}
+
+
 def check(rows, texts, model, capacity):
     by_sequence, by_doc = {}, {}
     for r in rows:
