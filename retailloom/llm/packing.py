@@ -10,9 +10,10 @@ from __future__ import annotations
 import logging
 import os
 import re
+import string
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,8 +33,9 @@ FALL = 0.01  # by which the logarithm of a price falls from nothing covered to a
 LONGER = 0.01  # by which a sequence filled by one piece is worth more, so that short pieces stay for later gaps
 REST = 0.05  # share of the tokens left to best fit
 PIECES = "row long, doc_id string, piece int, start long, length long, ids_crc32 long"
-CACHED_WORDS = 400_000  # distinct parts of texts that a Python worker keeps, about 80 MB
-CACHED_LENGTH = 32  # characters of the longest part that is kept, so that the number bounds the memory
+CACHED_WORDS, CACHED_PARTS = 100_000, 400_000  # distinct words, and parts of them, that a Python worker keeps: about 80 MB
+RENEWED = 20
+CACHED_LENGTH = 32  # characters of the longest of them that is kept, so that the number bounds the memory
 
 
 def default_tokenizer() -> str:
@@ -42,34 +44,42 @@ def default_tokenizer() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
-class _Parts(dict):
-    """The ids of each part of a text, encoded by the tokenizer's model when it is first met, and kept if it is short."""
+class _Kept(dict):
+    """What ``make`` returns for a text: the first ``most`` results, for short texts alone, as frequent texts come early.
+    Starts anew when ``RENEWED`` times as many were not found, since other texts may be frequent by then."""
 
-    def __init__(self, model):
+    def __init__(self, make: Callable[[str], bytes], most: int):
         super().__init__()
-        self.model = model
-        # The model spells bytes as characters: printable ones as themselves, the others from U+0100 on, in order.
-        shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-        self.spelt = {byte: chr(0x100 + i) for i, byte in enumerate(b for b in range(256) if b not in shown)}
+        self.make, self.most, self.missed = make, most, 0
+
+    def __missing__(self, text: str) -> bytes:
+        made = self.make(text)
+        if len(self) < self.most:
+            if len(text) <= CACHED_LENGTH:
+                self[text] = made
+        elif self.missed < RENEWED * self.most:
+            self.missed += 1
+        else:
+            self.missed = 0
+            self.clear()
+        return made
 
-    def __missing__(self, part: str) -> bytes:
-        spelt = part.encode().decode("latin-1").translate(self.spelt)
-        ids = array("I", [token.id for token in self.model.tokenize(spelt)]).tobytes()
-        if len(part) <= CACHED_LENGTH:
-            self[part] = ids
-        return ids
+
+class _Other(Exception):
+    """A word is not of Latin letters alone."""
 
 
 class WordTokenizer:
     """Token ids, as little-endian 32-bit numbers, for a tokenizer that drops white space and never joins across it.
 
-    A text of Latin letters is put into small letters and parted here, by the tokenizer's own rule, and each distinct
-    part is encoded once by the tokenizer's model and kept. Any other text is encoded as a whole.
+    A text of Latin letters is cut at white space. A word that is not known is put into small letters and parted here, by
+    the tokenizer's own rule, and a part that is not known is encoded by the tokenizer's model. Any other text is encoded
+    as a whole.
     """
 
-    # Beyond Latin letters normalising can change what is beside a letter; one capital has two small letters; and four
-    # control characters are white space for Python alone.
-    OTHER = re.compile("[^\x00-\u024f]|[\x1c-\x1f\u0130]")
+    # Beyond Latin letters normalising can change what is beside a letter; one capital has two small letters.
+    OTHER = re.compile("[^\x00-\u024f]|\u0130")
+    SPACES = "\x1c\x1d\x1e\x1f"  # white space for Python alone
     # Fixed value: the tokenizer's rule 's|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+, for these letters.
     PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾]|(?:[^\w\s]|_)+")
 
@@ -79,14 +89,34 @@ class WordTokenizer:
 
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True
-        self.parts = _Parts(self.whole.model)
+        self.model = self.whole.model
+        # The model spells bytes as characters: printable ones as themselves, the others from U+0100 on, in order.
+        shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+        self.spelt = {byte: chr(0x100 + i) for i, byte in enumerate(b for b in range(256) if b not in shown)}
+        self.parts = _Kept(self._part, CACHED_PARTS)
+        self.words = _Kept(self._word, CACHED_WORDS)
+
+    def _part(self, part: str) -> bytes:
+        plain = part.isascii() and part.isprintable()
+        spelt = part if plain else part.encode().decode("latin-1").translate(self.spelt)
+        return array("I", [token.id for token in self.model.tokenize(spelt)]).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        if not word.isascii() and self.OTHER.search(word):
+            raise _Other
+        stem = word.rstrip(string.punctuation)
+        if stem.isalpha():  # no need to part it: letters, then signs
+            signs = word[len(stem):]
+            return self.parts[stem.lower()] + self.parts[signs] if signs else self.parts[stem.lower()]
+        return b"".join(map(self.parts.__getitem__, self.PARTS.findall(word.lower())))
 
     def encode(self, text: str) -> bytes:
-        if self.OTHER.search(text):
-            return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
-        if len(self.parts) > CACHED_WORDS:
-            self.parts.clear()
-        return b"".join(map(self.parts.__getitem__, self.PARTS.findall(text.lower())))
+        if not any(map(text.__contains__, self.SPACES)):
+            try:
+                return b"".join(map(self.words.__getitem__, text.split()))
+            except _Other:
+                pass
+        return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 def _tokenizer(path: str) -> WordTokenizer:

@@ -56,6 +56,26 @@ def test_long_parts_are_not_kept(model):
     assert set(tokenizer.parts) == {"ab", "cd"}
 
 
+def test_frequent_words_are_looked_up_whole(model, monkeypatch):
+    """A known word takes no parting; the caches stay within their bounds and start anew when the words change."""
+    monkeypatch.setattr(packing, "CACHED_WORDS", 4)
+    monkeypatch.setattr(packing, "CACHED_PARTS", 6)
+    monkeypatch.setattr(packing, "RENEWED", 2)
+    tokenizer = packing.WordTokenizer(packing.default_tokenizer())
+    made = []
+    make = tokenizer.words.make
+    tokenizer.words.make = lambda word: made.append(word) or make(word)
+    for _ in range(3):
+        text = "The end. isn't _it?"
+        assert [*array("I", tokenizer.encode(text)), 1] == whole(model, text)
+    assert made == ["The", "end.", "isn't", "_it?"]
+    for i in range(60):
+        text = f"new{i}, éw{'x' * i}!? (n{i}) it's"
+        assert [*array("I", tokenizer.encode(text)), 1] == whole(model, text)
+        assert len(tokenizer.words) <= 4 and len(tokenizer.parts) <= 6
+    assert "The" not in tokenizer.words
+
+
 def check(rows, texts, model, capacity):
     by_sequence, by_doc = {}, {}
     for r in rows:
