@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from retailloom.llm.common import as_numbers, as_text
 from retailloom.llm.graph import components
 from retailloom.llm.words import slices
-from retailloom.session import materialize
+from retailloom.session import materialize, unused_shuffles_go
 
 WORDS, PERCENT = 5, 80
 BANDS, ROWS = 32, 4  # a pair of similarity 0.8 shares no band in 1 of 20 million cases
@@ -328,20 +328,25 @@ def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
     members = materialize(in_bands.join(shared, "band").select("band", "turn", "node", F.col("node").alias("component")),
                           "members")
     links, found = None, None
+    unused_shuffles_go(docs.sparkSession)  # here and between the rounds: their many short queries fill the driver's memory
     for star, (low, high) in enumerate(STARS):
         taking = members.where((F.col("turn") >= low) & (F.col("turn") < high))
         more = _links(_star_pairs(taking, star), classes, source, words, percent)
+        unused_shuffles_go(docs.sparkSession)
         links = more if links is None else links.unionByName(more)
         found = components(links)
         members = _open(members, found, f"open-{star}")
+        unused_shuffles_go(docs.sparkSession)
     for likeliest in (True, False):
         more = _links(_cross_pairs(members, classes, percent, likeliest), classes, source, words, percent, near=True)
+        unused_shuffles_go(docs.sparkSession)
         if more.isEmpty():
             continue
         links = links.unionByName(more)
         found = components(links)
         if likeliest:
             members = _open(members, found, "open-cross")
+        unused_shuffles_go(docs.sparkSession)
     labelled = classes.select("node", "digest", place.alias("place")).join(found, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     least = labelled.groupBy("component").agg(F.min("place").alias("least"))

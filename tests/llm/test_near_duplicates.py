@@ -146,3 +146,15 @@ def test_blocks_of_a_large_bucket(documents, monkeypatch):
     texts = {i: " ".join(changed(rng, words, i % 6)) for i in range(120)}
     found = {r["doc_id"]: r["component_id"] for r in nd.near_duplicates(documents(texts.items())).collect()}
     assert found == {i: c for i, (_, c) in brute(texts, 5, 80).items()}
+
+
+def test_the_driver_collects_between_the_rounds(documents, monkeypatch):
+    """Without it the heap grows to its limit: each round plans and runs some twenty queries."""
+    collected, labels = [], []
+    keep = nd.materialize
+    monkeypatch.setattr(nd, "unused_shuffles_go", lambda spark: collected.append(len(labels)))
+    monkeypatch.setattr(nd, "materialize", lambda df, label, *rest: labels.append(label) or keep(df, label, *rest))
+    nd.near_duplicates(documents([(1, "a b c d e f"), (2, "a b c d e f"), (3, "x")]), 3, 80)
+    opened = [at + 1 for at, label in enumerate(labels) if label.startswith("open-")]
+    assert len(opened) >= len(nd.STARS) and set(opened) <= set(collected)
+    assert sum(at in collected for at in (i + 1 for i, label in enumerate(labels) if label == "links")) >= len(nd.STARS)
