@@ -160,13 +160,15 @@ def _best_pattern(lengths: np.ndarray, worth: np.ndarray, most: np.ndarray, capa
         while limit > 0:
             offers.append((k, min(copies, limit)))
             limit, copies = limit - copies, 2 * copies
-    value = np.zeros(capacity + 1)
+    value, sums = np.zeros(capacity + 1), np.empty(capacity + 1)
     taken = np.zeros((len(offers), capacity + 1), dtype=bool)
+    sizes, worths = lengths.tolist(), worth.tolist()
     for row, (k, copies) in zip(taken, offers):
-        size = int(lengths[k]) * copies
-        with_it = value[:capacity + 1 - size] + worth[k] * copies
-        np.greater(with_it, value[size:], out=row[size:])
-        np.maximum(with_it, value[size:], out=value[size:])
+        size = sizes[k] * copies
+        without = value[size:]
+        with_it = np.add(value[:capacity + 1 - size], worths[k] * copies, out=sums[size:])
+        np.greater(with_it, without, out=row[size:])
+        np.maximum(with_it, without, out=without)
     counts, space = np.zeros(len(lengths), dtype=np.int64), capacity
     for row, (k, copies) in zip(taken[::-1], offers[::-1]):
         if row[space]:
