@@ -78,29 +78,40 @@ def train(positives: list[str], unlabelled: list[str], prior: float) -> Model:
     if not positives or not unlabelled:
         return Model(np.zeros(1 << BITS, np.float32), float(np.log(prior / (1 - prior))))
     texts, np_ = positives + unlabelled, len(positives)
-    counts = np.zeros((2, (1 << BITS) + 1), dtype=np.int64)  # texts that have a feature: unlabelled, positive
+    counts = np.zeros((2, (1 << BITS) + 1), dtype=np.int64)
     for at, d, own in _in_parts(texts):
         of_positive = np.repeat(d + at < np_, own.shape[1])
         for kind in (0, 1):
             counts[kind] += np.bincount(own.ravel()[of_positive == kind], minlength=(1 << BITS) + 1)
-    expected = prior * counts[1] / np_ * len(unlabelled)  # toxic ones among the unlabelled texts that have a feature
-    telling = (counts[1] >= RARE) & (expected + 1 >= TELLING * (counts[0] + 1))
-    telling[1 << BITS] = False
+    telling = _telling(counts, np_, len(unlabelled), prior)
     document, index = [np.empty(0, np.int32)], [np.empty(0, np.int32)]
     for at, d, own in _in_parts(texts):  # once more, as the telling features alone are few
         row, column = np.nonzero(telling[own])
         document.append((d[row] + at).astype(np.int32))
         index.append(own[row, column].astype(np.int32))
-    document = np.concatenate(document)
-    names, index = np.unique(np.concatenate(index), return_inverse=True)
+    return _weighted(np.concatenate(document), np.concatenate(index), np_, len(texts), prior)
+
+
+def _telling(counts: np.ndarray, positives: int, unlabelled: int, prior: float) -> np.ndarray:
+    """Whether a feature has a weight, by how often unlabelled texts (first row) and positives (second) have it."""
+    expected = prior * counts[1] / positives * unlabelled  # toxic ones among the unlabelled texts that have a feature
+    telling = (counts[1] >= RARE) & (expected + 1 >= TELLING * (counts[0] + 1))
+    telling[1 << BITS] = False
+    return telling
+
+
+def _weighted(document: np.ndarray, index: np.ndarray, np_: int, n: int, prior: float) -> Model:
+    """The model of ``n`` texts, the first ``np_`` of them positives, by the (document, feature) pairs of the telling
+    features."""
+    names, index = np.unique(index, return_inverse=True)
     w, bias, m, v = np.zeros(len(names)), -1.0, np.zeros(len(names) + 1), np.zeros(len(names) + 1)
-    positive = np.arange(len(texts)) < np_
+    positive = np.arange(n) < np_
     for step in range(1, STEPS + 1):
-        g = bias + np.bincount(document, w[index], len(texts))
+        g = bias + np.bincount(document, w[index], n)
         s = 1 / (1 + np.exp(-np.clip(g, -35, 35)))
         loss = np.logaddexp(0, np.clip(g, -35, 35))  # of a text taken as negative
         negative_risk = loss[~positive].mean() - prior * loss[positive].mean()
-        as_negative = np.where(positive, -prior / np_, 1 / (len(texts) - np_)) * s
+        as_negative = np.where(positive, -prior / np_, 1 / (n - np_)) * s
         as_positive = np.where(positive, -prior / np_, 0.0) * (1 - s)
         by_text = as_positive + as_negative if negative_risk >= 0 else -as_negative
         grad = np.append(np.bincount(index, by_text[document], len(names)) + DECAY * w * prior, by_text.sum())
@@ -112,11 +123,25 @@ def train(positives: list[str], unlabelled: list[str], prior: float) -> Model:
     return Model(weights, float(bias))
 
 
+def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each text's features in the order of its words, and last the number of features, which counts the text itself."""
+    for batch in batches:
+        for part in slices(batch, "text"):
+            texts = list(part["text"])
+            document, word, hashed = _pairs(texts)
+            ends = np.searchsorted(document, np.arange(1, len(texts)))
+            own = [np.append(x[x < 1 << BITS], 1 << BITS).astype(np.int32) for x in np.split(hashed[word], ends)]
+            yield part[["doc_id", "confirmed", "text_hash"]].assign(features=own)
+
+
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", positives: int = POSITIVES,
         unlabelled: int = UNLABELLED) -> Model:
     """Learn from at most ``positives`` confirmed rows and ``unlabelled`` others, all outside the test fold and in
     the order of a hash of their ids. The class prior is the share of confirmed rows among all labelled ones
     outside the fold. The two lists of ids (under 200 KB) are broadcast, the documents are not shuffled.
+
+    The sample's words are hashed and counted in tasks: of features in ``RARE`` positives at least the counts come to the
+    driver, of the texts the telling features alone. The model is that of ``train`` on the same texts.
     """
     learnt = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~in_test_fold())
     ids = docs.where(F.col("doc_id").isNotNull() & ~in_test_fold()).select("doc_id")
@@ -128,9 +153,30 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", positives: int
     counts = learnt.agg(F.count("*").alias("n"), F.sum(F.col(label).cast("int")).alias("ones")).first()
     prior = min(0.9, max(0.01, counts["ones"] / counts["n"])) if counts["n"] else PRIOR
     sample = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
-              .toPandas().sort_values(["doc_id", "confirmed", "text"]))
-    confirmed = sample["confirmed"].to_numpy(bool)
-    return train(list(sample["text"][confirmed]), list(sample["text"][~confirmed]), prior)
+              .select("doc_id", "confirmed", F.xxhash64("text").alias("text_hash"), "text"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, confirmed boolean, text_hash long, features array<int>"
+    hashed = materialize(sample.mapInPandas(_features, schema), "features")
+    often = (hashed.select("confirmed", F.explode("features").alias("feature")).groupBy("feature")
+             .agg(F.count_if(~F.col("confirmed")).alias("unlabelled"), F.count_if("confirmed").alias("positive"))
+             .where((F.col("positive") >= RARE) | (F.col("feature") == 1 << BITS)).toPandas())
+    counts = np.zeros((2, (1 << BITS) + 1), dtype=np.int64)
+    counts[:, often["feature"]] = often[["unlabelled", "positive"]].to_numpy().T
+    n_unlabelled, n_positive = counts[:, 1 << BITS].tolist()
+    if not n_positive or not n_unlabelled:
+        return train([], [], prior)
+    shared = docs.sparkSession.sparkContext.broadcast(_telling(counts, n_positive, n_unlabelled, prior))
+
+    def told(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = shared.value
+        for batch in batches:
+            yield batch.assign(features=[x[own[x]] for x in batch["features"]])
+
+    rows = hashed.mapInPandas(told, schema).toPandas().sort_values(["doc_id", "text_hash"])
+    rows = pd.concat([rows[rows["confirmed"]], rows[~rows["confirmed"]]])
+    features = [np.asarray(x, dtype=np.int32) for x in rows["features"]]
+    document = np.repeat(np.arange(len(rows), dtype=np.int32), [len(x) for x in features])
+    return _weighted(document, np.concatenate(features), n_positive, len(rows), prior)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

@@ -110,6 +110,26 @@ def test_rare_words_of_toxic_texts_alone_have_a_weight_at_a_low_prior():
     assert (model.scores(toxic[2_120:]) > 0.5).mean() > 0.9 and (model.scores(clean[:500]) > 0.5).mean() < 0.02
 
 
+def test_no_text_of_the_sample_comes_to_the_driver(spark, data, documents, monkeypatch):
+    """Its words would stay in the driver's memory; the model is the one that ``train`` makes of the same texts."""
+    rows, _, labels = data
+    odd = [(5_000, None), (5_001, ""), (5_002, "vile vile VILE,"), (5_002, "vile vile VILE,"), (None, "vile")]
+    docs, kind, came = documents([(i, t) for i, t, _, _ in rows] + odd), type(labels), []
+    for name in ("collect", "toPandas", "first", "head"):
+        monkeypatch.setattr(kind, name, lambda self, *n, own=getattr(kind, name): came.extend(self.columns) or own(self, *n))
+    model = toxicity.fit(docs, labels)
+    monkeypatch.undo()
+    assert "features" in came and "text" not in came
+    texts = sorted(((i, t or "") for i, t in [(r[0], r[1]) for r in rows] + odd if i is not None and not held(i)))
+    labelled = {r[0]: r[3] for r in rows if r[0] % 3 and not held(r[0])}
+    expected = toxicity.train([t for i, t in texts if labelled.get(i)], [t for _, t in texts],
+                              sum(labelled.values()) / len(labelled))
+    assert np.count_nonzero(model.weights) > 3 and model.bias == expected.bias
+    assert (model.weights == expected.weights).all()
+    nothing = toxicity.fit(docs, labels.where("toxic = 0"))
+    assert not nothing.weights.any() and nothing.bias == pytest.approx(np.log(0.01 / 0.99))
+
+
 def test_without_toxic_keeps_rows_and_columns(data):
     rows, docs, labels = data
     model = toxicity.fit(docs, labels)
