@@ -1,11 +1,16 @@
 """De-duplication against history: the key index, and streaming state."""
 
 import time
+from pathlib import Path
+from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
 from retailloom.operators import dedup
+from retailloom.plans import queries
 from retailloom.schemas import FACT, FACT_KEYS, FACT_PARTITIONS, KEY_INDEX
+from retailloom.session import ROCKSDB, STATE_STORE, shared_dir
 from retailloom.sinks.stores import Lake
 from retailloom.sinks.tables import ensure_table
 from retailloom.sources import files
@@ -84,3 +89,32 @@ def test_state_is_bounded_and_later_copies_are_found_in_history(spark, database,
         time.sleep(1.5)
     spark.catalog.refreshTable(table)
     assert spark.table(table).count() == 400 and max(held) < 250
+
+
+@pytest.fixture
+def heap_state(spark):
+    """A session as Spark's defaults leave it: state in the executors' heaps."""
+    heap = ROCKSDB.replace("RocksDBStateStore", "HDFSBackedStateStore")
+    spark.conf.set(STATE_STORE, heap)
+    yield heap
+    spark.conf.set(STATE_STORE, ROCKSDB)
+
+
+def test_state_lies_on_disk_whatever_the_session_says(spark, database, tmp_path, heap_state):
+    drop(tmp_path / "in", "1.json", sale(1), sale(1), sale(2))
+    stream = files.json_lines_stream(spark, str(tmp_path / "in"))
+    query = ingest.start_ingest(stream, f"{database}.sales", str(tmp_path / "checkpoint"), None, "1 hour")
+    query.awaitTermination()
+    assert any(name.startswith("rocksdb") for name in query.lastProgress["stateOperators"][0]["customMetrics"])
+    assert spark.conf.get(STATE_STORE) == heap_state
+
+
+def test_resends_are_stopped_by_state_on_disk(spark, heap_state):
+    tills = spark.createDataFrame([(f"T{i}", "pos", f"{i}") for i in range(20)], "txn_id string, source string, qty string")
+    every = tills.unionByName(tills.withColumn("source", F.lit("erp")))
+    before = set(Path(shared_dir(spark)).glob("state-*"))
+    rows = queries.resends_by_state(SimpleNamespace(spark=spark, all_sources=lambda: every, pos=lambda: tills))
+    assert tuples(rows.select("txn_id", "source")) == tuples(every.select("txn_id", "source"))
+    [own] = set(Path(shared_dir(spark)).glob("state-*")) - before
+    kinds = {path.suffix for path in (own / "checkpoint" / "state").rglob("*") if path.is_file()}
+    assert ".zip" in kinds and ".delta" not in kinds
